@@ -31,7 +31,8 @@ SELECT event_id, CAST(year(ts)*100 + month(ts) AS VARCHAR) AS local_month, lpad(
     CAST(event_id % 40 AS VARCHAR) || '","dsp_id":' || CAST(10001 + user_id % 4 AS VARCHAR) ||
     ',"advertiser_id":"adv' || CAST(user_id % 9 AS VARCHAR) || '"}' AS RedisadInfo,
   CASE WHEN event_id % 17 = 0 THEN '{"body":{"imp":[]}}'
-       ELSE '{"body":{"imp":[{"tagid":"' || CAST(user_id % 30 AS VARCHAR) || '_scene_' || event_type || '"}]}}' END AS options_json
+       ELSE '{"body":{"imp":[{"tagid":"' || CAST(user_id % 30 AS VARCHAR) || '_scene_' || event_type || '"}]}}' END AS options_json,
+  ts
 FROM events""",
     "ssp_tag": """
 SELECT CAST(n_nationkey AS VARCHAR) AS channel_id, n_name AS media_id FROM nation WHERE n_nationkey < 20""",
@@ -173,3 +174,109 @@ def report_run_all() -> str:
     selects = [f"SELECT '{name}' AS report, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(total) AS BIGINT) AS sum_total "
                f"FROM ({sql}) t_{name}" for name, sql in parts.items()]
     return "\nUNION ALL\n".join(selects)
+
+
+# ------------------------------------------------------------------ counters, caps, sinks
+
+def _jfield(col, field):
+    # DuckDB raises on malformed JSON where Spark gives null.
+    return f"CASE WHEN json_valid({col}) THEN json_extract_string({col}, '$.{field}') END"
+
+
+_TOPIC = f"{_jfield('value', 'sltcustomtopic')} = 'sltadxlog-adx-bg'"
+
+
+def topic_filter() -> str:
+    return with_adapters(f"SELECT event_id, {_jfield('value', 'dealid')} AS dealid FROM raw_stream WHERE {_TOPIC}",
+                         "raw_stream")
+
+
+def deal_counts() -> str:
+    return with_adapters(f"""SELECT {_jfield('value', 'dealid')} AS dealid, CAST(count(*) AS BIGINT) AS total
+FROM raw_stream GROUP BY 1""", "raw_stream")
+
+
+_BATCH_COUNTS = f"""SELECT {_jfield('value', 'dealid')} AS dealid, CAST(CAST(ts AS DATE) AS VARCHAR) AS now_time,
+  count(*) AS total FROM raw_stream WHERE {_TOPIC} GROUP BY 1, 2"""
+
+_RUNNING = """SELECT a.dealid, a.now_time, CAST(a.total + coalesce(b.total, 0) AS BIGINT) AS total
+FROM batch_counts a LEFT JOIN stored_totals b ON a.dealid = b.dealid AND a.now_time = b.now_time"""
+
+
+def deal_running_total() -> str:
+    return with_adapters(_RUNNING, "raw_stream", "stored_totals", extra={"batch_counts": _BATCH_COUNTS})
+
+
+_FLAGS = """SELECT a.dealid, a.now_time, a.dealid || a.now_time AS doc_id
+FROM running a JOIN deal_caps b ON a.dealid = b.dealid AND a.now_time = b.now_time
+WHERE a.total > b.dealidnum - 30"""
+
+
+def pacing_flags() -> str:
+    return with_adapters(_FLAGS, "raw_stream", "stored_totals", "deal_caps",
+                         extra={"batch_counts": _BATCH_COUNTS, "running": _RUNNING})
+
+
+def pacing_apply_flag() -> str:
+    body = """SELECT c.dealid, c.now_time, c.dealidnum,
+  CAST(CASE WHEN f.doc_id IS NOT NULL THEN 1 ELSE c.stop END AS INTEGER) AS stop
+FROM deal_caps c LEFT JOIN (SELECT DISTINCT doc_id FROM flags) f ON c.dealid || c.now_time = f.doc_id"""
+    return with_adapters(body, "raw_stream", "stored_totals", "deal_caps",
+                         extra={"batch_counts": _BATCH_COUNTS, "running": _RUNNING, "flags": _FLAGS})
+
+
+def upsert_merge() -> str:
+    body = """SELECT coalesce(t.dealid, u.dealid) AS dealid, coalesce(t.now_time, u.now_time) AS now_time,
+  CAST(CASE WHEN u.dealid IS NOT NULL THEN u.total ELSE t.total END AS BIGINT) AS total
+FROM stored_totals t FULL OUTER JOIN (SELECT * FROM running WHERE dealid IS NOT NULL) u
+  ON t.dealid = u.dealid AND t.now_time = u.now_time"""
+    return with_adapters(body, "raw_stream", "stored_totals",
+                         extra={"batch_counts": _BATCH_COUNTS, "running": _RUNNING})
+
+
+def counter_add() -> str:
+    body = """SELECT coalesce(c.key, d.key) AS key, CAST(coalesce(c.value, 0) + coalesce(d.value, 0) AS BIGINT) AS value
+FROM (SELECT 'adxhappen:' || dealid AS key, sum(total) AS value FROM stored_totals GROUP BY 1) c
+FULL OUTER JOIN (SELECT 'adxhappen:' || coalesce(dealid, 'null') AS key, count(*) AS value FROM topic_rows GROUP BY 1) d
+  ON c.key = d.key"""
+    topic_rows = f"SELECT {_jfield('value', 'dealid')} AS dealid FROM raw_stream WHERE {_TOPIC}"
+    return with_adapters(body, "raw_stream", "stored_totals", extra={"topic_rows": topic_rows})
+
+
+# ------------------------------------------------------------------ scalar functions, lookups
+
+def scalar_functions() -> str:
+    body = """SELECT event_id,
+  left(local_month, 4) || '-' || right(local_month, 2) || '-' || local_day AS daytime_dashed,
+  local_month || local_day AS daytime_compact,
+  string_split(DSPName, '_')[-1] AS dsp_id,
+  CAST(CASE WHEN isReturn = isTimeOut THEN 0 ELSE 1 END AS INTEGER) AS return_vs_timeout,
+  coalesce(CAST(isReturn AS VARCHAR), '000') AS is_return_text,
+  json_extract_string(RedisadInfo, '$.dsp_id') AS json_dsp_id,
+  json_extract_string(RedisadInfo, '$.tag_id') AS parsed_tag_id,
+  final_dealid AS final_dealid,
+  json_extract_string(options_json, '$.body.imp[0].tagid') AS first_tagid,
+  CAST(isHaveAd AS VARCHAR) AS is_have_ad_text,
+  CAST(isReturn + isTimeOut AS INTEGER) AS return_plus_timeout,
+  strftime(ts, '%Y-%m-%d') AS run_date_dashed,
+  strftime(ts, '%Y%m%d') AS run_date_compact,
+  greatest(event_id * 1000 - 5000, 0) AS padded_start,
+  '{"event_id":' || CAST(event_id AS VARCHAR) || ',"DSPName":"' || DSPName || '"}' AS row_json,
+  CASE WHEN isHaveAd = 1 THEN 'success' ELSE 'fail' END AS outcome,
+  CAST(event_id AS VARCHAR) || '_' || CAST(event_id + 1000 AS VARCHAR) AS span_text
+FROM request_log"""
+    return with_adapters(body, "request_log")
+
+
+def nested_tag_extract() -> str:
+    body = """SELECT event_id, final_dealid AS dealid,
+  json_extract_string(options_json, '$.body.imp[0].tagid') AS tag_id,
+  string_split(json_extract_string(options_json, '$.body.imp[0].tagid'), '_')[-1] AS tag_id_channel
+FROM request_log"""
+    return with_adapters(body, "request_log")
+
+
+def dim_lookup_default() -> str:
+    body = """SELECT a.event_id, a.dealid, a.media_channel_id, coalesce(CAST(b.media_id AS VARCHAR), '000') AS media_id
+FROM exposure_log a LEFT JOIN ssp_tag b ON a.media_channel_id = b.channel_id"""
+    return with_adapters(body, "exposure_log", "ssp_tag")

@@ -68,3 +68,106 @@ def report_run_all(spark, sf):
         "success": pv_success_all(spark, sf),
         "fail": pv_fail_all(spark, sf),
     })
+
+
+# ------------------------------------------------------------------ counters, caps, sinks
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from adlens.functions import scalar as fx  # noqa: E402
+from adlens.operators import counters  # noqa: E402
+from adlens.operators.lookup import left_lookup  # noqa: E402
+from adlens.schemas import STREAM_RECORD  # noqa: E402
+from adlens.sinks import merge  # noqa: E402
+
+
+@register("topic_filter", oracle.topic_filter())
+def topic_filter(spark, sf):
+    return counters.with_dealid(counters.keep_topic(td.raw_stream(spark, sf))).select("event_id", "dealid")
+
+
+@register("deal_counts", oracle.deal_counts())
+def deal_counts(spark, sf):
+    """R-10: counts per deal over every record (no topic filter)."""
+    return counters.deal_counts(td.raw_stream(spark, sf))
+
+
+def _running_totals(spark, sf):
+    batch = counters.day_counts(counters.keep_topic(td.raw_stream(spark, sf)),
+                                F.to_date("ts").cast("string"))
+    return counters.add_to_totals(batch, td.stored_totals(spark, sf))
+
+
+@register("deal_running_total", oracle.deal_running_total())
+def deal_running_total(spark, sf):
+    return _running_totals(spark, sf)
+
+
+@register("pacing_flags", oracle.pacing_flags())
+def pacing_flags(spark, sf):
+    return counters.near_cap(_running_totals(spark, sf), td.deal_caps(spark, sf))
+
+
+@register("pacing_apply_flag", oracle.pacing_apply_flag())
+def pacing_apply_flag(spark, sf):
+    caps = td.deal_caps(spark, sf)
+    return counters.apply_stop_flags(caps, counters.near_cap(_running_totals(spark, sf), caps))
+
+
+@register("upsert_merge", oracle.upsert_merge())
+def upsert_merge(spark, sf):
+    updates = _running_totals(spark, sf).filter(F.col("dealid").isNotNull())
+    target = td.stored_totals(spark, sf).withColumn("total", F.col("total").cast("bigint"))
+    return merge.upsert(target, updates, ["dealid", "now_time"], ["total"])
+
+
+@register("counter_add", oracle.counter_add())
+def counter_add(spark, sf):
+    stored = td.stored_totals(spark, sf)
+    current = stored.groupBy(fx.counter_key("dealid").alias("key")).agg(F.sum("total").alias("value"))
+    delta = (counters.deal_counts(counters.keep_topic(td.raw_stream(spark, sf)))
+             .select(fx.counter_key("dealid").alias("key"), F.col("total").alias("value")))
+    return merge.counter_add(current, delta)
+
+
+# ------------------------------------------------------------------ scalar functions, lookups
+
+@register("scalar_functions", oracle.scalar_functions())
+def scalar_functions(spark, sf):
+    r = td.request_log(spark, sf)
+    parsed = F.from_json("RedisadInfo", STREAM_RECORD)
+    return r.select(
+        "event_id",
+        fx.dashed_day("local-month", "local-day").alias("daytime_dashed"),
+        fx.compact_day("local-month", "local-day").alias("daytime_compact"),
+        fx.last_part("DSPName").alias("dsp_id"),
+        fx.differs_flag("isReturn", "isTimeOut").alias("return_vs_timeout"),
+        fx.with_default("isReturn", "000").alias("is_return_text"),
+        fx.json_field("RedisadInfo", "dsp_id").alias("json_dsp_id"),
+        parsed.getField("tag_id").alias("parsed_tag_id"),
+        F.col("FinalAdobj.dealid").alias("final_dealid"),
+        fx.first_element("options.body.imp").getField("tagid").alias("first_tagid"),
+        F.col("isHaveAd").cast("string").alias("is_have_ad_text"),
+        (F.col("isReturn") + F.col("isTimeOut")).alias("return_plus_timeout"),
+        F.date_format("ts", "yyyy-MM-dd").alias("run_date_dashed"),
+        F.date_format("ts", "yyyyMMdd").alias("run_date_compact"),
+        fx.clamp_low(F.col("event_id") * 1000 - 5000).alias("padded_start"),
+        F.to_json(F.struct("event_id", "DSPName")).alias("row_json"),
+        F.when(F.col("isHaveAd") == 1, "success").otherwise("fail").alias("outcome"),
+        fx.span_text("event_id", F.col("event_id") + 1000).alias("span_text"),
+    )
+
+
+@register("nested_tag_extract", oracle.nested_tag_extract())
+def nested_tag_extract(spark, sf):
+    r = td.request_log(spark, sf)
+    tag = fx.first_element("options.body.imp").getField("tagid")
+    return r.select("event_id", F.col("FinalAdobj.dealid").alias("dealid"), tag.alias("tag_id"),
+                    fx.last_part(tag).alias("tag_id_channel"))
+
+
+@register("dim_lookup_default", oracle.dim_lookup_default())
+def dim_lookup_default(spark, sf):
+    log = td.exposure_log(spark, sf).select("event_id", "dealid", "media_channel_id")
+    return left_lookup(log, td.ssp_tag(spark, sf), "media_channel_id", "channel_id",
+                       {"media_id": "media_id"}, {"media_id": "000"})

@@ -77,6 +77,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_s(u).alias("dealid")).alias("FinalAdobj"),
         redis.alias("RedisadInfo"),
         F.from_json(options_json, schemas.OPTIONS).alias("options"),
+        F.col("ts"),
     )
 
 
