@@ -280,3 +280,103 @@ def dim_lookup_default() -> str:
     body = """SELECT a.event_id, a.dealid, a.media_channel_id, coalesce(CAST(b.media_id AS VARCHAR), '000') AS media_id
 FROM exposure_log a LEFT JOIN ssp_tag b ON a.media_channel_id = b.channel_id"""
     return with_adapters(body, "exposure_log", "ssp_tag")
+
+
+# ------------------------------------------------------------------ video segmentation
+
+_SEAT_COLS = ("video_id", "media_name", "ad_seat_b_time", "ad_seat_e_time", "drama_name", "drama_type_name",
+              "media_area_name", "media_release_date", "class2_name", "class_type_id", "class3_name", "ad_seat_img")
+
+_VIDEO_CTES = {
+    "joined": "SELECT a.* FROM ad_seat a JOIN usable_media u ON a.video_id = u.video_id",
+    "padded": """SELECT *, greatest(TRY_CAST(ad_seat_b_time AS BIGINT) - 5000, 0) AS b,
+  TRY_CAST(ad_seat_e_time AS BIGINT) + 5000 AS e FROM joined WHERE class_type_id IN ('1', '2', '3', '4')""",
+    "ivk": "SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY b, sid) AS rn FROM padded WHERE e >= b",
+    "pts": "SELECT video_id, rn, b AS t, 0 AS is_end FROM ivk UNION ALL SELECT video_id, rn, e AS t, 1 AS is_end FROM ivk",
+    "pn": """SELECT video_id, rn, t, is_end, row_number() OVER w AS p, lag(t) OVER w AS t_prev
+FROM pts WINDOW w AS (PARTITION BY video_id ORDER BY t, rn, is_end)""",
+    "span": "SELECT video_id, rn, min(p) AS pb, max(p) AS pe FROM pn GROUP BY video_id, rn",
+    "mem": "SELECT video_id, rn, unnest(generate_series(pb + 1, pe)) AS p FROM span",
+    "seg": """SELECT m.video_id, m.p, m.rn, q.t_prev, q.t, i.media_name, i.drama_name, i.drama_type_name,
+  i.media_area_name, i.media_release_date, i.class_type_id, i.class3_name, i.class2_name, i.ad_seat_img
+FROM mem m JOIN pn q ON m.video_id = q.video_id AND m.p = q.p
+JOIN ivk i ON i.video_id = m.video_id AND i.rn = m.rn""",
+}
+
+
+def _video(body: str, upto: str) -> str:
+    names = list(_VIDEO_CTES)
+    extra = {n: _VIDEO_CTES[n] for n in names[: names.index(upto) + 1]}
+    return with_adapters(body, "ad_seat", "usable_media", extra=extra)
+
+
+def video_join_usable() -> str:
+    return _video(f"SELECT {', '.join(_SEAT_COLS)} FROM joined", "joined")
+
+
+def video_pad() -> str:
+    body = """SELECT video_id, class_type_id, class3_name, ad_seat_b_time, ad_seat_e_time, b, e,
+  CASE WHEN TRY_CAST(ad_seat_b_time AS BIGINT) IS NULL OR TRY_CAST(ad_seat_e_time AS BIGINT) IS NULL THEN 'bad_time'
+       WHEN e < b THEN 'inverted' ELSE 'ok' END AS status FROM padded"""
+    return _video(body, "padded")
+
+
+def video_interval_rank() -> str:
+    return _video("SELECT video_id, rn, b, e, class3_name FROM ivk", "ivk")
+
+
+def video_points() -> str:
+    return _video("SELECT video_id, p, t, is_end, t_prev FROM pn", "pn")
+
+
+_SEG_ATTRS = ("media_name AS media_name", "drama_name AS string_drama_name",
+              "drama_type_name AS string_drama_type_name", "media_area_name AS string_media_area_name",
+              "media_release_date AS string_media_release_date")
+
+
+def _seg_head():
+    attrs = ",\n  ".join(f"first({a.split(' AS ')[0]} ORDER BY rn) AS {a.split(' AS ')[1]}" for a in _SEG_ATTRS)
+    return f"""video_id AS string_vid, p AS seg_no, {attrs},
+  CAST(min(t_prev) AS VARCHAR) || '_' || CAST(min(t) AS VARCHAR) AS string_time,
+  CAST(min(t) - min(t_prev) AS VARCHAR) AS string_time_long"""
+
+
+def video_segments() -> str:
+    return _video(f"SELECT {_seg_head()}, count(*) AS n_active FROM seg GROUP BY video_id, p", "seg")
+
+
+_CLASS_LISTS = (("4", "man"), ("1", "object"), ("3", "action"), ("2", "sence"))
+_LIST_FIELDS = (("_list", "class3_name"), ("2_list", "class2_name"), ("_img_list", "ad_seat_img"))
+
+
+def video_tag_lists() -> str:
+    lists = ",\n  ".join(
+        f"coalesce(string_agg({col}, ',' ORDER BY rn) FILTER (WHERE class_type_id = '{cls}'), '') AS string_{name}{suffix}"
+        for cls, name in _CLASS_LISTS for suffix, col in _LIST_FIELDS)
+    return _video(f"SELECT video_id AS string_vid, p AS seg_no, {lists} FROM seg GROUP BY video_id, p", "seg")
+
+
+def video_segments_json() -> str:
+    lists = ",\n  ".join(
+        f"string_{name}{suffix} := coalesce(list({col} ORDER BY rn) FILTER (WHERE class_type_id = '{cls}'), []::VARCHAR[])"
+        for cls, name in _CLASS_LISTS for suffix, col in _LIST_FIELDS)
+    attrs = ",\n  ".join(f"{a.split(' AS ')[1]} := first({a.split(' AS ')[0]} ORDER BY rn)" for a in _SEG_ATTRS)
+    body = f"""SELECT video_id AS string_vid, p AS seg_no,
+  sha256(video_id || '|' || CAST(p AS VARCHAR)) AS doc_id,
+  CAST(to_json(struct_pack(string_vid := video_id, {attrs},
+  string_time := CAST(min(t_prev) AS VARCHAR) || '_' || CAST(min(t) AS VARCHAR),
+  string_time_long := CAST(min(t) - min(t_prev) AS VARCHAR),
+  {lists})) AS VARCHAR) AS doc
+FROM seg GROUP BY video_id, p"""
+    return _video(body, "seg")
+
+
+def video_collect() -> str:
+    doc = "to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in _SEAT_COLS) + "))"
+    body = f"""SELECT video_id, CAST(floor((rn - 1) / 1000) AS BIGINT) AS chunk, count(*) AS n,
+  '[' || string_agg(CAST(doc AS VARCHAR), ',' ORDER BY rn) || ']' AS rows_json
+FROM (SELECT video_id, {doc} AS doc,
+        row_number() OVER (PARTITION BY video_id ORDER BY TRY_CAST(ad_seat_b_time AS BIGINT), sid) AS rn
+      FROM joined WHERE class_type_id IN ('1', '2', '3', '4')) r
+GROUP BY video_id, CAST(floor((rn - 1) / 1000) AS BIGINT)"""
+    return _video(body, "joined")

@@ -171,3 +171,61 @@ def dim_lookup_default(spark, sf):
     log = td.exposure_log(spark, sf).select("event_id", "dealid", "media_channel_id")
     return left_lookup(log, td.ssp_tag(spark, sf), "media_channel_id", "channel_id",
                        {"media_id": "media_id"}, {"media_id": "000"})
+
+
+# ------------------------------------------------------------------ video segmentation
+
+from adlens.operators import segments as vs  # noqa: E402
+
+
+def _video_intervals(spark, sf):
+    return vs.join_usable(td.ad_seat(spark, sf), td.usable_media(spark, sf))
+
+
+def _video_segments(spark, sf):
+    return vs.segment_videos(td.ad_seat(spark, sf), td.usable_media(spark, sf))
+
+
+@register("video_join_usable", oracle.video_join_usable())
+def video_join_usable(spark, sf):
+    return _video_intervals(spark, sf).select(*vs.SEAT_COLUMNS)
+
+
+@register("video_collect", oracle.video_collect())
+def video_collect(spark, sf):
+    return vs.bounded_collect(_video_intervals(spark, sf))
+
+
+@register("video_pad", oracle.video_pad())
+def video_pad(spark, sf):
+    return vs.pad(_video_intervals(spark, sf)).select(
+        "video_id", "class_type_id", "class3_name", "ad_seat_b_time", "ad_seat_e_time", "b", "e", "status")
+
+
+@register("video_interval_rank", oracle.video_interval_rank())
+def video_interval_rank(spark, sf):
+    iv = vs.valid(vs.pad(_video_intervals(spark, sf)))
+    return vs.interval_rank(iv).select("video_id", "rn", "b", "e", "class3_name")
+
+
+@register("video_points", oracle.video_points())
+def video_points(spark, sf):
+    iv = vs.valid(vs.pad(_video_intervals(spark, sf)))
+    return vs.points(iv).select("video_id", "p", "t", "is_end", "t_prev")
+
+
+@register("video_segments", oracle.video_segments())
+def video_segments(spark, sf):
+    return _video_segments(spark, sf).select("string_vid", "seg_no", *[o for _, o in vs.ATTRS[1:]],
+                                             "string_time", "string_time_long", "n_active")
+
+
+@register("video_tag_lists", oracle.video_tag_lists())
+def video_tag_lists(spark, sf):
+    return _video_segments(spark, sf).select(
+        "string_vid", "seg_no", *[F.array_join(c, ",").alias(c) for c in vs.LIST_COLUMNS])
+
+
+@register("video_segments_json", oracle.video_segments_json())
+def video_segments_json(spark, sf):
+    return vs.to_documents(_video_segments(spark, sf))
