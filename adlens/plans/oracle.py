@@ -380,3 +380,14 @@ FROM (SELECT video_id, {doc} AS doc,
       FROM joined WHERE class_type_id IN ('1', '2', '3', '4')) r
 GROUP BY video_id, CAST(floor((rn - 1) / 1000) AS BIGINT)"""
     return _video(body, "joined")
+
+
+# ------------------------------------------------------------------ streams
+
+def stream_parse_dealid() -> str:
+    return with_adapters(f"SELECT event_id, {_jfield('value', 'dealid')} AS dealid FROM raw_stream", "raw_stream")
+
+
+def stream_deal_totals() -> str:
+    return with_adapters("SELECT dealid, now_time, CAST(total AS BIGINT) AS total FROM batch_counts", "raw_stream",
+                         extra={"batch_counts": _BATCH_COUNTS})

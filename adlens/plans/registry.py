@@ -229,3 +229,30 @@ def video_tag_lists(spark, sf):
 @register("video_segments_json", oracle.video_segments_json())
 def video_segments_json(spark, sf):
     return vs.to_documents(_video_segments(spark, sf))
+
+
+# ------------------------------------------------------------------ streams
+
+from adlens.sources.streams import open_log_stream  # noqa: E402
+from adlens.streaming import deal_stream  # noqa: E402
+
+
+def _raw_log_stream(spark, sf):
+    """The raw-record stream: ``events`` read as a file stream, shaped into S7 records."""
+    events = open_log_stream(spark, "parquet", sf, schema=td.table(spark, sf, "events").schema,
+                             options={"pathGlobFilter": "events.parquet"})
+    return td.to_raw_stream(events)
+
+
+@register("stream_parse_dealid", oracle.stream_parse_dealid())
+def stream_parse_dealid(spark, sf):
+    q, out = deal_stream.run_parse_stream(spark, _raw_log_stream(spark, sf))
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_deal_totals", oracle.stream_deal_totals())
+def stream_deal_totals(spark, sf):
+    q, out = deal_stream.run_deal_totals(spark, _raw_log_stream(spark, sf))
+    q.awaitTermination()
+    return deal_stream.latest_totals(spark, out)
