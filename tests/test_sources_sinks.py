@@ -1,0 +1,102 @@
+"""Log scans with explicit schemas, table registration, and per-partition writers."""
+
+import datetime as dt
+import glob
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from adlens import schemas
+from adlens.operators import reports
+from adlens.sinks import writers
+from adlens.sources import logs
+from adlens.sources import testdata as td
+
+
+def write_month_logs(spark, root):
+    log = td.exposure_log(spark, "/root/testdata/sf0.001")
+    for m in [r[0] for r in log.select("local-month").distinct().collect()]:
+        (log.filter(F.col("local-month") == m).drop("event_id").coalesce(1)
+         .write.mode("overwrite").json(os.path.join(root, f"tmp_{m}")))
+        part = glob.glob(os.path.join(root, f"tmp_{m}", "part-*.json"))[0]
+        os.rename(part, logs.month_path(root, m))
+    return log
+
+
+def test_json_logs_read_with_explicit_schema(spark, tmp_out):
+    log = write_month_logs(spark, tmp_out)
+    df = logs.read_month(spark, tmp_out, "202401", schemas.EXPOSURE_LOG)
+    assert df.schema["local-day"].dataType.simpleString() == "string"
+    assert df.count() == log.count()
+    assert df.filter(F.length("local-day") != 2).count() == 0
+    tags = td.ssp_tag(spark, "/root/testdata/sf0.001")
+    rep = reports.exposure_report_all(df.withColumn("event_id", F.monotonically_increasing_id()), tags)
+    assert rep.agg(F.sum("total")).first()[0] == log.count()
+
+
+def test_run_day_and_paths():
+    assert logs.yesterday(dt.date(2024, 3, 1)).yyyymmdd == "20240229"
+    rd = reports.RunDay.parse("2024-01-09")
+    assert (rd.month, rd.day) == ("202401", "09")
+    assert logs.month_path("/logs/bg/", "202401") == "/logs/bg/202401.log"
+
+
+def test_jdbc_options_partitioned_read():
+    o = logs.jdbc_options("jdbc:mysql://h:3306/adx", "ssp_tag", user="u", password="p",
+                          partition_column="id", lower=0, upper=1000, num_partitions=8)
+    assert o["numPartitions"] == "8" and o["partitionColumn"] == "id" and o["dbtable"] == "ssp_tag"
+    with pytest.raises(ValueError):
+        logs.jdbc_options("jdbc:x", "t", partition_column="id")
+
+
+def test_register_table_creates_view(spark):
+    logs.register_table(spark, "nation_view", "parquet", path="/root/testdata/sf0.001/nation.parquet")
+    assert spark.sql("SELECT count(*) FROM nation_view").first()[0] == 25
+
+
+def test_dbapi_writer_batches_and_commits_per_partition(spark, tmp_out):
+    df = spark.range(0, 2500).select(F.col("id").cast("string").alias("k"),
+                                     F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id")).alias("m"))
+    root = tmp_out
+
+    # Defined here so the workers receive the class by value.
+    class FileConnection:
+        """A DB-API-shaped stand-in that records each partition's batches in a file."""
+
+        def __init__(self, root):
+            self.root, self.rows, self.batches = root, [], []
+
+        def cursor(self):
+            return self
+
+        def executemany(self, sql, rows):
+            self.batches.append(len(rows))
+            self.rows += [list(r) for r in rows]
+
+        def commit(self):
+            path = os.path.join(self.root, f"{os.getpid()}-{id(self)}.json")
+            with open(path, "w") as f:
+                json.dump({"rows": self.rows, "batches": self.batches}, f)
+
+        def rollback(self):
+            pass
+
+        def close(self):
+            pass
+
+    sql = writers.upsert_sql("t", ["k"], ["m"])
+    assert "ON DUPLICATE KEY UPDATE `m`=VALUES(`m`)" in sql
+    writers.write_partitions_dbapi(df.coalesce(1), lambda: FileConnection(root), sql, ["k", "m"],
+                                   batch_size=1000, null_to_zero=("m",))
+    (out,) = [json.load(open(p)) for p in glob.glob(os.path.join(root, "*.json"))]
+    assert out["batches"] == [1000, 1000, 500]
+    assert sum(1 for r in out["rows"] if r[1] == 0) == 1250
+
+
+def test_documents_sink_overwrites(spark, tmp_out):
+    docs = spark.createDataFrame([("v", 2, "id1", '{"a":1}')], "string_vid string, seg_no long, doc_id string, doc string")
+    writers.write_documents(docs, tmp_out + "/docs")
+    writers.write_documents(docs, tmp_out + "/docs")
+    assert spark.read.json(tmp_out + "/docs").count() == 1
