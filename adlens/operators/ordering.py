@@ -55,13 +55,63 @@ def explode_range(df: DataFrame, lo: Column, hi: Column, out: str, chunk: int =
                   spread: list[str] | None = None) -> DataFrame:
     """One row per integer in [lo, hi] (no row when lo > hi), other columns repeated.
 
-    Ranges are first cut into pieces of at most ``chunk`` values; pieces are
-    repartitioned on ``spread`` + piece start before the second explode.
+    Ranges are first cut into pieces of at most ``chunk`` values; with ``spread``
+    the pieces are repartitioned on ``spread`` + piece start before the second
+    explode, so one long range is generated by many tasks.
     """
     cols = df.columns
     pieces = (df.withColumn("_lo", lo).withColumn("_hi", hi).filter(F.col("_lo") <= F.col("_hi"))
               .withColumn("_k", F.explode(F.sequence(F.lit(0), F.floor((F.col("_hi") - F.col("_lo")) / chunk).cast("long"))))
               .withColumn("_a", F.col("_lo") + F.col("_k") * chunk)
               .withColumn("_b", F.least(F.col("_hi"), F.col("_a") + (chunk - 1))))
-    pieces = pieces.repartition(*[F.col(c) for c in (spread or [])], F.col("_a"))
+    if spread is not None:
+        pieces = pieces.repartition(*[F.col(c) for c in spread], F.col("_a"))
     return pieces.select(*cols, F.explode(F.sequence(F.col("_a"), F.col("_b"))).alias(out))
+
+
+def longest_range(df: DataFrame, lo: Column, hi: Column) -> int:
+    """Largest ``hi - lo + 1`` (0 if none): one small aggregate, used to decide
+    whether ``explode_range`` needs to spread pieces over tasks."""
+    v = df.agg(F.max(hi - lo + 1)).first()[0]
+    return int(v or 0)
+
+
+_SCANS = {"max": F.max, "min": F.min, "sum": F.sum}
+
+
+def prefix_within(df: DataFrame, group: list[str], order: list[str], value: Column | str, how: str = "max",
+                  out: str = "prefix", inclusive: bool = False, partitions: int | None = None) -> DataFrame:
+    """Running ``how`` (max / min / sum) of ``value`` over the rows before (or up to)
+    each row of its group, in ``order`` (which must make rows unique).
+
+    Same plan shape as ``rank_within``: range partitions hold contiguous slices
+    of a group; a window inside each (partition, group) slice gives the local
+    running value, and a small table carries each slice's total forward to the
+    later slices of the same group. Null where no row precedes.
+    """
+    fn = _SCANS[how]
+    n = _partitions(df, partitions)
+    keys = [F.col(c) for c in (*group, *order)]
+    cols = df.columns
+    v = F.col(value) if isinstance(value, str) else value
+    tagged = (df.withColumn("_v", v).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    upto = 0 if inclusive else -1
+    local = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+    scanned = tagged.withColumn("_loc", fn("_v").over(local))
+    gnames = [f"_g{i}" for i in range(len(group))]
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (tagged.groupBy("_pid", *group).agg(fn("_v").alias("_sv"))
+              .select(F.col("_pid").alias("_spid"), *[F.col(g).alias(a) for g, a in zip(group, gnames)],
+                      fn("_sv").over(earlier).alias("_carry")))
+    cond = reduce(lambda a, b: a & b,
+                  [F.col("_pid") == F.col("_spid")] + [F.col(g).eqNullSafe(F.col(a)) for g, a in zip(group, gnames)])
+    joined = scanned.join(slices, cond)
+    if how == "sum":
+        combined = F.when(F.col("_loc").isNull() & F.col("_carry").isNull(), F.lit(None)).otherwise(
+            F.coalesce(F.col("_loc"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0)))
+    elif how == "max":
+        combined = F.greatest(F.col("_loc"), F.col("_carry"))  # greatest / least skip nulls
+    else:
+        combined = F.least(F.col("_loc"), F.col("_carry"))
+    return joined.select(*cols, combined.alias(out))

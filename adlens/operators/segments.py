@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.scalar import clamp_low
-from adlens.operators.ordering import explode_range, rank_within
+from adlens.operators.ordering import explode_range, longest_range, prefix_within, rank_within
 
 # Fixed values of the reference job: padding of each interval in ms, the tag
 # classes kept, and the output list name of each class.
@@ -45,6 +45,10 @@ ATTRS = (("video_id", "string_vid"), ("media_name", "media_name"), ("drama_name"
 
 IKEY = ["sid", "copy"]  # identity of an interval inside its video
 
+# A range longer than this is exploded by many tasks (pieces repartitioned first);
+# shorter ones are exploded where they are, saving a shuffle of the intervals.
+SPREAD_ABOVE = 65536
+
 
 def join_usable(seats: DataFrame, usable: DataFrame, tie: str = "sid") -> DataFrame:
     """J-5 + P-1: intervals of usable videos. A video listed k times yields each of
@@ -52,7 +56,8 @@ def join_usable(seats: DataFrame, usable: DataFrame, tie: str = "sid") -> DataFr
     the list is pre-aggregated to (video, k) so duplicates never meet the big side."""
     copies = usable.groupBy("video_id").agg(F.count(F.lit(1)).alias("_copies"))
     j = seats.select(*SEAT_COLUMNS, tie).join(copies, "video_id")
-    return explode_range(j, F.lit(1), F.col("_copies"), "copy", spread=["video_id"]).drop("_copies")
+    spread = ["video_id"] if longest_range(copies, F.lit(1), F.col("_copies")) > SPREAD_ABOVE else None
+    return explode_range(j, F.lit(1), F.col("_copies"), "copy", spread=spread).drop("_copies")
 
 
 def pad(intervals: DataFrame, pad_ms: int = PAD_MS) -> DataFrame:
@@ -100,8 +105,10 @@ def members(iv: DataFrame, numbered_points: DataFrame) -> DataFrame:
     with the segment bounds ``t_prev``, ``t``. The long form of the answer."""
     spans = (numbered_points.groupBy("video_id", *IKEY)
              .agg(F.min("p").alias("pb"), F.max("p").alias("pe")))
+    longest = longest_range(spans, F.col("pb") + 1, F.col("pe"))
     withspan = iv.join(spans, ["video_id", *IKEY])
-    pairs = explode_range(withspan, F.col("pb") + 1, F.col("pe"), "p", spread=["video_id"])
+    spread = ["video_id"] if longest > SPREAD_ABOVE else None
+    pairs = explode_range(withspan, F.col("pb") + 1, F.col("pe"), "p", spread=spread)
     bounds = numbered_points.select("video_id", "p", "t_prev", "t")
     return pairs.join(bounds, ["video_id", "p"])
 
@@ -156,7 +163,9 @@ def to_documents(segs: DataFrame) -> DataFrame:
 def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,
                    persist: bool = True) -> DataFrame:
     """R-11 end to end: usable join, class filter, padding, sweep -> segments."""
-    iv = valid(pad(join_usable(seats, usable, tie), pad_ms))
+    # The intervals feed the point numbering and the span join: checkpoint them once
+    # (shared checkpoint folder) instead of recomputing scan + joins per consumer.
+    iv = valid(pad(join_usable(seats, usable, tie), pad_ms)).checkpoint(eager=True)
     pts = points(iv)
     if persist:
         pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
@@ -175,3 +184,23 @@ def bounded_collect(intervals: DataFrame, chunk: int = 1000, tie: str = "sid") -
          .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("_rn", doc.alias("d")))).alias("_docs")))
     return g.select("video_id", "chunk", "n",
                     F.concat(F.lit("["), F.array_join(F.transform("_docs", lambda x: x["d"]), ","), F.lit("]")).alias("rows_json"))
+
+
+def merge_overlaps(iv: DataFrame, tag: str = "class3_name") -> DataFrame:
+    """V-6 (described, commented out in the reference): per (video, tag), merge padded
+    intervals that overlap into islands. An interval starts a new island unless it
+    begins strictly before the largest end seen so far (touching ones stay apart).
+
+    Both running values (largest end so far, last island start) are skew-safe
+    prefix scans; the islands are then a partial + final aggregate.
+    """
+    order = ["b", *IKEY]
+    grp = ["video_id", tag]
+    with_prev = prefix_within(iv, grp, order, "e", "max", out="_prev_e")
+    starts = with_prev.withColumn(
+        "_start", F.when(F.col("_prev_e").isNull() | (F.col("b") >= F.col("_prev_e")),
+                         F.struct(*[F.col(c) for c in order])))
+    islands = prefix_within(starts, grp, order, "_start", "max", out="_island", inclusive=True)
+    return (islands.groupBy(*grp, "_island")
+            .agg(F.min("b").alias("b"), F.max("e").alias("e"), F.count(F.lit(1)).alias("n_merged"))
+            .drop("_island"))

@@ -391,3 +391,14 @@ def stream_parse_dealid() -> str:
 def stream_deal_totals() -> str:
     return with_adapters("SELECT dealid, now_time, CAST(total AS BIGINT) AS total FROM batch_counts", "raw_stream",
                          extra={"batch_counts": _BATCH_COUNTS})
+
+
+def video_merge_overlaps() -> str:
+    body = """SELECT video_id, class3_name, min(b) AS b, max(e) AS e, count(*) AS n_merged FROM (
+  SELECT *, sum(CASE WHEN prev_e IS NULL OR b >= prev_e THEN 1 ELSE 0 END)
+      OVER (PARTITION BY video_id, class3_name ORDER BY b, sid ROWS UNBOUNDED PRECEDING) AS island
+  FROM (SELECT *, max(e) OVER (PARTITION BY video_id, class3_name ORDER BY b, sid
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_e
+        FROM padded WHERE e >= b) pm) st
+GROUP BY video_id, class3_name, island"""
+    return _video(body, "padded")

@@ -256,3 +256,9 @@ def stream_deal_totals(spark, sf):
     q, out = deal_stream.run_deal_totals(spark, _raw_log_stream(spark, sf))
     q.awaitTermination()
     return deal_stream.latest_totals(spark, out)
+
+
+@register("video_merge_overlaps", oracle.video_merge_overlaps())
+def video_merge_overlaps(spark, sf):
+    iv = vs.valid(vs.pad(_video_intervals(spark, sf)))
+    return vs.merge_overlaps(iv).select("video_id", "class3_name", "b", "e", "n_merged")
