@@ -50,10 +50,14 @@ IKEY = ["sid", "copy"]  # identity of an interval inside its video
 SPREAD_ABOVE = 65536
 
 
-def join_usable(seats: DataFrame, usable: DataFrame, tie: str = "sid") -> DataFrame:
+def join_usable(seats: DataFrame, usable: DataFrame, tie: str = "sid", distinct: bool = False) -> DataFrame:
     """J-5 + P-1: intervals of usable videos. A video listed k times yields each of
     its intervals k times (``copy`` = 1..k), as the reference's inner join does;
-    the list is pre-aggregated to (video, k) so duplicates never meet the big side."""
+    the list is pre-aggregated to (video, k) so duplicates never meet the big side.
+    ``distinct=True`` is the semi-join variant: each interval once."""
+    if distinct:
+        return (seats.select(*SEAT_COLUMNS, tie).join(usable.select("video_id"), "video_id", "left_semi")
+                .withColumn("copy", F.lit(1).cast("long")))
     copies = usable.groupBy("video_id").agg(F.count(F.lit(1)).alias("_copies"))
     j = seats.select(*SEAT_COLUMNS, tie).join(copies, "video_id")
     spread = ["video_id"] if longest_range(copies, F.lit(1), F.col("_copies")) > SPREAD_ABOVE else None

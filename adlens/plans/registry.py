@@ -262,3 +262,17 @@ def stream_deal_totals(spark, sf):
 def video_merge_overlaps(spark, sf):
     iv = vs.valid(vs.pad(_video_intervals(spark, sf)))
     return vs.merge_overlaps(iv).select("video_id", "class3_name", "b", "e", "n_merged")
+
+
+@register("stream_pacing_flags", oracle.pacing_flags())
+def stream_pacing_flags(spark, sf):
+    """ST-3 a + ST-4 on the stream: read-add-write totals seeded with the stored table,
+    cap flags per micro-batch; the union of flagged keys over all batches."""
+    from adlens.session import scratch_path
+    sink = deal_stream.ReadAddWriteSink(scratch_path(spark, "rw_state"), td.deal_caps(spark, sf),
+                                        scratch_path(spark, "rw_flags"),
+                                        day=F.to_date(F.col("ts").cast("timestamp")).cast("string"),
+                                        initial=td.stored_totals(spark, sf))
+    q = deal_stream.run_read_add_write(spark, _raw_log_stream(spark, sf), sink, trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(sink.flags_path).select("dealid", "now_time", "doc_id").distinct()

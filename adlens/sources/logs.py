@@ -58,6 +58,19 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
+def index_options(nodes: str, port: int | str = 9200, user: str | None = None, password: str | None = None,
+                  pushdown: bool = True, extra: dict | None = None) -> dict[str, str]:
+    """Options of a search-index table read (SRC-2) for an index connector that takes
+    ``es.*`` options; the connector jar and format name come from the deployment."""
+    opts = {"es.nodes": nodes, "es.port": str(port), "pushdown": str(pushdown).lower()}
+    if user is not None:
+        opts["es.net.http.auth.user"] = user
+    if password is not None:
+        opts["es.net.http.auth.pass"] = password
+    opts.update(extra or {})
+    return opts
+
+
 def register_table(spark: SparkSession, name: str, fmt: str, options: dict[str, str] | None = None,
                    path: str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """SRC-1 / SRC-2: load a table in any format and expose it as a temp view.

@@ -105,9 +105,11 @@ class ReadAddWriteSink:
     """
 
     def __init__(self, state_path: str, caps: DataFrame | None = None, flags_path: str | None = None,
-                 slack: int = 30, day: str | None = None):
+                 slack: int = 30, day=None, initial: DataFrame | None = None):
+        """``day``: a ``yyyy-MM-dd`` text, a Column (e.g. the event date), or None for the
+        processing date. ``initial``: the totals table before the first batch."""
         self.state_path, self.caps, self.flags_path = state_path, caps, flags_path
-        self.slack, self.day = slack, day
+        self.slack, self.day, self.initial = slack, day, initial
 
     def _versions(self, spark: SparkSession) -> list[int]:
         jvm = spark.sparkContext._jvm
@@ -130,18 +132,38 @@ class ReadAddWriteSink:
         spark = batch.sparkSession
         if batch_id in self._versions(spark) or batch.isEmpty():
             return
-        day = self.day or F.date_format(F.current_timestamp(), "yyyy-MM-dd")
+        day = self.day if self.day is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
         counts = counters.day_counts(counters.keep_topic(batch), day).filter(F.col("dealid").isNotNull())
         stored = self.current(spark)
         if stored is None:
-            stored = spark.createDataFrame([], "dealid string, now_time string, total bigint")
+            stored = (self.initial if self.initial is not None
+                      else spark.createDataFrame([], "dealid string, now_time string, total bigint"))
+        stored = stored.select("dealid", "now_time", F.col("total").cast("bigint").alias("total"))
         running = counters.add_to_totals(counts, stored).persist()
         try:
-            new_state = merge.upsert(stored.withColumn("total", F.col("total").cast("bigint")),
-                                     running, ["dealid", "now_time"], ["total"], check_unique=False)
-            new_state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"v={batch_id}"))
+            # Flags first, state last: the state version is the batch's commit marker,
+            # so a batch that died half-way is redone in full on replay.
             if self.caps is not None and self.flags_path:
                 flagged = counters.near_cap(running, self.caps, self.slack)
                 flagged.write.mode("overwrite").parquet(os.path.join(self.flags_path, f"batch_id={batch_id}"))
+            new_state = merge.upsert(stored, running, ["dealid", "now_time"], ["total"], check_unique=False)
+            new_state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"v={batch_id}"))
         finally:
             running.unpersist()
+
+
+def run_read_add_write(spark: SparkSession, raw_stream: DataFrame, sink: ReadAddWriteSink,
+                       checkpoint: str | None = None, trigger: dict | None = None):
+    """ST-1 + ST-3 a: the reference's micro-batch loop (default trigger: every 10 s)."""
+    checkpoint = checkpoint or scratch_path(spark, "read_add_write_ckpt")
+    return (raw_stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
+def stop_gracefully(query, timeout_s: float = 60.0) -> None:
+    """ST-7: let the running micro-batch finish, then stop."""
+    import time
+    deadline = time.time() + timeout_s
+    while query.isActive and query.status.get("isTriggerActive") and time.time() < deadline:
+        time.sleep(0.2)
+    query.stop()

@@ -129,3 +129,9 @@ def test_documents_have_stable_ids(spark):
     d2 = vs.to_documents(run(spark, [seat("v", 2000, 4000)])).collect()
     assert d1[0]["doc_id"] == d2[0]["doc_id"]
     assert '"string_time":"0_9000"' in d1[0]["doc"]
+
+
+def test_semi_join_variant_keeps_each_interval_once(spark):
+    seats, use = frame(spark, [seat("v", 0, 1000)], usable=["v", "v"])
+    assert vs.join_usable(seats, use, distinct=True).count() == 1
+    assert vs.join_usable(seats, use).count() == 2

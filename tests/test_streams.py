@@ -90,3 +90,17 @@ def test_parse_stream_keeps_malformed_as_null(spark, tmp_out):
     assert got.count() == 10000
     bad = got.filter("event_id % 23 = 0").filter(F.col("dealid").isNotNull()).count()
     assert bad == 0
+
+
+def test_processing_time_loop_and_graceful_stop(spark, tmp_out):
+    schema = split_events(spark, os.path.join(tmp_out, "src"), parts=2)
+    q, out = deal_stream.run_deal_totals(spark, stream_from(spark, os.path.join(tmp_out, "src"), schema, 1),
+                                         out_path=os.path.join(tmp_out, "out"),
+                                         checkpoint=os.path.join(tmp_out, "ckpt"),
+                                         trigger={"processingTime": "1 second"}, day_mode="processing")
+    q.processAllAvailable()
+    deal_stream.stop_gracefully(q)
+    assert not q.isActive
+    got = deal_stream.latest_totals(spark, out)
+    assert got.select("now_time").distinct().count() == 1  # stamped with the processing date
+    assert got.agg(F.sum("total")).first()[0] == counters.keep_topic(td.raw_stream(spark, SF)).count()
