@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.scalar import flag_doc_id, json_field
-from adlens.operators.lookup import bounded_broadcast
 
 ADX_TOPIC = "sltadxlog-adx-bg"
 
@@ -57,7 +56,9 @@ def near_cap(totals: DataFrame, caps: DataFrame, slack: int = 30) -> DataFrame:
 def apply_stop_flags(caps: DataFrame, flagged: DataFrame) -> DataFrame:
     """K-3: set ``stop = 1`` on the cap rows whose doc id was flagged; ids with no cap
     row are ignored, like a partial update of a missing document."""
-    hits = bounded_broadcast(flagged.select(F.col("doc_id").alias("_hit")).distinct())
+    # No hint: the flagged side is derived (counting it would recompute it), so the
+    # join is left to AQE, which broadcasts it only if its runtime size is small.
+    hits = flagged.select(F.col("doc_id").alias("_hit")).distinct()
     joined = caps.join(hits, flag_doc_id("dealid", "now_time") == F.col("_hit"), "left")
     return joined.select("dealid", "now_time", "dealidnum",
                          F.when(F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.col("stop"))

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from adlens.functions.scalar import with_default
 
-# A dimension row of these tables is < 100 bytes; 2M rows stay well under the
-# executor memory a broadcast may take.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Rows of these dimension tables are ~60 bytes: 200k rows is ~12 MB per copy,
+# about Spark's own default broadcast threshold. Larger sides are shuffled.
+DEFAULT_BROADCAST_ROWS = 200_000
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

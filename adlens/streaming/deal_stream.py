@@ -51,9 +51,13 @@ class BatchLedgerSink:
         self.path = path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # ST-2: nothing to write for an empty batch
-            return
-        batch.write.mode("overwrite").parquet(os.path.join(self.path, f"batch_id={batch_id}"))
+        batch = batch.persist()  # two actions below; the stateful batch is computed once
+        try:
+            if batch.isEmpty():  # ST-2: nothing to write for an empty batch
+                return
+            batch.write.mode("overwrite").parquet(os.path.join(self.path, f"batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
 
 
 def latest_totals(spark: SparkSession, path: str, keys=("dealid", "now_time")) -> DataFrame:
