@@ -1,5 +1,8 @@
 """Order-dependent building blocks that stay parallel inside one hot group.
 
+Both scans first measure the largest group (one count aggregate). Without a hot
+group they are plain window functions; with one they use the plan below.
+
 ``rank_within`` is ``row_number() OVER (PARTITION BY g ORDER BY o)`` without a
 per-group window: rows are range-partitioned on (g, o), so a group holding a
 third of the data is spread over many tasks. Each task numbers its rows; a
@@ -21,14 +24,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# A group up to this many rows is ranked / scanned by one window task (sorted,
+# spilling if needed). Larger groups take the range-partitioned path.
+HOT_GROUP_ROWS = 5_000_000
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def largest_group(df: DataFrame, group: list[str]) -> int:
+    """Row count of the largest group: a partial + final count, one row to the driver."""
+    v = df.groupBy(*group).count().agg(F.max("count")).first()[0]
+    return int(v or 0)
+
+
+def _has_hot_group(df: DataFrame, group: list[str], hot_rows: int | None) -> bool:
+    limit = HOT_GROUP_ROWS if hot_rows is None else hot_rows
+    return limit <= 0 or largest_group(df, group) > limit
+
+
 def rank_within(df: DataFrame, group: list[str], order: list[str | Column], out: str = "rn",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """1-based position of each row in its group under ``order`` (ties broken arbitrarily,
-    so ``order`` should make rows unique up to interchangeable duplicates)."""
+    so ``order`` should make rows unique up to interchangeable duplicates).
+
+    When no group exceeds ``hot_rows`` (checked by one count aggregate) this is a plain
+    ``row_number`` window; otherwise the range-partitioned plan below."""
+    if not _has_hot_group(df, group, hot_rows):
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     n = _partitions(df, partitions)
     keys = [F.col(c) if isinstance(c, str) else c for c in (*group, *order)]
     cols = df.columns
@@ -80,7 +104,8 @@ _SCANS = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
 def prefix_within(df: DataFrame, group: list[str], order: list[str], value: Column | str, how: str = "max",
-                  out: str = "prefix", inclusive: bool = False, partitions: int | None = None) -> DataFrame:
+                  out: str = "prefix", inclusive: bool = False, partitions: int | None = None,
+                  hot_rows: int | None = None) -> DataFrame:
     """Running ``how`` (max / min / sum) of ``value`` over the rows before (or up to)
     each row of its group, in ``order`` (which must make rows unique).
 
@@ -90,13 +115,16 @@ def prefix_within(df: DataFrame, group: list[str], order: list[str], value: Colu
     later slices of the same group. Null where no row precedes.
     """
     fn = _SCANS[how]
+    upto = 0 if inclusive else -1
+    v = F.col(value) if isinstance(value, str) else value
+    if not _has_hot_group(df, group, hot_rows):
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+        return df.withColumn(out, fn(v).over(w))
     n = _partitions(df, partitions)
     keys = [F.col(c) for c in (*group, *order)]
     cols = df.columns
-    v = F.col(value) if isinstance(value, str) else value
     tagged = (df.withColumn("_v", v).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    upto = 0 if inclusive else -1
     local = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
     scanned = tagged.withColumn("_loc", fn("_v").over(local))
     gnames = [f"_g{i}" for i in range(len(group))]

@@ -164,12 +164,17 @@ def to_documents(segs: DataFrame) -> DataFrame:
                        F.to_json(F.struct(*DOC_COLUMNS)).alias("doc"))
 
 
+def prepare_intervals(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS) -> DataFrame:
+    """Usable, kept, padded, valid intervals, checkpointed once (shared checkpoint
+    folder): they feed several scans and joins, which then read files instead of
+    recomputing the table scans and joins."""
+    return valid(pad(join_usable(seats, usable, tie), pad_ms)).checkpoint(eager=True)
+
+
 def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,
                    persist: bool = True) -> DataFrame:
     """R-11 end to end: usable join, class filter, padding, sweep -> segments."""
-    # The intervals feed the point numbering and the span join: checkpoint them once
-    # (shared checkpoint folder) instead of recomputing scan + joins per consumer.
-    iv = valid(pad(join_usable(seats, usable, tie), pad_ms)).checkpoint(eager=True)
+    iv = prepare_intervals(seats, usable, tie, pad_ms)
     pts = points(iv)
     if persist:
         pts = pts.persist(StorageLevel.MEMORY_AND_DISK)

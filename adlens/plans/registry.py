@@ -202,15 +202,19 @@ def video_pad(spark, sf):
         "video_id", "class_type_id", "class3_name", "ad_seat_b_time", "ad_seat_e_time", "b", "e", "status")
 
 
+def _prepared(spark, sf):
+    return vs.prepare_intervals(td.ad_seat(spark, sf), td.usable_media(spark, sf))
+
+
 @register("video_interval_rank", oracle.video_interval_rank())
 def video_interval_rank(spark, sf):
-    iv = vs.valid(vs.pad(_video_intervals(spark, sf)))
+    iv = _prepared(spark, sf)
     return vs.interval_rank(iv).select("video_id", "rn", "b", "e", "class3_name")
 
 
 @register("video_points", oracle.video_points())
 def video_points(spark, sf):
-    iv = vs.valid(vs.pad(_video_intervals(spark, sf)))
+    iv = _prepared(spark, sf)
     return vs.points(iv).select("video_id", "p", "t", "is_end", "t_prev")
 
 
@@ -260,7 +264,7 @@ def stream_deal_totals(spark, sf):
 
 @register("video_merge_overlaps", oracle.video_merge_overlaps())
 def video_merge_overlaps(spark, sf):
-    iv = vs.valid(vs.pad(_video_intervals(spark, sf)))
+    iv = _prepared(spark, sf)
     return vs.merge_overlaps(iv).select("video_id", "class3_name", "b", "e", "n_merged")
 
 

@@ -1,18 +1,20 @@
 """rank_within and explode_range against plain Spark equivalents, with one hot group."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from adlens.operators.ordering import explode_range, rank_within
+from adlens.operators.ordering import explode_range, prefix_within, rank_within
 
 
-def test_rank_within_equals_row_number_on_skewed_groups(spark):
+@pytest.mark.parametrize("hot_rows", [0, None])  # 0 forces the range-partitioned path
+def test_rank_within_equals_row_number_on_skewed_groups(spark, hot_rows):
     # group "hot" holds most rows; a null group is ranked too
     df = spark.range(0, 20000).select(
         F.when(F.col("id") % 10 < 7, F.lit("hot")).when(F.col("id") % 10 == 9, F.lit(None))
          .otherwise(F.concat(F.lit("g"), (F.col("id") % 13).cast("string"))).alias("g"),
         ((F.col("id") * 7919) % 1000).alias("k"), F.col("id"))
-    got = rank_within(df, ["g"], ["k", "id"], out="rn", partitions=16)
+    got = rank_within(df, ["g"], ["k", "id"], out="rn", partitions=16, hot_rows=hot_rows)
     w = Window.partitionBy("g").orderBy("k", "id")
     want = df.withColumn("rn", F.row_number().over(w))
     assert got.count() == 20000
@@ -25,3 +27,13 @@ def test_explode_range_matches_sequence(spark):
     want = df.filter("lo <= hi").select("id", "lo", "hi", F.explode(F.sequence("lo", "hi")).alias("x"))
     assert got.count() == 10 + 9001 + 1
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("how,inclusive", [("max", False), ("max", True), ("sum", True), ("min", False)])
+def test_prefix_within_range_path_equals_window(spark, how, inclusive):
+    df = spark.range(0, 5000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.lit("cold")).alias("g"),
+        F.col("id"), ((F.col("id") * 7919) % 997).alias("v"))
+    forced = prefix_within(df, ["g"], ["id"], "v", how, out="p", inclusive=inclusive, partitions=8, hot_rows=0)
+    plain = prefix_within(df, ["g"], ["id"], "v", how, out="p", inclusive=inclusive)
+    assert forced.exceptAll(plain).count() == 0 and plain.exceptAll(forced).count() == 0

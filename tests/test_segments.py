@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from adlens.operators import ordering
 from adlens.operators import segments as vs
 from adlens.schemas import AD_SEAT
 
@@ -94,8 +95,10 @@ def literal_sweep(intervals, pad=vs.PAD_MS):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_matches_literal_sweep(spark, seed):
+@pytest.mark.parametrize("seed,hot", [(1, False), (2, False), (3, True), (4, True)])
+def test_matches_literal_sweep(spark, seed, hot, monkeypatch):
+    if hot:  # every group takes the range-partitioned (hot group) path
+        monkeypatch.setattr(ordering, "HOT_GROUP_ROWS", 0)
     rnd = random.Random(seed)
     rows, expected = [], []
     for v in range(6):
@@ -135,3 +138,36 @@ def test_semi_join_variant_keeps_each_interval_once(spark):
     seats, use = frame(spark, [seat("v", 0, 1000)], usable=["v", "v"])
     assert vs.join_usable(seats, use, distinct=True).count() == 1
     assert vs.join_usable(seats, use).count() == 2
+
+
+def literal_merge(ivs):
+    """Islands of overlapping intervals (touching ones stay apart), per tag."""
+    out = []
+    for tag in sorted({t for _, _, t in ivs}):
+        cur = None
+        for b, e, _ in sorted((b, e, t) for b, e, t in ivs if t == tag):
+            if cur and b < cur[1]:
+                cur = [cur[0], max(cur[1], e), cur[2] + 1]
+            else:
+                if cur:
+                    out.append((tag, *cur))
+                cur = [b, e, 1]
+        out.append((tag, *cur))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_merge_overlaps_matches_literal(spark, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(ordering, "HOT_GROUP_ROWS", 0)
+    rnd = random.Random(11)
+    rows, padded = [], []
+    for sid in range(60):
+        b = rnd.randint(0, 200) * 1000
+        e = b + rnd.randint(0, 20) * 1000
+        tag = rnd.choice(["a", "b"])
+        rows.append(seat("v", b, e, c3=tag, sid=sid))
+        padded.append((max(b - 5000, 0), e + 5000, tag))
+    seats, use = frame(spark, rows)
+    got = vs.merge_overlaps(vs.prepare_intervals(seats, use)).collect()
+    assert sorted((r["class3_name"], r["b"], r["e"], r["n_merged"]) for r in got) == literal_merge(padded)
