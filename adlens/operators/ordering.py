@@ -23,6 +23,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlens.session import ensure_checkpoint_dir
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint into the session's checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
 # A group up to this many rows is ranked / scanned by one window task (sorted,
 # spilling if needed). Larger groups take the range-partitioned path.
@@ -52,7 +60,7 @@ def rank_within(df: DataFrame, group: list[str], order: list[str | Column], out:
     When no group exceeds ``hot_rows`` (checked by one count aggregate) this is a plain
     ``row_number`` window; otherwise the range-partitioned plan below."""
     if not _has_hot_group(df, group, hot_rows):
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
     n = _partitions(df, partitions)
     keys = [F.col(c) if isinstance(c, str) else c for c in (*group, *order)]
     cols = df.columns
@@ -61,8 +69,8 @@ def rank_within(df: DataFrame, group: list[str], order: list[str | Column], out:
     # fixes one placement in the shared checkpoint folder (and survives executor loss).
     tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    tagged = checkpointed(tagged)
     gnames = [f"_g{i}" for i in range(len(group))]
     slices = (tagged.groupBy("_pid", *group)
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")))
@@ -124,7 +132,8 @@ def prefix_within(df: DataFrame, group: list[str], order: list[str], value: Colu
     keys = [F.col(c) for c in (*group, *order)]
     cols = df.columns
     tagged = (df.withColumn("_v", v).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+              .withColumn("_pid", F.spark_partition_id()))
+    tagged = checkpointed(tagged)
     local = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
     scanned = tagged.withColumn("_loc", fn("_v").over(local))
     gnames = [f"_g{i}" for i in range(len(group))]

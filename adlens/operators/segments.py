@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.scalar import clamp_low
-from adlens.operators.ordering import explode_range, longest_range, prefix_within, rank_within
+from adlens.operators.ordering import checkpointed, explode_range, longest_range, prefix_within, rank_within
 
 # Fixed values of the reference job: padding of each interval in ms, the tag
 # classes kept, and the output list name of each class.
@@ -168,7 +168,7 @@ def prepare_intervals(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad
     """Usable, kept, padded, valid intervals, checkpointed once (shared checkpoint
     folder): they feed several scans and joins, which then read files instead of
     recomputing the table scans and joins."""
-    return valid(pad(join_usable(seats, usable, tie), pad_ms)).checkpoint(eager=True)
+    return checkpointed(valid(pad(join_usable(seats, usable, tie), pad_ms)))
 
 
 def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,

@@ -41,6 +41,28 @@ def read_all(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(root)
 
 
+PARTITION_COLUMNS = ("local-month", "local-day")
+
+
+def to_partitioned(spark: SparkSession, json_root: str, out_root: str, schema: T.StructType,
+                   months=None, mode: str = "overwrite") -> None:
+    """One-time conversion of JSON month logs into parquet partitioned by month and day.
+
+    Later report runs then prune to the partitions a filter names (a day, a month)
+    and read only the columns a report needs. ``overwrite`` is dynamic per
+    partition, so re-converting one month leaves the others alone."""
+    df = read_months(spark, json_root, months, schema) if months else read_all(spark, json_root, schema)
+    (df.repartition(*PARTITION_COLUMNS).write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*PARTITION_COLUMNS).parquet(out_root))
+
+
+def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """A month/day partitioned log; month and day stay text (no type inference of
+    partition values, so "05" is not read as 5)."""
+    return spark.read.schema(schema).option("basePath", root).parquet(root)
+
+
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, partition_column: str | None = None,
                  lower: int | None = None, upper: int | None = None, num_partitions: int | None = None,

@@ -100,3 +100,17 @@ def test_documents_sink_overwrites(spark, tmp_out):
     writers.write_documents(docs, tmp_out + "/docs")
     writers.write_documents(docs, tmp_out + "/docs")
     assert spark.read.json(tmp_out + "/docs").count() == 1
+
+
+def test_partitioned_logs_prune_to_one_day(spark, tmp_out):
+    src = os.path.join(tmp_out, "json")
+    write_month_logs(spark, src)
+    out = os.path.join(tmp_out, "pq")
+    logs.to_partitioned(spark, src, out, schemas.EXPOSURE_LOG)
+    df = logs.read_partitioned(spark, out, schemas.EXPOSURE_LOG)
+    day = df.filter((F.col("local-month") == "202401") & (F.col("local-day") == "05"))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "local-day" in plan
+    n = td.exposure_log(spark, "/root/testdata/sf0.001").filter(F.col("local-day") == "05").count()
+    assert day.count() == n
+    assert df.schema["local-day"].dataType.simpleString() == "string"
