@@ -1,10 +1,12 @@
 """Batch reports R-1 ... R-7: per-deal / per-DSP counts enriched from dimensions.
 
-Each report is one partial + final hash aggregate (map-side combine, so a hot
-deal is pre-aggregated in every task before the shuffle) followed by lookups
-against small dimension tables. ``first(x)`` of the reference is made
-deterministic as ``min_by(x, ord)``: the value of the row with the smallest
-tie-break column, null included, all attributes from that same row.
+Each report is one partial + final aggregate (map-side combine, so a hot deal
+is pre-aggregated in every task before the shuffle) followed by lookups against
+small dimension tables. ``first(x)`` of the reference is made deterministic as
+one ``min_by(struct(attributes), ord)``: all attributes of the row with the
+smallest tie-break, nulls included. Its text buffer makes the aggregate
+sort-based (as ``first`` of text was in the reference); one struct keeps it to
+one comparison per row.
 """
 
 from __future__ import annotations
@@ -48,24 +50,26 @@ def _months(log: DataFrame, months) -> DataFrame:
     return log if not months else log.filter(F.col(MONTH).isin(list(months)))
 
 
-def _first(c, ord_col: str):
-    return F.min_by(c if not isinstance(c, str) else F.col(c), F.col(ord_col))
+# ---------------------------------------------------------------- exposure (R-1, R-2)
 
+_EXPOSURE_ATTRS = ("order_id", "main_order_id", "media_channel_id", "tag_id", "adx_material_id",
+                   "dsp_id", "advertiser_id")
 
-# ---------------------------------------------------------------- exposure (R-1, R-2)
 
-def _exposure_measures(ord_col: str):
-    first = lambda c: _first(c, ord_col)
-    return [
-        first("order_id").alias("order_id"),
-        first("main_order_id").alias("main_order_id"),
-        first("media_channel_id").alias("media_channel_id"),
-        first("tag_id").alias("tag_id"),
-        first("adx_material_id").alias("adx_material_id"),
-        first("dsp_id").alias("dsp_id"),
-        first("advertiser_id").alias("advertiser_id"),
-        row_count().alias("total"),
-    ]
+def _first_row(cols, ord_col: str):
+    """All ``first`` attributes in one ``min_by`` over a struct: one comparison per row,
+    and every attribute from the same row."""
+    return F.min_by(F.struct(*[F.col(c).alias(c.replace("-", "_")) for c in cols]), F.col(ord_col)).alias("_first")
+
+
+def _exposure_measures(ord_col: str, extra=()):
+    return [_first_row((*_EXPOSURE_ATTRS, *extra), ord_col), row_count().alias("total")]
+
+
+def _unpack(df: DataFrame) -> DataFrame:
+    fields = df.schema["_first"].dataType.fieldNames()
+    return df.select(*[c for c in df.columns if c != "_first"],
+                     *[F.col("_first").getField(f).alias(f) for f in fields])
 
 
 def _exposure_finish(agg: DataFrame, ssp_tag: DataFrame) -> DataFrame:
@@ -84,7 +88,7 @@ def _exposure_finish(agg: DataFrame, ssp_tag: DataFrame) -> DataFrame:
 def exposure_report_all(log: DataFrame, ssp_tag: DataFrame, ord_col: str = "event_id",
                         months=None) -> DataFrame:
     """R-2: exposures per (deal, month, day) over all months (or the given ones)."""
-    agg = (_months(log, months).groupBy("dealid", MONTH, DAY).agg(*_exposure_measures(ord_col))
+    agg = (_unpack(_months(log, months).groupBy("dealid", MONTH, DAY).agg(*_exposure_measures(ord_col)))
            .withColumn("daytime", dashed_day(MONTH, DAY)))
     return _exposure_finish(agg, ssp_tag)
 
@@ -92,21 +96,17 @@ def exposure_report_all(log: DataFrame, ssp_tag: DataFrame, ord_col: str = "even
 def exposure_report_daily(log: DataFrame, ssp_tag: DataFrame, run: RunDay,
                           ord_col: str = "event_id") -> DataFrame:
     """R-1: exposures per deal on one day (grouped by deal alone, as the reference)."""
-    agg = (_one_day(log, run).groupBy("dealid")
-           .agg(*_exposure_measures(ord_col), _first(MONTH, ord_col).alias("_m"), _first(DAY, ord_col).alias("_d"))
-           .withColumn("daytime", dashed_day("_m", "_d")))
+    agg = (_unpack(_one_day(log, run).groupBy("dealid").agg(*_exposure_measures(ord_col, (MONTH, DAY))))
+           .withColumn("daytime", dashed_day("local_month", "local_day")))
     return _exposure_finish(agg, ssp_tag)
 
 
 # ---------------------------------------------------------------- bid success (R-3, R-4)
 
-def _success_measures(ord_col: str):
-    info = _first("RedisadInfo", ord_col)
-    return [
-        _first("media_channel_id", ord_col).alias("media_channel_id"),
-        info.alias("_info"),
-        row_count().alias("total"),
-    ]
+def _success_measures(ord_col: str, extra=()):
+    first = F.min_by(F.struct(F.col("media_channel_id"), F.col("RedisadInfo").alias("_info"),
+                              *[F.col(c).alias(c.replace("-", "_")) for c in extra]), F.col(ord_col))
+    return [first.alias("_first"), row_count().alias("total")]
 
 
 def _success_fields(df: DataFrame) -> DataFrame:
@@ -126,10 +126,10 @@ def _successes(log: DataFrame) -> DataFrame:
 def success_report_daily(log: DataFrame, ssp_tag: DataFrame, run: RunDay,
                          ord_col: str = "event_id") -> DataFrame:
     """R-3: bid successes per deal on one day; ``daytime`` is ``yyyyMMdd``."""
-    agg = (_successes(_one_day(log, run))
-           .groupBy(F.col("FinalAdobj.dealid").alias("dealid"))
-           .agg(*_success_measures(ord_col), _first(MONTH, ord_col).alias("_m"), _first(DAY, ord_col).alias("_d"))
-           .withColumn("daytime", compact_day("_m", "_d")))
+    agg = (_unpack(_successes(_one_day(log, run))
+                   .groupBy(F.col("FinalAdobj.dealid").alias("dealid"))
+                   .agg(*_success_measures(ord_col, (MONTH, DAY))))
+           .withColumn("daytime", compact_day("local_month", "local_day")))
     out = left_lookup(_success_fields(agg), ssp_tag, "media_channel_id", "channel_id",
                       {"media_id": "media_id"}, {"media_id": "000"})
     return out.select("dealid", "daytime", "media_id", "media_channel_id", "tag_id_channel",
@@ -139,9 +139,9 @@ def success_report_daily(log: DataFrame, ssp_tag: DataFrame, run: RunDay,
 def success_report_all(log: DataFrame, ssp_tag: DataFrame, orders: DataFrame,
                        ord_col: str = "event_id", months=None) -> DataFrame:
     """R-4: bid successes per (deal, month, day), with channel media and deal order data."""
-    agg = (_successes(_months(log, months))
-           .groupBy(F.col("FinalAdobj.dealid").alias("dealid"), F.col(MONTH), F.col(DAY))
-           .agg(*_success_measures(ord_col))
+    agg = (_unpack(_successes(_months(log, months))
+                   .groupBy(F.col("FinalAdobj.dealid").alias("dealid"), F.col(MONTH), F.col(DAY))
+                   .agg(*_success_measures(ord_col)))
            .withColumn("daytime", dashed_day(MONTH, DAY)))
     out = left_lookup(_success_fields(agg), ssp_tag, "media_channel_id", "channel_id",
                       {"media_id": "media_id"}, {"media_id": "000"})
@@ -155,11 +155,12 @@ def success_report_all(log: DataFrame, ssp_tag: DataFrame, orders: DataFrame,
 
 # ---------------------------------------------------------------- bid failure (R-5, R-6)
 
-def _failure_measures(ord_col: str):
+def _failure_measures(ord_col: str, extra=()):
     tag = first_element(F.col("options.body.imp")).getField("tagid")
+    first = F.min_by(F.struct(F.col("media_channel_id"), tag.alias("tag_id"),
+                              *[F.col(c).alias(c.replace("-", "_")) for c in extra]), F.col(ord_col))
     return [
-        _first("media_channel_id", ord_col).alias("media_channel_id"),
-        _first(tag, ord_col).alias("tag_id"),
+        first.alias("_first"),
         null_safe_sum("isReturn").alias("return"),
         null_safe_sum("isTimeOut").alias("timeout"),
         row_count().alias("total"),
@@ -186,17 +187,16 @@ def _dsp_id():
 def failure_report_daily(log: DataFrame, ssp_tag: DataFrame, run: RunDay,
                          ord_col: str = "event_id") -> DataFrame:
     """R-5: bid failures per DSP on one day (``yyyyMMdd``), with the R-6 column set."""
-    agg = (_failures(_one_day(log, run)).groupBy(_dsp_id())
-           .agg(*_failure_measures(ord_col), _first(MONTH, ord_col).alias("_m"), _first(DAY, ord_col).alias("_d"))
-           .withColumn("daytime", compact_day("_m", "_d")))
+    agg = (_unpack(_failures(_one_day(log, run)).groupBy(_dsp_id()).agg(*_failure_measures(ord_col, (MONTH, DAY))))
+           .withColumn("daytime", compact_day("local_month", "local_day")))
     return _failure_finish(agg, ssp_tag)
 
 
 def failure_report_all(log: DataFrame, ssp_tag: DataFrame, ord_col: str = "event_id",
                        months=None) -> DataFrame:
     """R-6: bid failures per (DSP, month, day); ``daytime`` is ``yyyy-MM-dd``."""
-    agg = (_failures(_months(log, months)).groupBy(_dsp_id(), F.col(MONTH), F.col(DAY))
-           .agg(*_failure_measures(ord_col))
+    agg = (_unpack(_failures(_months(log, months)).groupBy(_dsp_id(), F.col(MONTH), F.col(DAY))
+                   .agg(*_failure_measures(ord_col)))
            .withColumn("daytime", dashed_day(MONTH, DAY)))
     return _failure_finish(agg, ssp_tag)
 

@@ -125,8 +125,9 @@ def upsert_merge(spark, sf):
 def counter_add(spark, sf):
     stored = td.stored_totals(spark, sf)
     current = stored.groupBy(fx.counter_key("dealid").alias("key")).agg(F.sum("total").alias("value"))
-    delta = (counters.deal_counts(counters.keep_topic(td.raw_stream(spark, sf)))
-             .select(fx.counter_key("dealid").alias("key"), F.col("total").alias("value")))
+    # Counted straight by counter key, so counter_add's own grouping needs no new shuffle.
+    recs = counters.with_dealid(counters.keep_topic(td.raw_stream(spark, sf)))
+    delta = recs.groupBy(fx.counter_key("dealid").alias("key")).agg(F.count(F.lit(1)).alias("value"))
     return merge.counter_add(current, delta)
 
 
