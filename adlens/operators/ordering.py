@@ -53,14 +53,33 @@ def _has_hot_group(df: DataFrame, group: list[str], hot_rows: int | None) -> boo
 
 
 def rank_within(df: DataFrame, group: list[str], order: list[str | Column], out: str = "rn",
-                partitions: int | None = None, hot_rows: int | None = None) -> DataFrame:
+                partitions: int | None = None, hot_rows: int | None = None,
+                previous: dict[str, str] | None = None) -> DataFrame:
     """1-based position of each row in its group under ``order`` (ties broken arbitrarily,
     so ``order`` should make rows unique up to interchangeable duplicates).
 
-    When no group exceeds ``hot_rows`` (checked by one count aggregate) this is a plain
-    ``row_number`` window; otherwise the range-partitioned plan below."""
+    ``previous`` maps a column to an output name holding that column's value on the
+    previous row of the group (null on the first).
+
+    When no group exceeds ``hot_rows`` (checked by one count aggregate) this is one
+    window pass (``row_number`` and ``lag``); otherwise the range-partitioned plan
+    below, with previous values fetched by an equi join on (group, position - 1)."""
+    previous = previous or {}
     if not _has_hot_group(df, group, hot_rows):
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
+        w = Window.partitionBy(*group).orderBy(*order)
+        out_df = df.withColumn(out, F.row_number().over(w).cast("bigint"))
+        for c, name in previous.items():
+            out_df = out_df.withColumn(name, F.lag(c).over(w))
+        return out_df
+    ranked = _rank_by_range(df, group, order, out, partitions)
+    if not previous:
+        return ranked
+    prev = ranked.select(*group, (F.col(out) + 1).alias(out), *[F.col(c).alias(n) for c, n in previous.items()])
+    return ranked.join(prev, [*group, out], "left").select(*df.columns, out, *previous.values())
+
+
+def _rank_by_range(df: DataFrame, group: list[str], order: list[str | Column], out: str,
+                   partitions: int | None) -> DataFrame:
     n = _partitions(df, partitions)
     keys = [F.col(c) if isinstance(c, str) else c for c in (*group, *order)]
     cols = df.columns

@@ -99,9 +99,7 @@ def points(iv: DataFrame) -> DataFrame:
         F.struct(F.col("b").alias("t"), F.lit(0).alias("is_end")),
         F.struct(F.col("e").alias("t"), F.lit(1).alias("is_end")))).alias("_pt"))
     pts = pts.select("video_id", *IKEY, "b", "_pt.t", "_pt.is_end")
-    numbered = rank_within(pts, ["video_id"], ["t", "b", *IKEY, "is_end"], out="p")
-    prev = numbered.select("video_id", (F.col("p") + 1).alias("p"), F.col("t").alias("t_prev"))
-    return numbered.join(prev, ["video_id", "p"], "left")
+    return rank_within(pts, ["video_id"], ["t", "b", *IKEY, "is_end"], out="p", previous={"t": "t_prev"})
 
 
 def members(iv: DataFrame, numbered_points: DataFrame) -> DataFrame:

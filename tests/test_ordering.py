@@ -37,3 +37,12 @@ def test_prefix_within_range_path_equals_window(spark, how, inclusive):
     forced = prefix_within(df, ["g"], ["id"], "v", how, out="p", inclusive=inclusive, partitions=8, hot_rows=0)
     plain = prefix_within(df, ["g"], ["id"], "v", how, out="p", inclusive=inclusive)
     assert forced.exceptAll(plain).count() == 0 and plain.exceptAll(forced).count() == 0
+
+
+def test_previous_values_range_path_equal_lag(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 5 < 4, F.lit("hot")).otherwise(F.lit("cold")).alias("g"),
+        F.col("id"), ((F.col("id") * 31) % 101).alias("v"))
+    forced = rank_within(df, ["g"], ["id"], out="rn", hot_rows=0, previous={"v": "pv"})
+    plain = rank_within(df, ["g"], ["id"], out="rn", previous={"v": "pv"})
+    assert forced.exceptAll(plain).count() == 0 and plain.exceptAll(forced).count() == 0
