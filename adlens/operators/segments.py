@@ -15,8 +15,9 @@ the same result is computed set-wise:
   which are exactly the elements of the answer, joined to point times on
   (video, p) and grouped on (video, p).
 
-Every shuffle is keyed by (video, point) or (video, interval), never by video
-alone, so one very long video is spread over all tasks.
+When a video is hot (measured), every shuffle is keyed by (video, point) or
+(video, interval), so one very long video is spread over all tasks; otherwise
+the numbering is one window pass per video.
 """
 
 from __future__ import annotations
