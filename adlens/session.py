@@ -44,17 +44,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Taken from ``spark.checkpoint.dir`` when the cluster names one; only when
     it is unset (local runs, tests) a private folder is made.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the setting
+        return conf or ""
+    current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="adlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+    sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,10 +103,12 @@ class ReadAddWriteSink:
     """ST-3 a / ST-4 inside foreachBatch: add batch counts to an outside totals table,
     write its new version, flag deals near their cap.
 
-    State is a directory of versions ``v=<batch_id>``; a batch whose version exists
-    is skipped (D13: a replay does not count twice). The batch's totals are
-    persisted before the write, so the cap check reads the values just written
-    (K-6), then released.
+    State is a directory of versions ``v=<batch_id>`` plus a ledger of applied batch
+    ids (parquet, appended after the version is written). Batches arrive in order,
+    so a batch id not above the ledger's largest is a replay and is skipped (D13);
+    a batch that died before its ledger row is recomputed from the previous version
+    and overwrites its own files. The batch's totals are persisted while the flags
+    and the new version are written from them (K-6), then released.
     """
 
     def __init__(self, state_path: str, caps: DataFrame | None = None, flags_path: str | None = None,
@@ -114,27 +117,25 @@ class ReadAddWriteSink:
         processing date. ``initial``: the totals table before the first batch."""
         self.state_path, self.caps, self.flags_path = state_path, caps, flags_path
         self.slack, self.day, self.initial = slack, day, initial
+        self.ledger_path = os.path.join(state_path, "_ledger")
 
-    def _versions(self, spark: SparkSession) -> list[int]:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.state_path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+    def last_applied(self, spark: SparkSession) -> int | None:
+        try:
+            ledger = spark.read.parquet(self.ledger_path)
+        except AnalysisException:  # no batch applied yet
+            return None
+        return ledger.agg(F.max("batch_id")).first()[0]
 
     def current(self, spark: SparkSession) -> DataFrame | None:
-        vs = self._versions(spark)
-        return spark.read.parquet(os.path.join(self.state_path, f"v={vs[-1]}")) if vs else None
+        last = self.last_applied(spark)
+        if last is None:
+            return None
+        return spark.read.parquet(os.path.join(self.state_path, f"v={last}"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id in self._versions(spark) or batch.isEmpty():
+        last = self.last_applied(spark)
+        if (last is not None and batch_id <= last) or batch.isEmpty():
             return
         day = self.day if self.day is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
         counts = counters.day_counts(counters.keep_topic(batch), day).filter(F.col("dealid").isNotNull())
@@ -145,13 +146,14 @@ class ReadAddWriteSink:
         stored = stored.select("dealid", "now_time", F.col("total").cast("bigint").alias("total"))
         running = counters.add_to_totals(counts, stored).persist()
         try:
-            # Flags first, state last: the state version is the batch's commit marker,
-            # so a batch that died half-way is redone in full on replay.
             if self.caps is not None and self.flags_path:
                 flagged = counters.near_cap(running, self.caps, self.slack)
                 flagged.write.mode("overwrite").parquet(os.path.join(self.flags_path, f"batch_id={batch_id}"))
             new_state = merge.upsert(stored, running, ["dealid", "now_time"], ["total"], check_unique=False)
             new_state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"v={batch_id}"))
+            # The ledger row commits the batch.
+            spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")) \
+                .write.mode("append").parquet(self.ledger_path)
         finally:
             running.unpersist()
 
