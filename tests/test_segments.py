@@ -171,3 +171,25 @@ def test_merge_overlaps_matches_literal(spark, hot, monkeypatch):
     seats, use = frame(spark, rows)
     got = vs.merge_overlaps(vs.prepare_intervals(seats, use)).collect()
     assert sorted((r["class3_name"], r["b"], r["e"], r["n_merged"]) for r in got) == literal_merge(padded)
+
+
+def test_hot_video_range_path_equals_window_path(spark, monkeypatch):
+    """A third of all intervals in one video: both numbering plans give the same segments."""
+    from adlens.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    seats = (td.ad_seat(spark, sf)
+             .withColumn("sid", F.struct(F.col("video_id"), F.col("sid")))  # unique once videos merge
+             .withColumn("video_id", F.when(F.col("video_id").cast("long") % 3 == 0, F.lit("hot"))
+                         .otherwise(F.col("video_id"))))
+    use = td.usable_media(spark, sf).union(spark.createDataFrame([("hot",)], "video_id string"))
+
+    def flat(df):
+        return df.select("string_vid", "seg_no", "string_time", "n_active", "string_media_release_date",
+                         *[F.array_join(c, ",").alias(c) for c in vs.LIST_COLUMNS])
+
+    plain = flat(vs.segment_videos(seats, use))
+    monkeypatch.setattr(ordering, "HOT_GROUP_ROWS", 0)
+    forced = flat(vs.segment_videos(seats, use))
+    hot_rows = forced.filter("string_vid = 'hot'").count()
+    assert hot_rows > 100
+    assert forced.exceptAll(plain).count() == 0 and plain.exceptAll(forced).count() == 0
