@@ -22,6 +22,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Checkpointed rows go through the RDD serializer; Kryo is faster than Java.
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
