@@ -50,3 +50,6 @@ AD_SEAT = _struct(*[(n, S) for n in (
     "video_id", "media_name", "ad_seat_b_time", "ad_seat_e_time", "drama_name", "drama_type_name",
     "media_area_name", "media_release_date", "class2_name", "class_type_id", "class3_name",
     "ad_seat_img")])
+
+# Raw log records replayed from files: the record text and its event time.
+RAW_RECORD = _struct(("value", S), ("ts", T.TimestampType()))
