@@ -9,10 +9,12 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlens import schemas
 from adlens.operators import reports, segments
 from adlens.sinks import merge, writers
+from adlens.session import scratch_path
 from adlens.sources import logs
 from adlens.streaming import deal_stream
 
@@ -45,19 +47,17 @@ def with_ord(log: DataFrame) -> DataFrame:
 
 
 def upsert_reports(spark: SparkSession, built: dict[str, DataFrame], table_root: str) -> dict[str, str]:
-    """K-1 a: merge each report into its keyed table (``<root>/<name>/current``) and write
-    the new version; returns the written paths."""
+    """K-1 a: merge each report into its keyed table ``<root>/<name>``, stored as parquet
+    partitioned by ``daytime``; only the days a run produced are read and rewritten.
+    Returns the table paths."""
     out = {}
     for name, df in built.items():
         keys, measures = REPORT_KEYS[name]
-        cur_path = os.path.join(table_root, name, "current")
-        new_path = os.path.join(table_root, name, "next")
-        try:
-            current = spark.read.parquet(cur_path)
-        except Exception:  # first run: empty target
-            current = spark.createDataFrame([], df.schema)
-        merge.upsert(current, df, keys, measures).write.mode("overwrite").parquet(new_path)
-        out[name] = new_path
+        path = os.path.join(table_root, name)
+        staging = scratch_path(spark, f"staging-{name}")
+        merge.merge_partitions(spark, path, df.filter(F.col("daytime").isNotNull()), keys, measures,
+                               "daytime", staging)
+        out[name] = path
     return out
 
 

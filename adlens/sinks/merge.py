@@ -53,3 +53,30 @@ def counter_add(counters: DataFrame, delta: DataFrame, key: str = "key", value:
     j = counters.select(key, F.col(value).alias("_c")).join(d, key, "full_outer")
     return j.select(key, (F.coalesce(F.col("_c"), F.lit(0)) + F.coalesce(F.col("_d"), F.lit(0)))
                     .cast("bigint").alias(value))
+
+
+def merge_partitions(spark, target_path: str, updates: DataFrame, keys: list[str], measures: list[str],
+                     partition_col: str, staging_path: str, check_unique: bool = True) -> None:
+    """K-1 on a table stored as parquet partitioned by ``partition_col`` (e.g. the day).
+
+    Only the partitions named by ``updates`` are read (a semi join on their values,
+    which dynamic partition pruning applies to the scan), merged with ``upsert``,
+    written to ``staging_path`` and then swapped into the target with a dynamic
+    partition overwrite; other partitions are not touched. The staging step exists
+    because Spark does not overwrite a path it reads in the same job.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        target = spark.read.parquet(target_path)
+    except AnalysisException:  # first run: the table does not exist yet
+        target = None
+    if target is None:
+        merged = updates
+        if check_unique:
+            assert_unique(updates, keys)
+    else:
+        touched = target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
+        merged = upsert(touched.select(*updates.columns), updates, keys, measures, check_unique)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_path)
+    (spark.read.parquet(staging_path).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))

@@ -31,5 +31,5 @@ def test_success_job(spark, tmp_out):
     out = os.path.join(tmp_out, "tables")
     cli.main(["success", "--request-logs", req, "--ssp-tag", tags, "--orders", orders, "--out", out,
               "--day", "20240131"])
-    got = spark.read.parquet(os.path.join(out, "success", "next"))
+    got = spark.read.parquet(os.path.join(out, "success"))
     assert got.agg(F.sum("total")).first()[0] == td.request_log(spark, SF).filter("isHaveAd = 1").count()

@@ -39,3 +39,16 @@ def test_segment_and_store_writes_documents(spark, tmp_out):
     jobs.segment_and_store(spark, td.ad_seat(spark, SF), td.usable_media(spark, SF), out)
     docs = spark.read.json(out)
     assert docs.count() > 0 and docs.select("doc_id").distinct().count() == docs.count()
+
+
+def test_merge_partitions_rewrites_only_touched_days(spark, tmp_out):
+    from adlens.sinks import merge
+    target = os.path.join(tmp_out, "t")
+    first = spark.createDataFrame([("a", "d1", 1), ("b", "d1", 2), ("a", "d2", 3)], "k string, day string, m long")
+    merge.merge_partitions(spark, target, first, ["k", "day"], ["m"], "day", os.path.join(tmp_out, "s1"))
+    d1_files = sorted(os.listdir(os.path.join(target, "day=d1")))
+    upd = spark.createDataFrame([("a", "d2", 30), ("c", "d2", 5), ("z", "d3", 9)], "k string, day string, m long")
+    merge.merge_partitions(spark, target, upd, ["k", "day"], ["m"], "day", os.path.join(tmp_out, "s2"))
+    got = sorted((r["k"], r["day"], r["m"]) for r in spark.read.parquet(target).collect())
+    assert got == [("a", "d1", 1), ("a", "d2", 30), ("b", "d1", 2), ("c", "d2", 5), ("z", "d3", 9)]
+    assert sorted(os.listdir(os.path.join(target, "day=d1"))) == d1_files  # untouched partition
