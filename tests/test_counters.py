@@ -50,3 +50,31 @@ def test_counter_add(spark):
                                   "key string, value long")
     got = dict((r["key"], r["value"]) for r in merge.counter_add(cur, delta).collect())
     assert got == {"adxhappen:1": 7, "adxhappen:2": 4}
+
+
+def test_null_deal_is_its_own_group_and_kept_out_of_upserts(spark):
+    from pyspark.sql import functions as F
+    recs = spark.createDataFrame([('{"sltcustomtopic":"sltadxlog-adx-bg"}',)] * 3 +
+                                 [('{"dealid":"9","sltcustomtopic":"sltadxlog-adx-bg"}',)], "value string")
+    counts = {r["dealid"]: r["total"] for r in counters.deal_counts(counters.keep_topic(recs)).collect()}
+    assert counts == {None: 3, "9": 1}
+    day = counters.day_counts(counters.keep_topic(recs), "2024-01-01")
+    target = spark.createDataFrame([], "dealid string, now_time string, total long")
+    merged = merge.upsert(target, day.filter(F.col("dealid").isNotNull()), ["dealid", "now_time"], ["total"])
+    assert [(r["dealid"], r["total"]) for r in merged.collect()] == [("9", 1)]
+
+
+def test_malformed_record_dropped_by_topic_filter_but_null_in_parse(spark):
+    from adlens.streaming.deal_stream import parsed_deals
+    raw = spark.createDataFrame([(1, "{bad view"), (2, '{"dealid":"5","dsp_id":10001}')], "event_id long, value string")
+    assert counters.keep_topic(raw).count() == 0
+    got = {r["event_id"]: r["dealid"] for r in parsed_deals(raw).collect()}
+    assert got == {1: None, 2: "5"}
+
+
+def test_flag_doc_id_and_missing_cap_rows_are_ignored(spark):
+    caps = spark.createDataFrame([("1", "2024-01-02", 40, 0)], "dealid string, now_time string, dealidnum int, stop int")
+    flagged = spark.createDataFrame([("1", "2024-01-02", "12024-01-02"), ("7", "2024-01-02", "72024-01-02")],
+                                    "dealid string, now_time string, doc_id string")
+    out = counters.apply_stop_flags(caps, flagged).collect()
+    assert [(r["dealid"], r["stop"]) for r in out] == [("1", 1)]
