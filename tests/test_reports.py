@@ -60,3 +60,11 @@ def test_daily_reports_filter_one_day(spark):
         assert r["media_id"] == "000"
     n_all = log.filter((F.col("isHaveAd") == 0) & (F.col("local-day") == "15")).count()
     assert sum(r["total"] for r in fail.collect()) == n_all
+
+
+def test_cluster_conf_scales_partitions():
+    from adlens.session import cluster_conf
+    conf = cluster_conf(100 * 10**12)
+    assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(10**6)["spark.sql.shuffle.partitions"]) == 200
