@@ -68,19 +68,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, split_bytes: int = 256 << 20, shuffle_bytes: int = 1 << 30,
+                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input (to pass to spark-submit).
 
-    Shuffle partitions start at about one per ``target_partition_bytes`` of input, so
-    the largest stage's partitions fit executor memory without spilling much; AQE then
-    coalesces small ones and splits skewed ones at run time. File splits match the
-    same size. The checkpoint folder must be set by the cluster to shared storage.
+    Initial shuffle partitions: about one per GB of input (shuffles after partial
+    aggregation are much smaller than the input), capped so map-output bookkeeping
+    stays small; AQE coalesces small partitions to the advisory size and splits
+    skewed ones. File splits are 256 MB. The checkpoint folder must be set by the
+    cluster to shared storage.
     """
-    parts = max(200, -(-input_bytes // target_partition_bytes))
+    parts = min(max_shuffle_partitions, max(200, -(-input_bytes // shuffle_bytes)))
     return {
         **{k: v for k, v in BASE_CONF.items() if k != "spark.ui.enabled"},
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * split_bytes),
     }

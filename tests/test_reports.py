@@ -65,6 +65,6 @@ def test_daily_reports_filter_one_day(spark):
 def test_cluster_conf_scales_partitions():
     from adlens.session import cluster_conf
     conf = cluster_conf(100 * 10**12)
-    assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
+    assert 50_000 < int(conf["spark.sql.shuffle.partitions"]) <= 100_000
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(10**6)["spark.sql.shuffle.partitions"]) == 200
