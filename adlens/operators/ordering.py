@@ -106,15 +106,19 @@ def explode_range(df: DataFrame, lo: Column, hi: Column, out: str, chunk: int =
                   spread: list[str] | None = None) -> DataFrame:
     """One row per integer in [lo, hi] (no row when lo > hi), other columns repeated.
 
-    Ranges are first cut into pieces of at most ``chunk`` values; with ``spread``
-    the pieces are repartitioned on ``spread`` + piece start before the second
-    explode, so one long range is generated by many tasks.
+    Ranges are first cut into pieces of max(``chunk``, sqrt(length)) values, so
+    neither explode materialises more than about sqrt(length) elements of one
+    range; with ``spread`` the pieces are repartitioned on ``spread`` + piece start
+    before the second explode, so one long range is generated by many tasks.
     """
     cols = df.columns
+    size = F.greatest(F.lit(chunk).cast("long"), F.ceil(F.sqrt(F.col("_hi") - F.col("_lo") + 1)).cast("long"))
     pieces = (df.withColumn("_lo", lo).withColumn("_hi", hi).filter(F.col("_lo") <= F.col("_hi"))
-              .withColumn("_k", F.explode(F.sequence(F.lit(0), F.floor((F.col("_hi") - F.col("_lo")) / chunk).cast("long"))))
-              .withColumn("_a", F.col("_lo") + F.col("_k") * chunk)
-              .withColumn("_b", F.least(F.col("_hi"), F.col("_a") + (chunk - 1))))
+              .withColumn("_c", size)
+              .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                     F.floor((F.col("_hi") - F.col("_lo")) / F.col("_c")).cast("long"))))
+              .withColumn("_a", F.col("_lo") + F.col("_k") * F.col("_c"))
+              .withColumn("_b", F.least(F.col("_hi"), F.col("_a") + F.col("_c") - 1)))
     if spread is not None:
         pieces = pieces.repartition(*[F.col(c) for c in spread], F.col("_a"))
     return pieces.select(*cols, F.explode(F.sequence(F.col("_a"), F.col("_b"))).alias(out))

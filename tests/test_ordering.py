@@ -23,7 +23,7 @@ def test_rank_within_equals_row_number_on_skewed_groups(spark, hot_rows):
 
 def test_explode_range_matches_sequence(spark):
     df = spark.createDataFrame([(1, 1, 10), (2, 5, 4), (3, 0, 9000), (4, 7, 7)], "id int, lo long, hi long")
-    got = explode_range(df, F.col("lo"), F.col("hi"), "x", chunk=1000)
+    got = explode_range(df, F.col("lo"), F.col("hi"), "x", chunk=16, spread=["id"])
     want = df.filter("lo <= hi").select("id", "lo", "hi", F.explode(F.sequence("lo", "hi")).alias("x"))
     assert got.count() == 10 + 9001 + 1
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
