@@ -22,7 +22,6 @@ the numbering is one window pass per video.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,7 +116,9 @@ def members(iv: DataFrame, numbered_points: DataFrame) -> DataFrame:
 
 
 def _sorted_items(m: DataFrame):
-    item = F.struct(F.col("b"), *[F.col(k) for k in IKEY],
+    # pb (the interval's begin-point number) orders intervals like (begin, tie-break):
+    # one long to sort on instead of the tie-break struct.
+    item = F.struct(F.col("pb"),
                     F.col("class_type_id").cast("string").alias("cls"),
                     F.col("class3_name").alias("c3"), F.col("class2_name").alias("c2"),
                     F.col("ad_seat_img").alias("img"))
@@ -135,7 +136,7 @@ def segments(m: DataFrame) -> DataFrame:
     Attributes come from the first active interval in interval order; the twelve
     lists keep interval order and are not de-duplicated.
     """
-    first_attrs = F.min_by(F.struct(*[F.col(c) for c, _ in ATTRS]), F.struct(F.col("b"), *[F.col(k) for k in IKEY]))
+    first_attrs = F.min_by(F.struct(*[F.col(c) for c, _ in ATTRS]), F.col("pb"))
     g = (m.groupBy("video_id", "p")
          .agg(F.min("t_prev").alias("_tb"), F.min("t").alias("_te"), first_attrs.alias("_a"),
               _sorted_items(m).alias("_items"), F.count(F.lit(1)).alias("n_active")))
@@ -170,13 +171,13 @@ def prepare_intervals(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad
     return checkpointed(valid(pad(join_usable(seats, usable, tie), pad_ms)))
 
 
-def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,
-                   persist: bool = True) -> DataFrame:
-    """R-11 end to end: usable join, class filter, padding, sweep -> segments."""
+def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS) -> DataFrame:
+    """R-11 end to end: usable join, class filter, padding, sweep -> segments.
+
+    The numbered points feed both the span aggregate and the segment bounds, so
+    they are checkpointed once (no cached data left behind in a long session)."""
     iv = prepare_intervals(seats, usable, tie, pad_ms)
-    pts = points(iv)
-    if persist:
-        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    pts = checkpointed(points(iv))
     return segments(members(iv, pts))
 
 
