@@ -38,11 +38,23 @@ def parsed_deals(raw: DataFrame, keep=("event_id",)) -> DataFrame:
 
 
 def deal_day_counts(raw: DataFrame, day_mode: str = "event", watermark: str | None = None) -> DataFrame:
-    """Topic filter + count per (deal, day). With ``watermark`` state for closed days is dropped."""
+    """Topic filter + count per (deal, day).
+
+    ``processing``: the day of the micro-batch (the reference). Days are 1-day windows
+    over the batch time with a watermark on it, so a day's state is dropped once the
+    day is over. ``event``: the event's day; exact for any lateness (state kept) unless
+    ``watermark`` is given, then days older than the watermark are closed and dropped.
+    """
     recs = counters.keep_topic(raw)
-    if watermark:
-        recs = recs.withColumn("_et", F.col("ts").cast("timestamp")).withWatermark("_et", watermark)
-    return counters.day_counts(recs, day_column(day_mode))
+    if day_mode == "processing":
+        timed = recs.withColumn("_t", F.current_timestamp()).withWatermark("_t", watermark or "0 seconds")
+    elif watermark:
+        timed = recs.withColumn("_t", F.col("ts").cast("timestamp")).withWatermark("_t", watermark)
+    else:
+        return counters.day_counts(recs, day_column(day_mode))
+    return (counters.with_dealid(timed).groupBy("dealid", F.window("_t", "1 day").alias("_w"))
+            .agg(F.count(F.lit(1)).alias("total"))
+            .select("dealid", F.date_format(F.col("_w.start"), "yyyy-MM-dd").alias("now_time"), "total"))
 
 
 class BatchLedgerSink:
@@ -61,13 +73,45 @@ class BatchLedgerSink:
             batch.unpersist()
 
 
+SNAPSHOTS = "_snapshot"  # underscore: not a partition of the batch folders
+
+
+def _latest_snapshot(spark: SparkSession, path: str):
+    """(upto_batch, frame) of the newest snapshot, or (None, None)."""
+    try:
+        snaps = spark.read.parquet(os.path.join(path, SNAPSHOTS))
+    except AnalysisException:
+        return None, None
+    upto = snaps.agg(F.max("upto")).first()[0]
+    return upto, snaps.filter(F.col("upto") == upto).drop("upto")
+
+
 def latest_totals(spark: SparkSession, path: str, keys=("dealid", "now_time")) -> DataFrame:
-    """Current value per key: the row of the highest batch that updated it."""
+    """Current value per key: the row of the highest batch that updated it. Reads the
+    newest snapshot (if any) and only the batch folders after it (partition pruning)."""
+    upto, snap = _latest_snapshot(spark, path)
     rows = spark.read.parquet(path)
+    if upto is not None:
+        rows = rows.filter(F.col("batch_id") > upto).unionByName(
+            snap.withColumn("batch_id", F.lit(upto).cast(rows.schema["batch_id"].dataType)))
     latest = F.max_by(F.col("total"), F.col("batch_id"))
     return rows.groupBy(*keys).agg(latest.cast("bigint").alias("total"))
 
 
+def compact_totals(spark: SparkSession, path: str, keys=("dealid", "now_time")) -> int | None:
+    """Write the current totals as a snapshot up to the newest batch; later reads skip
+    the batch folders it covers. Returns the batch id covered (None if no batch)."""
+    try:
+        upto = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    except AnalysisException:
+        return None
+    if upto is None:
+        return None
+    current = latest_totals(spark, path, keys).withColumn("upto", F.lit(upto).cast("long"))
+    current.write.mode("overwrite").parquet(os.path.join(path, SNAPSHOTS, f"upto={upto}"))
+    return upto
+
+
 def run_deal_totals(spark: SparkSession, raw_stream: DataFrame, out_path: str | None = None,
                     checkpoint: str | None = None, trigger: dict | None = None,
                     day_mode: str = "event", watermark: str | None = None):

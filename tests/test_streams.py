@@ -104,3 +104,25 @@ def test_processing_time_loop_and_graceful_stop(spark, tmp_out):
     got = deal_stream.latest_totals(spark, out)
     assert got.select("now_time").distinct().count() == 1  # stamped with the processing date
     assert got.agg(F.sum("total")).first()[0] == counters.keep_topic(td.raw_stream(spark, SF)).count()
+
+
+def test_compaction_keeps_totals_and_later_batches(spark, tmp_out):
+    path = os.path.join(tmp_out, "out")
+    sink = deal_stream.BatchLedgerSink(path)
+    schema = "dealid string, now_time string, total long"
+    sink(spark.createDataFrame([("a", "d", 3), ("b", "d", 1)], schema), 0)
+    sink(spark.createDataFrame([("a", "d", 5)], schema), 1)
+    assert deal_stream.compact_totals(spark, path) == 1
+    sink(spark.createDataFrame([("b", "d", 4)], schema), 2)
+    got = {r["dealid"]: r["total"] for r in deal_stream.latest_totals(spark, path).collect()}
+    assert got == {"a": 5, "b": 4}
+
+
+def test_event_day_watermark_counts_equal_batch(spark, tmp_out):
+    schema = split_events(spark, os.path.join(tmp_out, "src"), parts=2)
+    q, out = deal_stream.run_deal_totals(spark, stream_from(spark, os.path.join(tmp_out, "src"), schema, 2),
+                                         out_path=os.path.join(tmp_out, "out"),
+                                         checkpoint=os.path.join(tmp_out, "ckpt"), watermark="400 days")
+    q.awaitTermination()
+    got, want = deal_stream.latest_totals(spark, out), batch_answer(spark)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
