@@ -114,3 +114,9 @@ def test_partitioned_logs_prune_to_one_day(spark, tmp_out):
     n = td.exposure_log(spark, "/root/testdata/sf0.001").filter(F.col("local-day") == "05").count()
     assert day.count() == n
     assert df.schema["local-day"].dataType.simpleString() == "string"
+
+
+def test_index_options():
+    o = logs.index_options("es-host", 9200, user="u", password="p")
+    assert o == {"es.nodes": "es-host", "es.port": "9200", "pushdown": "true",
+                 "es.net.http.auth.user": "u", "es.net.http.auth.pass": "p"}

@@ -126,3 +126,17 @@ def test_event_day_watermark_counts_equal_batch(spark, tmp_out):
     q.awaitTermination()
     got, want = deal_stream.latest_totals(spark, out), batch_answer(spark)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_read_add_write_redoes_a_batch_that_died_before_its_ledger_row(spark, tmp_out):
+    rec = '{"dealid":"7","sltcustomtopic":"sltadxlog-adx-bg"}'
+    batch = spark.createDataFrame([(rec,)] * 2, "value string")
+    state = os.path.join(tmp_out, "state")
+    sink = deal_stream.ReadAddWriteSink(state, day="2024-01-01")
+    sink(batch, 0)
+    # batch 1 wrote a (wrong) version but died before committing it in the ledger
+    spark.createDataFrame([("7", "2024-01-01", 999)], "dealid string, now_time string, total long") \
+        .write.parquet(os.path.join(state, "v=1"))
+    sink(batch, 1)
+    assert sink.current(spark).collect()[0]["total"] == 4
+    assert sink.last_applied(spark) == 1
