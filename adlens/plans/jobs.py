@@ -40,10 +40,14 @@ def build_reports(spark: SparkSession, exposure_root: str, request_root: str, ss
 
 
 def with_ord(log: DataFrame) -> DataFrame:
-    """Tie-break for ``first`` on raw logs: (file, row id), stable for given files."""
-    from pyspark.sql import functions as F
-    return log.withColumn("event_id", F.struct(F.col("_metadata.file_path").alias("f"),
-                                               F.monotonically_increasing_id().alias("i")))
+    """Tie-break for ``first`` on raw logs: (file, position in file).
+
+    Parquet exposes the row index, a deterministic column, so later filters still
+    reach the scan (partition pruning). JSON has none; the row id stands in, which
+    keeps later filters above it (read one month's file there instead)."""
+    meta = log.select("_metadata").schema["_metadata"].dataType.fieldNames()
+    pos = F.col("_metadata.row_index") if "row_index" in meta else F.monotonically_increasing_id()
+    return log.withColumn("event_id", F.struct(F.col("_metadata.file_path").alias("f"), pos.alias("i")))
 
 
 def upsert_reports(spark: SparkSession, built: dict[str, DataFrame], table_root: str) -> dict[str, str]:

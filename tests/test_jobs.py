@@ -52,3 +52,17 @@ def test_merge_partitions_rewrites_only_touched_days(spark, tmp_out):
     got = sorted((r["k"], r["day"], r["m"]) for r in spark.read.parquet(target).collect())
     assert got == [("a", "d1", 1), ("a", "d2", 30), ("b", "d1", 2), ("c", "d2", 5), ("z", "d3", 9)]
     assert sorted(os.listdir(os.path.join(target, "day=d1"))) == d1_files  # untouched partition
+
+
+def test_with_ord_keeps_partition_pruning_on_parquet_logs(spark, tmp_out):
+    from adlens import schemas
+    from adlens.sources import logs
+    out = os.path.join(tmp_out, "pq")
+    td.exposure_log(spark, SF).drop("event_id").write.partitionBy("local-month", "local-day").parquet(out)
+    log = jobs.with_ord(logs.read_partitioned(spark, out, schemas.EXPOSURE_LOG))
+    day = reports.exposure_report_daily(log, td.ssp_tag(spark, SF), reports.RunDay("20240105"))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[[^\]]*\(local-day#\d+ = 05\)", plan)
+    n = td.exposure_log(spark, SF).filter(F.col("local-day") == "05").count()
+    assert day.agg(F.sum("total")).first()[0] == n
