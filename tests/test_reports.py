@@ -68,3 +68,12 @@ def test_cluster_conf_scales_partitions():
     assert 50_000 < int(conf["spark.sql.shuffle.partitions"]) <= 100_000
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(10**6)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_json_fields_and_hyphenated_columns(spark):
+    doc = '{"tag_id":"Scene_3_view","dsp_id":10001,"advertiser_id":"adv1","size":{"w":640,"h":360},"tags":["a","b"]}'
+    df = spark.createDataFrame([(doc, "2024", "01")], "info string, `b-b` string, `local-day` string")
+    r = df.select(fx.json_field("info", "dsp_id").alias("dsp"), fx.json_field("info", "size.w").alias("w"),
+                  fx.json_field("info", "tags[1]").alias("t"), fx.json_field("info", "missing").alias("m"),
+                  F.concat(F.col("b-b"), F.lit("-"), F.col("local-day")).alias("c")).first()
+    assert (r["dsp"], r["w"], r["t"], r["m"], r["c"]) == ("10001", "640", "b", None, "2024-01")
