@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adlens.fixed import COUNTER_PREFIX
+
 
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -74,6 +76,6 @@ def flag_doc_id(dealid, day) -> Column:
     return F.concat(col_of(dealid), col_of(day))
 
 
-def counter_key(dealid, prefix: str = "adxhappen:") -> Column:
+def counter_key(dealid, prefix: str = COUNTER_PREFIX) -> Column:
     """Key of the additive exposure counter; a null deal id gives ``<prefix>null``."""
     return F.concat(F.lit(prefix), F.coalesce(col_of(dealid), F.lit("null")))

@@ -10,10 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlens.fixed import ADX_TOPIC, CAP_SLACK
 from adlens.functions.scalar import flag_doc_id, json_field
 
-ADX_TOPIC = "sltadxlog-adx-bg"
-
 
 def keep_topic(records: DataFrame, topic: str = ADX_TOPIC, value_col: str = "value") -> DataFrame:
     """P-4: records whose JSON ``sltcustomtopic`` equals ``topic``; malformed or
@@ -46,7 +45,7 @@ def add_to_totals(batch_counts: DataFrame, stored: DataFrame) -> DataFrame:
                          (F.col("total") + F.coalesce(F.col("_stored"), F.lit(0))).cast("bigint").alias("total"))
 
 
-def near_cap(totals: DataFrame, caps: DataFrame, slack: int = 30) -> DataFrame:
+def near_cap(totals: DataFrame, caps: DataFrame, slack: int = CAP_SLACK) -> DataFrame:
     """J-4 + P-6: (deal, day) whose total exceeds the cap minus ``slack`` (strict ``>``)."""
     c = caps.select("dealid", "now_time", "dealidnum")
     hit = totals.join(c, ["dealid", "now_time"]).filter(F.col("total") > F.col("dealidnum") - F.lit(slack))

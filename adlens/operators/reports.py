@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions.scalar import (compact_day, dashed_day, differs_flag, first_element,
                                      json_field, last_part, null_safe_sum, row_count)
+from adlens.fixed import MISSING_MEDIA
 from adlens.operators.lookup import left_lookup
 
 MONTH, DAY = "local-month", "local-day"
@@ -79,7 +80,7 @@ def _exposure_finish(agg: DataFrame, ssp_tag: DataFrame) -> DataFrame:
         "media_channel_id", "tag_id", last_part("tag_id").alias("tag_id_channel"),
         "adx_material_id", "dsp_id", "advertiser_id", "total")
     joined = left_lookup(shaped, ssp_tag, "media_channel_id", "channel_id",
-                         {"media_id": "media_id"}, {"media_id": "000"})
+                         {"media_id": "media_id"}, {"media_id": MISSING_MEDIA})
     return joined.select("dealid", "daytime", "order_id", "main_order_id", "is_compensate", "media_id",
                          "media_channel_id", "tag_id", "tag_id_channel", "adx_material_id", "dsp_id",
                          "advertiser_id", "total")
@@ -131,7 +132,7 @@ def success_report_daily(log: DataFrame, ssp_tag: DataFrame, run: RunDay,
                    .agg(*_success_measures(ord_col, (MONTH, DAY))))
            .withColumn("daytime", compact_day("local_month", "local_day")))
     out = left_lookup(_success_fields(agg), ssp_tag, "media_channel_id", "channel_id",
-                      {"media_id": "media_id"}, {"media_id": "000"})
+                      {"media_id": "media_id"}, {"media_id": MISSING_MEDIA})
     return out.select("dealid", "daytime", "media_id", "media_channel_id", "tag_id_channel",
                       "adx_material_id", "dsp_id", "advertiser_id", "total")
 
@@ -144,7 +145,7 @@ def success_report_all(log: DataFrame, ssp_tag: DataFrame, orders: DataFrame,
                    .agg(*_success_measures(ord_col)))
            .withColumn("daytime", dashed_day(MONTH, DAY)))
     out = left_lookup(_success_fields(agg), ssp_tag, "media_channel_id", "channel_id",
-                      {"media_id": "media_id"}, {"media_id": "000"})
+                      {"media_id": "media_id"}, {"media_id": MISSING_MEDIA})
     out = left_lookup(out, orders, "dealid", "dealid",
                       {"order_id": "order_id", "main_order_id": "main_order_id",
                        "is_compensate": "is_compensate"})
@@ -169,7 +170,7 @@ def _failure_measures(ord_col: str, extra=()):
 
 def _failure_finish(agg: DataFrame, ssp_tag: DataFrame) -> DataFrame:
     out = left_lookup(agg.withColumn("tag_id_channel", last_part("tag_id")), ssp_tag,
-                      "media_channel_id", "channel_id", {"media_id": "media_id"}, {"media_id": "000"})
+                      "media_channel_id", "channel_id", {"media_id": "media_id"}, {"media_id": MISSING_MEDIA})
     return out.select("dsp_id", "daytime", "media_id", "media_channel_id", "tag_id", "tag_id_channel",
                       "return", "timeout",
                       (F.col("total") - F.col("return") - F.col("timeout")).alias("else_error"), "total")

@@ -25,15 +25,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlens.fixed import CLASS_LISTS, KEPT_CLASSES, PAD_MS
 from adlens.functions.scalar import clamp_low
 from adlens.operators.ordering import checkpointed, explode_range, longest_range, prefix_within, rank_within
 
-# Fixed values of the reference job: padding of each interval in ms, the tag
-# classes kept, and the output list name of each class.
-PAD_MS = 5000
-KEPT_CLASSES = ("1", "2", "3", "4")
-CLASS_LISTS = (("4", "man"), ("1", "object"), ("3", "action"), ("2", "sence"))
-
 # P-1: the columns read from the interval table.
 SEAT_COLUMNS = ("video_id", "media_name", "ad_seat_b_time", "ad_seat_e_time", "drama_name",
                 "drama_type_name", "media_area_name", "media_release_date", "class2_name",

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 from adlens import schemas  # noqa: E402
+from adlens.fixed import BATCH_INTERVAL  # noqa: E402
 from adlens.operators import reports  # noqa: E402
 from adlens.plans import jobs  # noqa: E402
 from adlens.sources import logs  # noqa: E402
@@ -86,7 +87,7 @@ def main(argv=None) -> None:
         jobs.start_exposure_counter(spark, _stream(spark, a), a.out, a.checkpoint).awaitTermination()
     elif a.job == "parse":
         q, _ = deal_stream.run_parse_stream(spark, _stream(spark, a).withColumn("event_id", _no_id()), a.out,
-                                            a.checkpoint, {"processingTime": "10 seconds"})
+                                            a.checkpoint, {"processingTime": BATCH_INTERVAL})
         q.awaitTermination()
     else:
         seats = load_table(spark, a.seats, a.table_format)

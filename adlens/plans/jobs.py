@@ -17,6 +17,7 @@ from adlens.sinks import merge, writers
 from adlens.session import scratch_path
 from adlens.sources import logs
 from adlens.streaming import deal_stream
+from adlens.fixed import BATCH_INTERVAL
 
 REPORT_KEYS = {"bg": (["dealid", "daytime"], ["total"]),
                "success": (["dealid", "daytime"], ["total"]),
@@ -86,5 +87,5 @@ def start_exposure_counter(spark: SparkSession, raw_stream: DataFrame, out_path:
                            trigger: dict | None = None):
     """R-8 (default form): state-store day totals, replay-safe batch sink."""
     q, _ = deal_stream.run_deal_totals(spark, raw_stream, out_path, checkpoint,
-                                       trigger or {"processingTime": "10 seconds"}, day_mode="processing")
+                                       trigger or {"processingTime": BATCH_INTERVAL}, day_mode="processing")
     return q

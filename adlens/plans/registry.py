@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adlens.fixed import MISSING_MEDIA
 from adlens.operators import reports
 from adlens.plans import oracle
 from adlens.sources import testdata as td
@@ -143,7 +144,7 @@ def scalar_functions(spark, sf):
         fx.compact_day("local-month", "local-day").alias("daytime_compact"),
         fx.last_part("DSPName").alias("dsp_id"),
         fx.differs_flag("isReturn", "isTimeOut").alias("return_vs_timeout"),
-        fx.with_default("isReturn", "000").alias("is_return_text"),
+        fx.with_default("isReturn", MISSING_MEDIA).alias("is_return_text"),
         fx.json_field("RedisadInfo", "dsp_id").alias("json_dsp_id"),
         parsed.getField("tag_id").alias("parsed_tag_id"),
         F.col("FinalAdobj.dealid").alias("final_dealid"),
@@ -171,7 +172,7 @@ def nested_tag_extract(spark, sf):
 def dim_lookup_default(spark, sf):
     log = td.exposure_log(spark, sf).select("event_id", "dealid", "media_channel_id")
     return left_lookup(log, td.ssp_tag(spark, sf), "media_channel_id", "channel_id",
-                       {"media_id": "media_id"}, {"media_id": "000"})
+                       {"media_id": "media_id"}, {"media_id": MISSING_MEDIA})
 
 
 # ------------------------------------------------------------------ video segmentation

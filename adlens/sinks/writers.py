@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlens.fixed import UPSERT_BATCH_ROWS
+
 
 def upsert_sql(table: str, keys: list[str], measures: list[str], attrs: list[str] = (),
                placeholder: str = "?") -> str:
@@ -36,7 +38,7 @@ def _batched(rows: Iterable, size: int):
 
 
 def write_partitions_dbapi(df: DataFrame, connect: Callable[[], object], sql: str, columns: list[str],
-                           batch_size: int = 1000, null_to_zero: tuple[str, ...] = ()) -> None:
+                           batch_size: int = UPSERT_BATCH_ROWS, null_to_zero: tuple[str, ...] = ()) -> None:
     """K-1 b: each partition opens one DB-API connection, runs ``executemany`` in
     batches of ``batch_size`` and commits once (one transaction per partition).
     ``null_to_zero`` maps nulls of integer columns to 0, as the reference's sink did."""

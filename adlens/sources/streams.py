@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOG_TOPIC = "sltadxtopic"
+from adlens.fixed import LOG_TOPIC
 
 
 def open_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
                     schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
     """A streaming frame of raw log records.
 
-    kafka: subscribes to ``sltadxtopic`` from the earliest offset unless options say
+    kafka: subscribes to ``LOG_TOPIC`` from the earliest offset unless options say
     otherwise, and casts topic / key / value to text (SRC-6). File formats need a
     schema (no inference on a stream) and read ``path``.
     """

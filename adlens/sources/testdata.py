@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens import schemas
-
-ADX_TOPIC = "sltadxlog-adx-bg"
+from adlens.fixed import ADX_TOPIC
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

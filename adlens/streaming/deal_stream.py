@@ -22,6 +22,7 @@ from adlens.operators import counters
 from adlens.schemas import STREAM_RECORD
 from adlens.session import scratch_path
 from adlens.sinks import merge
+from adlens.fixed import BATCH_INTERVAL, CAP_SLACK
 
 
 def day_column(mode: str = "event", ts_col: str = "ts"):
@@ -140,7 +141,7 @@ def console(df: DataFrame, checkpoint: str, trigger: dict | None = None):
     """K-5: the reference's console sink."""
     return (df.writeStream.outputMode("append").format("console")
             .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+            .trigger(**(trigger or {"processingTime": BATCH_INTERVAL})).start())
 
 
 class ReadAddWriteSink:
@@ -156,7 +157,7 @@ class ReadAddWriteSink:
     """
 
     def __init__(self, state_path: str, caps: DataFrame | None = None, flags_path: str | None = None,
-                 slack: int = 30, day=None, initial: DataFrame | None = None):
+                 slack: int = CAP_SLACK, day=None, initial: DataFrame | None = None):
         """``day``: a ``yyyy-MM-dd`` text, a Column (e.g. the event date), or None for the
         processing date. ``initial``: the totals table before the first batch."""
         self.state_path, self.caps, self.flags_path = state_path, caps, flags_path
@@ -207,7 +208,7 @@ def run_read_add_write(spark: SparkSession, raw_stream: DataFrame, sink: ReadAdd
     """ST-1 + ST-3 a: the reference's micro-batch loop (default trigger: every 10 s)."""
     checkpoint = checkpoint or scratch_path(spark, "read_add_write_ckpt")
     return (raw_stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+            .trigger(**(trigger or {"processingTime": BATCH_INTERVAL})).start())
 
 
 def stop_gracefully(query, timeout_s: float = 60.0) -> None:
