@@ -20,6 +20,7 @@ from adlens.functions.scalar import (compact_day, dashed_day, differs_flag, firs
                                      json_field, last_part, null_safe_sum, row_count)
 from adlens.fixed import MISSING_MEDIA
 from adlens.operators.lookup import left_lookup
+from adlens.operators.ordering import checkpointed
 
 MONTH, DAY = "local-month", "local-day"
 
@@ -202,6 +203,42 @@ def failure_report_all(log: DataFrame, ssp_tag: DataFrame, ord_col: str = "event
     return _failure_finish(agg, ssp_tag)
 
 
+# ---------------------------------------------------------------- one scan for R-4 + R-6
+
+def request_reports_all(log: DataFrame, ssp_tag: DataFrame, orders: DataFrame, ord_col: str = "event_id",
+                        months=None) -> tuple[DataFrame, DataFrame]:
+    """R-4 and R-6 of the full run from one pass over the request log.
+
+    Both reports group the same log (successes by deal, failures by DSP), so one
+    aggregate keyed by (outcome, deal or DSP, month, day) carries both sets of
+    measures. It is a few rows per key and day, checkpointed once, and the two
+    reports are cut from it: the log is scanned and shuffled once, not twice.
+    Results equal ``success_report_all`` and ``failure_report_all``.
+    """
+    have = F.col("isHaveAd")
+    key = F.when(have == 1, F.col("FinalAdobj.dealid")).when(have == 0, last_part("DSPName"))
+    tag = first_element(F.col("options.body.imp")).getField("tagid")
+    first = F.min_by(F.struct(F.col("media_channel_id"), F.col("RedisadInfo").alias("_info"), tag.alias("tag_id")),
+                     F.col(ord_col))
+    agg = (_months(log, months).filter(have.isin(0, 1))
+           .groupBy(have.alias("_have"), key.alias("_key"), F.col(MONTH), F.col(DAY))
+           .agg(first.alias("_first"), null_safe_sum("isReturn").alias("return"),
+                null_safe_sum("isTimeOut").alias("timeout"), row_count().alias("total"))
+           .withColumn("daytime", dashed_day(MONTH, DAY)))
+    agg = checkpointed(agg)
+    succ = (_unpack(agg.filter(F.col("_have") == 1)).withColumnRenamed("_key", "dealid")
+            .drop("tag_id", "return", "timeout"))
+    succ = left_lookup(_success_fields(succ), ssp_tag, "media_channel_id", "channel_id",
+                       {"media_id": "media_id"}, {"media_id": MISSING_MEDIA})
+    succ = left_lookup(succ, orders, "dealid", "dealid",
+                       {"order_id": "order_id", "main_order_id": "main_order_id", "is_compensate": "is_compensate"})
+    succ = succ.select("dealid", "daytime", "order_id", "main_order_id", "is_compensate", "media_id",
+                       "media_channel_id", "tag_id", "tag_id_channel", "adx_material_id", "dsp_id",
+                       "advertiser_id", "total")
+    fail = _unpack(agg.filter(F.col("_have") == 0)).withColumnRenamed("_key", "dsp_id").drop("_info")
+    return succ, _failure_finish(fail, ssp_tag)
+
+
 # ---------------------------------------------------------------- run-all (R-7)
 
 def report_summary(reports: dict[str, DataFrame]) -> DataFrame:

@@ -33,10 +33,11 @@ def build_reports(spark: SparkSession, exposure_root: str, request_root: str, ss
     exposure = logs.read_all(spark, exposure_root, schemas.EXPOSURE_LOG)
     requests = logs.read_month(spark, request_root, run.month, schemas.REQUEST_LOG)
     exposure, requests = (with_ord(exposure), with_ord(requests))
+    success, fail = reports.request_reports_all(requests, ssp_tag, orders)
     return {
         "bg": reports.exposure_report_all(exposure, ssp_tag, months=None if all_months else [run.month]),
-        "success": reports.success_report_all(requests, ssp_tag, orders),
-        "fail": reports.failure_report_all(requests, ssp_tag),
+        "success": success,
+        "fail": fail,
     }
 
 

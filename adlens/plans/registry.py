@@ -64,11 +64,10 @@ def pv_fail_all(spark, sf):
 
 @register("report_run_all", oracle.report_run_all())
 def report_run_all(spark, sf):
-    return reports.report_summary({
-        "bg": bg_report_all(spark, sf),
-        "success": pv_success_all(spark, sf),
-        "fail": pv_fail_all(spark, sf),
-    })
+    """R-7: the three reports of the full run (the two request reports from one scan)."""
+    success, fail = reports.request_reports_all(td.request_log(spark, sf), td.ssp_tag(spark, sf),
+                                                td.adx_order_dealid(spark, sf))
+    return reports.report_summary({"bg": bg_report_all(spark, sf), "success": success, "fail": fail})
 
 
 # ------------------------------------------------------------------ counters, caps, sinks

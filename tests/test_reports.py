@@ -77,3 +77,14 @@ def test_json_fields_and_hyphenated_columns(spark):
                   fx.json_field("info", "tags[1]").alias("t"), fx.json_field("info", "missing").alias("m"),
                   F.concat(F.col("b-b"), F.lit("-"), F.col("local-day")).alias("c")).first()
     assert (r["dsp"], r["w"], r["t"], r["m"], r["c"]) == ("10001", "640", "b", None, "2024-01")
+
+
+def test_one_scan_request_reports_equal_separate_reports(spark):
+    from adlens.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    log, tags, orders = td.request_log(spark, sf), td.ssp_tag(spark, sf), td.adx_order_dealid(spark, sf)
+    succ, fail = reports.request_reports_all(log, tags, orders)
+    want_s, want_f = reports.success_report_all(log, tags, orders), reports.failure_report_all(log, tags)
+    for got, want in ((succ, want_s), (fail, want_f)):
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
