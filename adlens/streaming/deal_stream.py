@@ -48,14 +48,19 @@ def deal_day_counts(raw: DataFrame, day_mode: str = "event", watermark: str | No
     """
     recs = counters.keep_topic(raw)
     if day_mode == "processing":
-        timed = recs.withColumn("_t", F.current_timestamp()).withWatermark("_t", watermark or "0 seconds")
+        t, delay = F.current_timestamp(), watermark or "0 seconds"
     elif watermark:
-        timed = recs.withColumn("_t", F.col("ts").cast("timestamp")).withWatermark("_t", watermark)
+        t, delay = F.col("ts").cast("timestamp"), watermark
     else:
         return counters.day_counts(recs, day_column(day_mode))
+    # Windows align to UTC midnight; shifting the time to the session's wall clock
+    # makes them the session's local days (DST included).
+    tz = raw.sparkSession.conf.get("spark.sql.session.timeZone")
+    timed = recs.withColumn("_t", F.from_utc_timestamp(t, tz)).withWatermark("_t", delay)
+    day = F.date_format(F.to_utc_timestamp(F.col("_w.start"), tz), "yyyy-MM-dd")
     return (counters.with_dealid(timed).groupBy("dealid", F.window("_t", "1 day").alias("_w"))
             .agg(F.count(F.lit(1)).alias("total"))
-            .select("dealid", F.date_format(F.col("_w.start"), "yyyy-MM-dd").alias("now_time"), "total"))
+            .select("dealid", day.alias("now_time"), "total"))
 
 
 class BatchLedgerSink:

@@ -140,3 +140,19 @@ def test_read_add_write_redoes_a_batch_that_died_before_its_ledger_row(spark, tm
     sink(batch, 1)
     assert sink.current(spark).collect()[0]["total"] == 4
     assert sink.last_applied(spark) == 1
+
+
+def test_watermarked_days_follow_the_session_time_zone(spark, tmp_out):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        schema = split_events(spark, os.path.join(tmp_out, "src"), parts=2)
+        q, out = deal_stream.run_deal_totals(spark, stream_from(spark, os.path.join(tmp_out, "src"), schema, 2),
+                                             out_path=os.path.join(tmp_out, "out"),
+                                             checkpoint=os.path.join(tmp_out, "ckpt"), watermark="400 days")
+        q.awaitTermination()
+        got = deal_stream.latest_totals(spark, out)
+        raw = td.raw_stream(spark, SF)
+        want = counters.day_counts(counters.keep_topic(raw), F.to_date(F.col("ts").cast("timestamp")).cast("string"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
