@@ -2,8 +2,8 @@
 
     spark-submit adlens/plans/cli.py reports   --exposure-logs P --request-logs P --ssp-tag T --orders T --out P
     spark-submit adlens/plans/cli.py success   --request-logs P --ssp-tag T --orders T --out P [--day yyyyMMdd]
-    spark-submit adlens/plans/cli.py counter   --stream-format kafka --stream-options J --out P --checkpoint P
-    spark-submit adlens/plans/cli.py parse     --stream-format kafka --stream-options J --out P --checkpoint P
+    spark-submit adlens/plans/cli.py counter   --stream-format kafka --stream-options J --out P --checkpoint P [--available-now]
+    spark-submit adlens/plans/cli.py parse     --stream-format kafka --stream-options J --out P --checkpoint P [--available-now]
     spark-submit adlens/plans/cli.py segment   --seats T --usable T --out P
 
 A table argument ``T`` is a path (format from ``--table-format``, parquet by
@@ -66,6 +66,8 @@ def main(argv=None) -> None:
         s.add_argument("--stream-path")
         s.add_argument("--out", required=True)
         s.add_argument("--checkpoint", required=True)
+        s.add_argument("--available-now", action="store_true",
+                       help="process what is available, then stop (scheduled runs)")
     s = sub.add_parser("segment")
     s.add_argument("--seats", required=True)
     s.add_argument("--usable", required=True)
@@ -83,11 +85,13 @@ def main(argv=None) -> None:
             req = jobs.with_ord(logs.read_month(spark, a.request_logs, run.month, schemas.REQUEST_LOG))
             built = {"success": reports.success_report_all(req, tags, orders)}
         jobs.upsert_reports(spark, built, a.out)
-    elif a.job == "counter":
-        jobs.start_exposure_counter(spark, _stream(spark, a), a.out, a.checkpoint).awaitTermination()
-    elif a.job == "parse":
-        q, _ = deal_stream.run_parse_stream(spark, _stream(spark, a).withColumn("event_id", _no_id()), a.out,
-                                            a.checkpoint, {"processingTime": BATCH_INTERVAL})
+    elif a.job in ("counter", "parse"):
+        trigger = {"availableNow": True} if a.available_now else {"processingTime": BATCH_INTERVAL}
+        if a.job == "counter":
+            q = jobs.start_exposure_counter(spark, _stream(spark, a), a.out, a.checkpoint, trigger)
+        else:
+            q, _ = deal_stream.run_parse_stream(spark, _stream(spark, a).withColumn("event_id", _no_id()),
+                                                a.out, a.checkpoint, trigger)
         q.awaitTermination()
     else:
         seats = load_table(spark, a.seats, a.table_format)

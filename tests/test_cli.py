@@ -33,3 +33,16 @@ def test_success_job(spark, tmp_out):
               "--day", "20240131"])
     got = spark.read.parquet(os.path.join(out, "success"))
     assert got.agg(F.sum("total")).first()[0] == td.request_log(spark, SF).filter("isHaveAd = 1").count()
+
+
+def test_stream_jobs_on_a_file_source(spark, tmp_out):
+    src = os.path.join(tmp_out, "records")
+    td.raw_stream(spark, SF).select("value", F.col("ts").cast("timestamp").alias("ts")).write.json(src)
+    common = ["--stream-format", "json", "--stream-path", src, "--available-now"]
+    cli.main(["parse", *common, "--out", os.path.join(tmp_out, "parsed"), "--checkpoint", os.path.join(tmp_out, "c1")])
+    assert spark.read.parquet(os.path.join(tmp_out, "parsed")).count() == td.raw_stream(spark, SF).count()
+    cli.main(["counter", *common, "--out", os.path.join(tmp_out, "totals"), "--checkpoint", os.path.join(tmp_out, "c2")])
+    from adlens.operators import counters
+    from adlens.streaming import deal_stream
+    got = deal_stream.latest_totals(spark, os.path.join(tmp_out, "totals"))
+    assert got.agg(F.sum("total")).first()[0] == counters.keep_topic(td.raw_stream(spark, SF)).count()
