@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from adlens.operators import counters
 from adlens.schemas import STREAM_RECORD
 from adlens.session import scratch_path
-from adlens.sinks import merge
+from adlens.functions.scalar import counter_key
+from adlens.sinks import merge, writers
 from adlens.fixed import BATCH_INTERVAL, CAP_SLACK
 
 
@@ -162,11 +163,14 @@ class ReadAddWriteSink:
     """
 
     def __init__(self, state_path: str, caps: DataFrame | None = None, flags_path: str | None = None,
-                 slack: int = CAP_SLACK, day=None, initial: DataFrame | None = None):
+                 slack: int = CAP_SLACK, day=None, initial: DataFrame | None = None, kv_connect=None):
         """``day``: a ``yyyy-MM-dd`` text, a Column (e.g. the event date), or None for the
-        processing date. ``initial``: the totals table before the first batch."""
+        processing date. ``initial``: the totals table before the first batch.
+        ``kv_connect``: optional KV client factory; each batch's per-deal counts are then
+        added to ``<prefix><dealid>`` counters (K-2). Those increments are at-least-once,
+        as in the reference: a batch that dies before its ledger row adds them again."""
         self.state_path, self.caps, self.flags_path = state_path, caps, flags_path
-        self.slack, self.day, self.initial = slack, day, initial
+        self.slack, self.day, self.initial, self.kv_connect = slack, day, initial, kv_connect
         self.ledger_path = os.path.join(state_path, "_ledger")
 
     def last_applied(self, spark: SparkSession) -> int | None:
@@ -196,6 +200,9 @@ class ReadAddWriteSink:
         stored = stored.select("dealid", "now_time", F.col("total").cast("bigint").alias("total"))
         running = counters.add_to_totals(counts, stored).persist()
         try:
+            if self.kv_connect is not None:
+                per_deal = counts.groupBy("dealid").agg(F.sum("total").alias("value"))
+                writers.add_counters(per_deal.select(counter_key("dealid").alias("key"), "value"), self.kv_connect)
             if self.caps is not None and self.flags_path:
                 flagged = counters.near_cap(running, self.caps, self.slack)
                 flagged.write.mode("overwrite").parquet(os.path.join(self.flags_path, f"batch_id={batch_id}"))

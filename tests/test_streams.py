@@ -156,3 +156,28 @@ def test_watermarked_days_follow_the_session_time_zone(spark, tmp_out):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_read_add_write_adds_kv_counters(spark, tmp_out):
+    root = tmp_out
+
+    class FileKV:  # KV-client stand-in: records increments in a file per partition
+        def __init__(self):
+            self.ops = []
+
+        def incrby(self, key, n):
+            self.ops.append([key, n])
+
+        def close(self):
+            import json
+            import uuid
+            with open(os.path.join(root, f"kv-{uuid.uuid4().hex}.json"), "w") as f:
+                json.dump(self.ops, f)
+
+    rec = '{"dealid":"7","sltcustomtopic":"sltadxlog-adx-bg"}'
+    sink = deal_stream.ReadAddWriteSink(os.path.join(tmp_out, "state"), day="2024-01-01", kv_connect=FileKV)
+    sink(spark.createDataFrame([(rec,)] * 3, "value string"), 0)
+    import glob
+    import json
+    ops = [op for p in glob.glob(os.path.join(root, "kv-*.json")) for op in json.load(open(p))]
+    assert ops == [["adxhappen:7", 3]]
