@@ -125,16 +125,31 @@ def _is_class(cls: str):
     return lambda x: x["cls"] == F.lit(cls)
 
 
-def segments(m: DataFrame) -> DataFrame:
+def segments(m: DataFrame, max_items: int | None = None) -> DataFrame:
     """V-3 ... V-5: one row per segment with the reference's document fields.
 
     Attributes come from the first active interval in interval order; the twelve
     lists keep interval order and are not de-duplicated.
+
+    By default a segment's lists are one row, as in the reference's documents. With
+    ``max_items`` each segment becomes ordered parts (``part`` 0, 1, ...) of at most
+    ``max_items`` active intervals. Members are numbered inside the segment with the
+    skew-safe ``rank_within``, so no row or task holds more than ``max_items`` of them.
+    The per-segment attributes and ``n_active`` are partial + final aggregates.
     """
     first_attrs = F.min_by(F.struct(*[F.col(c) for c, _ in ATTRS]), F.col("pb"))
-    g = (m.groupBy("video_id", "p")
-         .agg(F.min("t_prev").alias("_tb"), F.min("t").alias("_te"), first_attrs.alias("_a"),
-              _sorted_items(m).alias("_items"), F.count(F.lit(1)).alias("n_active")))
+    seg = ["video_id", "p"]
+    head = [F.min("t_prev").alias("_tb"), F.min("t").alias("_te"), first_attrs.alias("_a"),
+            F.count(F.lit(1)).alias("n_active")]
+    if max_items:
+        numbered = rank_within(m, seg, ["pb"], out="_r").withColumn(
+            "part", F.floor((F.col("_r") - 1) / max_items).cast("long"))
+        lists = numbered.groupBy(*seg, "part").agg(_sorted_items(numbered).alias("_items"))
+        g = lists.join(m.groupBy(*seg).agg(*head), seg)
+        part = [F.col("part")]
+    else:
+        g = m.groupBy(*seg).agg(*head, _sorted_items(m).alias("_items"))
+        part = []
     cols = [F.col(f"_a.{c}").alias(out) for c, out in ATTRS]
     cols += [F.concat_ws("_", F.col("_tb").cast("string"), F.col("_te").cast("string")).alias("string_time"),
              (F.col("_te") - F.col("_tb")).cast("string").alias("string_time_long")]
@@ -143,7 +158,7 @@ def segments(m: DataFrame) -> DataFrame:
         cols += [F.transform(of_cls, lambda x: x["c3"]).alias(f"string_{name}_list"),
                  F.transform(of_cls, lambda x: x["c2"]).alias(f"string_{name}2_list"),
                  F.transform(of_cls, lambda x: x["img"]).alias(f"string_{name}_img_list")]
-    return g.select(F.col("p").alias("seg_no"), *cols, "n_active")
+    return g.select(F.col("p").alias("seg_no"), *part, *cols, "n_active")
 
 
 LIST_COLUMNS = tuple(f"string_{name}{suffix}" for _, name in CLASS_LISTS
@@ -166,14 +181,16 @@ def prepare_intervals(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad
     return checkpointed(valid(pad(join_usable(seats, usable, tie), pad_ms)))
 
 
-def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS) -> DataFrame:
-    """R-11 end to end: usable join, class filter, padding, sweep -> segments.
+def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,
+                   max_items: int | None = None) -> DataFrame:
+    """R-11 end to end: usable join, class filter, padding, sweep -> segments
+    (``max_items``: see ``segments``).
 
     The numbered points feed both the span aggregate and the segment bounds, so
     they are checkpointed once (no cached data left behind in a long session)."""
     iv = prepare_intervals(seats, usable, tie, pad_ms)
     pts = checkpointed(points(iv))
-    return segments(members(iv, pts))
+    return segments(members(iv, pts), max_items)
 
 
 def bounded_collect(intervals: DataFrame, chunk: int = 1000, tie: str = "sid") -> DataFrame:

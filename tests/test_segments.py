@@ -193,3 +193,20 @@ def test_hot_video_range_path_equals_window_path(spark, monkeypatch):
     hot_rows = forced.filter("string_vid = 'hot'").count()
     assert hot_rows > 100
     assert forced.exceptAll(plain).count() == 0 and plain.exceptAll(forced).count() == 0
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_max_items_splits_segments_into_ordered_parts(spark, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(ordering, "HOT_GROUP_ROWS", 0)
+    rows = [seat("v", 10000, 90000, c3=f"t{i:02d}", sid=i) for i in range(7)]
+    whole = {r["seg_no"]: r for r in run(spark, rows).collect()}
+    seats, use = frame(spark, rows)
+    parts = vs.segment_videos(seats, use, max_items=3).collect()
+    assert max(len(r["string_man_list"]) for r in parts) <= 3
+    by_seg = {}
+    for r in sorted(parts, key=lambda r: (r["seg_no"], r["part"])):
+        by_seg.setdefault(r["seg_no"], []).extend(r["string_man_list"])
+        assert r["n_active"] == whole[r["seg_no"]]["n_active"]
+        assert r["string_time"] == whole[r["seg_no"]]["string_time"]
+    assert by_seg == {k: list(v["string_man_list"]) for k, v in whole.items()}
