@@ -120,3 +120,25 @@ def test_index_options():
     o = logs.index_options("es-host", 9200, user="u", password="p")
     assert o == {"es.nodes": "es-host", "es.port": "9200", "pushdown": "true",
                  "es.net.http.auth.user": "u", "es.net.http.auth.pass": "p"}
+
+
+def test_writer_errors_fail_the_job(spark):
+    class Broken:
+        def cursor(self):
+            return self
+
+        def executemany(self, sql, rows):
+            raise RuntimeError("table is gone")
+
+        def commit(self):
+            pass
+
+        def rollback(self):
+            pass
+
+        def close(self):
+            pass
+
+    df = spark.range(0, 10).select(F.col("id").cast("string").alias("k"))
+    with pytest.raises(Exception, match="table is gone"):
+        writers.write_partitions_dbapi(df, Broken, "INSERT ...", ["k"])
