@@ -47,6 +47,11 @@ def largest_group(df: DataFrame, group: list[str]) -> int:
     return int(v or 0)
 
 
+def is_hot(largest: int, hot_rows: int | None = None) -> bool:
+    limit = HOT_GROUP_ROWS if hot_rows is None else hot_rows
+    return limit <= 0 or largest > limit
+
+
 def _has_hot_group(df: DataFrame, group: list[str], hot_rows: int | None) -> bool:
     limit = HOT_GROUP_ROWS if hot_rows is None else hot_rows
     return limit <= 0 or largest_group(df, group) > limit
@@ -54,7 +59,7 @@ def _has_hot_group(df: DataFrame, group: list[str], hot_rows: int | None) -> boo
 
 def rank_within(df: DataFrame, group: list[str], order: list[str | Column], out: str = "rn",
                 partitions: int | None = None, hot_rows: int | None = None,
-                previous: dict[str, str] | None = None) -> DataFrame:
+                previous: dict[str, str] | None = None, hot: bool | None = None) -> DataFrame:
     """1-based position of each row in its group under ``order`` (ties broken arbitrarily,
     so ``order`` should make rows unique up to interchangeable duplicates).
 
@@ -63,9 +68,12 @@ def rank_within(df: DataFrame, group: list[str], order: list[str | Column], out:
 
     When no group exceeds ``hot_rows`` (checked by one count aggregate) this is one
     window pass (``row_number`` and ``lag``); otherwise the range-partitioned plan
-    below, with previous values fetched by an equi join on (group, position - 1)."""
+    below, with previous values fetched by an equi join on (group, position - 1).
+    ``hot`` skips the check when the caller already knows the answer."""
     previous = previous or {}
-    if not _has_hot_group(df, group, hot_rows):
+    if hot is None:
+        hot = _has_hot_group(df, group, hot_rows)
+    if not hot:
         w = Window.partitionBy(*group).orderBy(*order)
         out_df = df.withColumn(out, F.row_number().over(w).cast("bigint"))
         for c, name in previous.items():

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from adlens.fixed import CLASS_LISTS, KEPT_CLASSES, PAD_MS
 from adlens.functions.scalar import clamp_low
-from adlens.operators.ordering import checkpointed, explode_range, longest_range, prefix_within, rank_within
+from adlens.operators.ordering import (checkpointed, explode_range, is_hot, largest_group, longest_range,
+                                       prefix_within, rank_within)
 
 # P-1: the columns read from the interval table.
 SEAT_COLUMNS = ("video_id", "media_name", "ad_seat_b_time", "ad_seat_e_time", "drama_name",
@@ -88,21 +89,25 @@ def interval_rank(iv: DataFrame) -> DataFrame:
     return rank_within(iv, ["video_id"], ["b", *IKEY], out="rn")
 
 
-def points(iv: DataFrame) -> DataFrame:
-    """V-2 + W-2 + W-3: begin/end points numbered ``p`` per video, with the previous point's time."""
+def points(iv: DataFrame, hot: bool | None = None) -> DataFrame:
+    """V-2 + W-2 + W-3: begin/end points numbered ``p`` per video, with the previous point's time.
+    ``hot``: whether some video is too large for one window task (checked if None)."""
     pts = iv.select("video_id", *IKEY, "b", F.explode(F.array(
         F.struct(F.col("b").alias("t"), F.lit(0).alias("is_end")),
         F.struct(F.col("e").alias("t"), F.lit(1).alias("is_end")))).alias("_pt"))
     pts = pts.select("video_id", *IKEY, "b", "_pt.t", "_pt.is_end")
-    return rank_within(pts, ["video_id"], ["t", "b", *IKEY, "is_end"], out="p", previous={"t": "t_prev"})
+    return rank_within(pts, ["video_id"], ["t", "b", *IKEY, "is_end"], out="p", previous={"t": "t_prev"},
+                       hot=hot)
 
 
-def members(iv: DataFrame, numbered_points: DataFrame) -> DataFrame:
+def members(iv: DataFrame, numbered_points: DataFrame, longest: int | None = None) -> DataFrame:
     """(segment, interval) pairs: one row per interval active at each point ``p``,
-    with the segment bounds ``t_prev``, ``t``. The long form of the answer."""
+    with the segment bounds ``t_prev``, ``t``. The long form of the answer.
+    ``longest``: an upper bound of any span's length (measured if None)."""
     spans = (numbered_points.groupBy("video_id", *IKEY)
              .agg(F.min("p").alias("pb"), F.max("p").alias("pe")))
-    longest = longest_range(spans, F.col("pb") + 1, F.col("pe"))
+    if longest is None:
+        longest = longest_range(spans, F.col("pb") + 1, F.col("pe"))
     withspan = iv.join(spans, ["video_id", *IKEY])
     spread = ["video_id"] if longest > SPREAD_ABOVE else None
     pairs = explode_range(withspan, F.col("pb") + 1, F.col("pe"), "p", spread=spread)
@@ -189,8 +194,11 @@ def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms
     The numbered points feed both the span aggregate and the segment bounds, so
     they are checkpointed once (no cached data left behind in a long session)."""
     iv = prepare_intervals(seats, usable, tie, pad_ms)
-    pts = checkpointed(points(iv))
-    return segments(members(iv, pts), max_items)
+    # One count answers both size questions: a video with n intervals has 2n points,
+    # and no interval spans more than 2n of them.
+    most_points = 2 * largest_group(iv, ["video_id"])
+    pts = checkpointed(points(iv, hot=is_hot(most_points)))
+    return segments(members(iv, pts, longest=most_points), max_items)
 
 
 def bounded_collect(intervals: DataFrame, chunk: int = 1000, tie: str = "sid") -> DataFrame:
