@@ -55,10 +55,11 @@ def near_cap(totals: DataFrame, caps: DataFrame, slack: int = CAP_SLACK) -> Data
 def apply_stop_flags(caps: DataFrame, flagged: DataFrame) -> DataFrame:
     """K-3: set ``stop = 1`` on the cap rows whose doc id was flagged; ids with no cap
     row are ignored, like a partial update of a missing document."""
-    # No hint: the flagged side is derived (counting it would recompute it), so the
-    # join is left to AQE, which broadcasts it only if its runtime size is small.
-    hits = flagged.select(F.col("doc_id").alias("_hit")).distinct()
-    joined = caps.join(hits, flag_doc_id("dealid", "now_time") == F.col("_hit"), "left")
+    # The doc id is deal id + a fixed-width yyyy-MM-dd day, so matching it equals
+    # matching (deal, day): join on those columns. No hint: the flagged side is
+    # derived (counting it would recompute it), so AQE sizes the join at run time.
+    hits = flagged.select("dealid", "now_time", F.lit(True).alias("_hit")).distinct()
+    joined = caps.join(hits, ["dealid", "now_time"], "left")
     return joined.select("dealid", "now_time", "dealidnum",
                          F.when(F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.col("stop"))
                           .cast("int").alias("stop"))
