@@ -102,7 +102,7 @@ def test_processing_time_loop_and_graceful_stop(spark, tmp_out):
     deal_stream.stop_gracefully(q)
     assert not q.isActive
     got = deal_stream.latest_totals(spark, out)
-    assert got.select("now_time").distinct().count() == 1  # stamped with the processing date
+    assert got.select("now_time").distinct().count() in (1, 2)  # processing date (2 if run across midnight)
     assert got.agg(F.sum("total")).first()[0] == counters.keep_topic(td.raw_stream(spark, SF)).count()
 
 
