@@ -43,8 +43,9 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "adlens
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` when the cluster names one; only when
-    it is unset (local runs, tests) a private folder is made.
+    Taken from ``spark.checkpoint.dir`` when the cluster names one. Only a local
+    master (tests, local runs) gets a private folder when it is unset; a cluster
+    without the setting is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -55,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not visible to executors on other hosts.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf = tempfile.mkdtemp(prefix="adlens-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -88,3 +88,9 @@ def test_one_scan_request_reports_equal_separate_reports(spark):
     for got, want in ((succ, want_s), (fail, want_f)):
         assert got.columns == want.columns
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from adlens.session import ensure_checkpoint_dir
+    d = ensure_checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
