@@ -82,8 +82,13 @@ def rank_within(df: DataFrame, group: list[str], order: list[str | Column], out:
     ranked = _rank_by_range(df, group, order, out, partitions)
     if not previous:
         return ranked
-    prev = ranked.select(*group, (F.col(out) + 1).alias(out), *[F.col(c).alias(n) for c, n in previous.items()])
-    return ranked.join(prev, [*group, out], "left").select(*df.columns, out, *previous.values())
+    gnames = [f"_pg{i}" for i in range(len(group))]
+    prev = ranked.select(*[F.col(g).alias(a) for g, a in zip(group, gnames)], (F.col(out) + 1).alias("_pn"),
+                         *[F.col(c).alias(n) for c, n in previous.items()])
+    # null-safe on the group, like the numbering: a null group is a group too
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(out) == F.col("_pn")] + [F.col(g).eqNullSafe(F.col(a)) for g, a in zip(group, gnames)])
+    return ranked.join(prev, cond, "left").select(*df.columns, out, *previous.values())
 
 
 def _rank_by_range(df: DataFrame, group: list[str], order: list[str | Column], out: str,

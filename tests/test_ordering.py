@@ -46,3 +46,25 @@ def test_previous_values_range_path_equal_lag(spark):
     forced = rank_within(df, ["g"], ["id"], out="rn", hot_rows=0, previous={"v": "pv"})
     plain = rank_within(df, ["g"], ["id"], out="rn", previous={"v": "pv"})
     assert forced.exceptAll(plain).count() == 0 and plain.exceptAll(forced).count() == 0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(-5, 5)), min_size=1, max_size=40,
+                     unique_by=lambda r: r),
+       parts=st.integers(1, 6))
+def test_range_path_scans_equal_python(spark, rows, parts):
+    df = spark.createDataFrame(rows, "g string, k long")
+    ranked = rank_within(df, ["g"], ["k"], out="rn", partitions=parts, hot_rows=0, previous={"k": "pk"})
+    running = prefix_within(df, ["g"], ["k"], "k", "sum", out="s", inclusive=True, partitions=parts, hot_rows=0)
+    want_rank, want_sum = {}, {}
+    for g in {r[0] for r in rows}:
+        ks = sorted(k for gg, k in rows if gg == g)
+        for i, k in enumerate(ks):
+            want_rank[(g, k)] = (i + 1, ks[i - 1] if i else None)
+            want_sum[(g, k)] = sum(ks[: i + 1])
+    assert {(r["g"], r["k"]): (r["rn"], r["pk"]) for r in ranked.collect()} == want_rank
+    assert {(r["g"], r["k"]): r["s"] for r in running.collect()} == want_sum
