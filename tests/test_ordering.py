@@ -68,3 +68,25 @@ def test_range_path_scans_equal_python(spark, rows, parts):
             want_sum[(g, k)] = sum(ks[: i + 1])
     assert {(r["g"], r["k"]): (r["rn"], r["pk"]) for r in ranked.collect()} == want_rank
     assert {(r["g"], r["k"]): r["s"] for r in running.collect()} == want_sum
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", None]), st.integers(0, 30), st.one_of(st.none(), st.integers(-9, 9))),
+                     min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1])),
+       how=st.sampled_from(["max", "sum", "min"]), inclusive=st.booleans())
+def test_prefix_scans_with_null_values_equal_window(spark, rows, how, inclusive):
+    df = spark.createDataFrame(rows, "g string, k long, v long")
+    forced = prefix_within(df, ["g"], ["k"], "v", how, out="p", inclusive=inclusive, partitions=3, hot_rows=0)
+    plain = prefix_within(df, ["g"], ["k"], "v", how, out="p", inclusive=inclusive)
+    assert sorted(map(tuple, forced.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+@settings(max_examples=6, deadline=None)
+@given(ranges=st.lists(st.tuples(st.integers(-20, 20), st.integers(0, 300)), min_size=1, max_size=6),
+       chunk=st.integers(1, 50), spread=st.booleans())
+def test_explode_range_equals_python(spark, ranges, chunk, spread):
+    rows = [(i, lo, lo + n - 1) for i, (lo, n) in enumerate(ranges)]
+    df = spark.createDataFrame(rows, "id long, lo long, hi long")
+    got = explode_range(df, F.col("lo"), F.col("hi"), "x", chunk=chunk, spread=["id"] if spread else None)
+    assert sorted((r["id"], r["x"]) for r in got.collect()) == sorted((i, x) for i, lo, hi in rows
+                                                                      for x in range(lo, hi + 1))
