@@ -210,3 +210,28 @@ def test_max_items_splits_segments_into_ordered_parts(spark, hot, monkeypatch):
         assert r["n_active"] == whole[r["seg_no"]]["n_active"]
         assert r["string_time"] == whole[r["seg_no"]]["string_time"]
     assert by_seg == {k: list(v["string_man_list"]) for k, v in whole.items()}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(ivs=st.lists(st.tuples(st.sampled_from([0, 1000, 5000, 9000, 15000]), st.sampled_from([0, 1000, 4000, 20000]),
+                              st.sampled_from(["x", "y", "z"])), min_size=1, max_size=10),
+       hot=st.booleans(), max_items=st.sampled_from([None, 2]))
+def test_sweep_property(spark, ivs, hot, max_items):
+    old = ordering.HOT_GROUP_ROWS
+    ordering.HOT_GROUP_ROWS = 0 if hot else old
+    try:
+        rows = [seat("v", b, b + n, c3=tag, sid=i) for i, (b, n, tag) in enumerate(ivs)]
+        seats, use = frame(spark, rows)
+        out = vs.segment_videos(seats, use, max_items=max_items).collect()
+    finally:
+        ordering.HOT_GROUP_ROWS = old
+    got = {}
+    for r in sorted(out, key=lambda r: (r["seg_no"], r["part"] if max_items else 0)):
+        t, lst = got.setdefault(r["seg_no"], (r["string_time"], []))
+        lst.extend(r["string_man_list"])
+    expected = literal_sweep([(b, b + n, tag) for b, n, tag in ivs])
+    assert sorted((t, tuple(lst)) for t, lst in got.values()) == sorted((t, tuple(l)) for t, l in expected)
