@@ -23,9 +23,24 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "updates") -> None
         raise DuplicateKeyError(f"{what} has duplicate keys on {keys}")
 
 
+def combine_duplicates(updates: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """One row per key: measures summed, other columns their largest value (a fixed
+    choice where the reference kept whichever duplicate came last)."""
+    others = [c for c in updates.columns if c not in keys and c not in measures]
+    aggs = [F.sum(m).alias(m) for m in measures] + [F.max(c).alias(c) for c in others]
+    return updates.groupBy(*keys).agg(*aggs).select(*updates.columns)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], measures: list[str],
-           check_unique: bool = True) -> DataFrame:
-    """New version of ``target`` after INSERT ... ON DUPLICATE KEY UPDATE measures."""
+           check_unique: bool = True, combine: str | None = None) -> DataFrame:
+    """New version of ``target`` after INSERT ... ON DUPLICATE KEY UPDATE measures.
+
+    Duplicate keys in ``updates`` raise (D6) unless ``combine="sum"`` asks to
+    aggregate them first."""
+    if combine == "sum":
+        updates, check_unique = combine_duplicates(updates, keys, measures), False
+    elif combine is not None:
+        raise ValueError(f"unknown combine: {combine}")
     if check_unique:
         assert_unique(updates, keys)
     t = target.select(*keys, F.lit(True).alias("_t_hit"),
@@ -56,7 +71,8 @@ def counter_add(counters: DataFrame, delta: DataFrame, key: str = "key", value:
 
 
 def merge_partitions(spark, target_path: str, updates: DataFrame, keys: list[str], measures: list[str],
-                     partition_col: str, staging_path: str, check_unique: bool = True) -> None:
+                     partition_col: str, staging_path: str, check_unique: bool = True,
+                     combine: str | None = None) -> None:
     """K-1 on a table stored as parquet partitioned by ``partition_col`` (e.g. the day).
 
     Only the partitions named by ``updates`` are read (a semi join on their values,
@@ -70,6 +86,8 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: list[str
         target = spark.read.parquet(target_path)
     except AnalysisException:  # first run: the table does not exist yet
         target = None
+    if combine == "sum":
+        updates, check_unique = combine_duplicates(updates, keys, measures), False
     if target is None:
         merged = updates
         if check_unique:

@@ -78,3 +78,10 @@ def test_flag_doc_id_and_missing_cap_rows_are_ignored(spark):
                                     "dealid string, now_time string, doc_id string")
     out = counters.apply_stop_flags(caps, flagged).collect()
     assert [(r["dealid"], r["stop"]) for r in out] == [("1", 1)]
+
+
+def test_upsert_can_combine_duplicates(spark):
+    target = spark.createDataFrame([("a", "x", 1)], "k string, attr string, m long")
+    dup = spark.createDataFrame([("a", "p", 2), ("a", "q", 3), ("b", "r", 4)], "k string, attr string, m long")
+    got = sorted(tuple(r) for r in merge.upsert(target, dup, ["k"], ["m"], combine="sum").collect())
+    assert got == [("a", "x", 5), ("b", "r", 4)]
