@@ -3,7 +3,7 @@
 The reference ships no data, so each input it reads (logs, dimension tables,
 the tagged-interval table) is derived from a TESTDATA table by plain column
 expressions. Every adapter reads the whole table; its work grows with it.
-The same mappings are written as SQL in ``__spark_entry__.oracle_sql``.
+The same mappings are written as DuckDB SQL in ``adlens.plans.oracle``.
 """
 
 from __future__ import annotations
