@@ -15,8 +15,18 @@ from adlens import schemas
 from adlens.fixed import ADX_TOPIC
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A TESTDATA table. The tables are read-only, so the reader (schema from the
+    footer, file listing) is built once per session and path, like a catalog table;
+    no data is cached."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READERS or _READERS[key].sparkSession is not spark:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def _s(c) -> F.Column:
