@@ -8,8 +8,9 @@ the same result is computed set-wise:
 * intervals are ordered in their video by (padded begin, tie-break); point
   order is (time, interval order, begin before end), the order of the
   reference's stable sort;
-* points are numbered per video with ``rank_within`` (no per-video window),
-  so an interval covers point numbers ``pb < p <= pe``;
+* points are numbered per video with ``rank_within`` (one window pass, or the
+  range-partitioned plan when a measured video is too large for one task), so an
+  interval covers point numbers ``pb < p <= pe``;
 * the segment at point ``p`` is [t(p-1), t(p)] and holds the intervals with
   ``pb < p <= pe``. ``explode_range`` emits those (segment, interval) pairs,
   which are exactly the elements of the answer, joined to point times on
