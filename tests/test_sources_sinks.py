@@ -142,3 +142,21 @@ def test_writer_errors_fail_the_job(spark):
     df = spark.range(0, 10).select(F.col("id").cast("string").alias("k"))
     with pytest.raises(Exception, match="table is gone"):
         writers.write_partitions_dbapi(df, Broken, "INSERT ...", ["k"])
+
+
+def test_to_partitioned_replaces_only_the_months_given(spark, tmp_out):
+    src = os.path.join(tmp_out, "json")
+    log = write_month_logs(spark, src)  # 202401.log
+    # a second month, written the same way
+    (log.withColumn("local-month", F.lit("202402")).drop("event_id").coalesce(1)
+     .write.json(os.path.join(src, "tmp_202402")))
+    part = glob.glob(os.path.join(src, "tmp_202402", "part-*.json"))[0]
+    os.rename(part, logs.month_path(src, "202402"))
+    out = os.path.join(tmp_out, "pq")
+    logs.to_partitioned(spark, src, out, schemas.EXPOSURE_LOG, months=["202401"])
+    jan = sorted(glob.glob(os.path.join(out, "local-month=202401", "*", "*.parquet")))
+    logs.to_partitioned(spark, src, out, schemas.EXPOSURE_LOG, months=["202402"])
+    assert sorted(glob.glob(os.path.join(out, "local-month=202401", "*", "*.parquet"))) == jan
+    df = logs.read_partitioned(spark, out, schemas.EXPOSURE_LOG)
+    assert {r[0] for r in df.select("local-month").distinct().collect()} == {"202401", "202402"}
+    assert df.count() == 2 * log.count()
