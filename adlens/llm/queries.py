@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import html_text, mixing, packing, plane_files, quality_rules, simhash, syncmers, tokens, warc
+from adlens.llm import html_text, mixing, nbsvm, packing, plane_files, quality_rules, simhash, syncmers, tokens, toxicity, warc
 from adlens.llm.common import table
 from adlens.llm.oracle import OP3, OP5, OP9
 
@@ -37,6 +37,14 @@ def op5_warc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op6_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"), threshold=0.3)
+
+
+def op7_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"), threshold=0.5)
+
+
 def op8_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plane_files.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), tokens.public_path(), end_id=2)
 
@@ -52,6 +60,6 @@ def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extract, op2_simhash_pivot, op3_quality_rules, op4_best_fit_packing, op5_warc_convert,
-                            op8_id_planes, op9_source_mix, op10_closed_syncmers)}
+                            op6_nbsvm_quality, op7_gru_toxicity, op8_id_planes, op9_source_mix, op10_closed_syncmers)}
 
 ORACLE: dict[str, str] = {"op3_quality_rules": OP3, "op5_warc_convert": OP5, "op9_source_mix": OP9}

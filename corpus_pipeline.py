@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.llm import mixing, packing, quality_rules, simhash, tokens
+from adlens.llm import mixing, nbsvm, packing, quality_rules, simhash, tokens
 from adlens.llm.common import staged, table
 
 
@@ -18,6 +18,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores below 0.3 go."""
+    return nbsvm.keep(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), threshold=0.3)
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (smallest doc_id); 3-word shingles, 2 bits."""
     return simhash.keep_one(docs, shingle=3, max_bits=2)
@@ -33,7 +38,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs, tokens.public_path(), capacity=2048, end_id=0)
 
 
-STAGES = [("quality_rules", quality_stage), ("simhash_dedup", simhash_stage),
+STAGES = [("quality_rules", quality_stage), ("quality_classifier", classifier_stage), ("simhash_dedup", simhash_stage),
           ("source_mix", mixing_stage), ("best_fit_packing", packing_stage)]
 
 #: SimHash, a trained classifier and a tokenizer's ids are out of SQL's reach; the tests
