@@ -9,7 +9,7 @@ both share belong to the host's template and are deleted.
 
 What the alignment may not delete: lines of the content element (an article that quotes
 a passage other pages quote too must stay whole), and the open lines of a page whose
-pair is a copy (over half of the open text is shared), where sharing says nothing about
+pair is a copy (80 % or more of the open text is shared), where sharing says nothing about
 templates. Pairs are made from (host, path) keys alone; only line hashes are shuffled to
 the partner, so a host with a third of all pages is spread over as many range partitions
 as it needs.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from adlens.llm.common import partitions, staged
 
 OPEN, JUNK, ARTICLE = 0, 1, 2
+COPY = 0.8
 
 # Element names of the HTML standard by their role in a page.
 RAW = {"script", "style", "template", "noscript", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "select", "noembed", "noframes"}
@@ -246,7 +247,7 @@ def main_text(lines: list[str], zones: list[int], own: list[int], other: list[in
     shared = set(common_lines(own, other)) if other is not None else set()
     open_text = sum(len(t) for t, z in zip(lines, zones) if z == OPEN)
     open_shared = sum(len(t) for i, (t, z) in enumerate(zip(lines, zones)) if z == OPEN and i in shared)
-    copy = 2 * open_shared > open_text
+    copy = open_shared >= COPY * open_text
     return " ".join(t for i, (t, z) in enumerate(zip(lines, zones))
                     if z == ARTICLE or (z == OPEN and (copy or i not in shared)))
 

@@ -6,12 +6,11 @@ layers run over a window of words, one in each direction; attention weighs their
 into one vector; a logistic unit turns it into the window's logit. All of it is numpy,
 trained with Adam on gradients written out by hand.
 
-A text is scored on all its overlapping windows; its evidence is the largest window
-logit. Labels are per text, so training alternates: windows of toxic texts count as toxic
+A text is scored on all its overlapping windows. Labels are per text, so training alternates: windows of toxic texts count as toxic
 at first, later only each text's strongest window and those already above an even chance;
-clean texts give their strongest windows and random others. A logistic curve of
-the evidence and the number of windows, fitted on texts kept out of training, gives the
-score.
+clean texts give their strongest windows and random others. A logistic curve of the
+largest window logit, the sum of the windows' probabilities and the number of windows,
+fitted on texts kept out of training, gives the score.
 """
 
 from __future__ import annotations
@@ -186,8 +185,8 @@ class Network:
 
 
 class Adam:
-    def __init__(self, params: dict[str, np.ndarray], rate: float = 0.01):
-        self.rate, self.t = rate, 0
+    def __init__(self, params: dict[str, np.ndarray], rate: float = 0.01, decay: float = 0.01):
+        self.rate, self.decay, self.t = rate, decay, 0
         self.m = {k: np.zeros_like(v) for k, v in params.items()}
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
 
@@ -205,12 +204,12 @@ class Adam:
         total = np.zeros((len(used), g.shape[1]), np.float32)
         np.add.at(total, place, g)
         m, v = self.m[name][used], self.v[name][used]
-        params[name][used] -= self._move(m, v, total)
+        params[name][used] -= self._move(m, v, total) + self.rate * self.decay * params[name][used]
         self.m[name][used], self.v[name][used] = m, v
 
     def dense(self, params: dict[str, np.ndarray], g: dict[str, np.ndarray]) -> None:
         for k, d in g.items():
-            params[k] -= self._move(self.m[k], self.v[k], d)
+            params[k] -= self._move(self.m[k], self.v[k], d) + self.rate * self.decay * params[k]
         self.t += 1
 
 
@@ -288,31 +287,33 @@ class Scorer:
         at = np.ascontiguousarray(np.concatenate(rows).T)
         return np.concatenate(owner), self.net.run(self.gates[at], (at > 0).astype(np.float32))
 
-    def evidence(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        """(largest window logit, number of windows) per text."""
-        best, count = np.full(len(texts), _FLOOR), np.zeros(len(texts))
+    def evidence(self, texts: list) -> np.ndarray:
+        """(texts, 3): largest window logit, sum of the windows' probabilities, windows."""
+        out = np.zeros((len(texts), 3))
+        out[:, 0] = _FLOOR
         for owner, logit in self.windows(texts):
-            np.maximum.at(best, owner, logit)
-            np.add.at(count, owner, 1)
-        return best, count
+            np.maximum.at(out[:, 0], owner, logit)
+            np.add.at(out[:, 1], owner, 1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+            np.add.at(out[:, 2], owner, 1)
+        return out
 
 
 @dataclass(frozen=True)
 class Model:
     params: dict[str, np.ndarray]
-    curve: np.ndarray  # weights of (1, evidence, log windows)
+    curve: np.ndarray  # weights of (1, largest logit, log of summed probabilities, log windows)
     shape: Shape = Shape()
 
     def scorer(self) -> Scorer:
         return Scorer(Network(self.shape, params=self.params))
 
     def scores(self, texts: list, scorer: Scorer) -> np.ndarray:
-        best, count = scorer.evidence(texts)
-        return 1 / (1 + np.exp(-np.clip(_design(best, count) @ self.curve, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(_design(scorer.evidence(texts)) @ self.curve, -40, 40)))
 
 
-def _design(best: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(best)), np.clip(best, _FLOOR, -_FLOOR), np.log(np.maximum(count, 1.0))], axis=1)
+def _design(found: np.ndarray) -> np.ndarray:
+    best, total, count = found.T
+    return np.stack([np.ones(len(best)), np.clip(best, _FLOOR, -_FLOOR), np.log(total + 0.05), np.log(np.maximum(count, 1.0))], axis=1)
 
 
 def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -328,14 +329,16 @@ def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def train(texts: list, y: np.ndarray, rounds: int = 8, per_text: int = 12, shape: Shape = Shape(), seed: int = 5) -> Model:
+def train(texts: list, y: np.ndarray, rounds: int = 8, per_text: int = 12, least_steps: int = 20, drop: float = 0.05, shape: Shape = Shape(), seed: int = 5) -> Model:
     """Train on whole texts with labels (1 toxic): every text's windows are scored each
-    round; at most ``per_text`` windows of a text enter one round's steps."""
+    round; at most ``per_text`` windows of a text enter one round's steps. A round makes
+    at least ``least_steps`` steps, so few texts are passed over several times.
+    Words of a window are left out with chance ``drop``, so no single mild word decides."""
     rng = np.random.default_rng(seed)
     net = Network(shape, seed)
     if not (y > 0).any() or (y > 0).all():
         share = ((y > 0).sum() + 1) / (len(y) + 2)
-        return Model(net.p, np.array([math.log(share / (1 - share)), 0.0, 0.0]), shape)
+        return Model(net.p, np.array([math.log(share / (1 - share)), 0.0, 0.0, 0.0]), shape)
     held = np.arange(len(texts)) % 5 == 0
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         held[:] = False
@@ -369,7 +372,8 @@ def train(texts: list, y: np.ndarray, rounds: int = 8, per_text: int = 12, shape
         marks = np.array([c[2] for c in chosen])
         balance = np.where(marks > 0, (marks <= 0).sum() / max(1, (marks > 0).sum()), 1.0)
         balance = np.minimum(balance, 4.0)
-        order = rng.permutation(len(chosen))
+        passes = max(1, -(-least_steps * 256 // max(1, len(chosen))))
+        order = np.concatenate([rng.permutation(len(chosen)) for _ in range(passes)])
         for s in range(0, len(order), 256):
             batch = [chosen[k] for k in order[s:s + 256]]
             vocabulary: dict[bytes, int] = {}
@@ -380,11 +384,12 @@ def train(texts: list, y: np.ndarray, rounds: int = 8, per_text: int = 12, shape
                     if place >= 0:
                         at[col, row] = vocabulary.setdefault(words[i][place], len(vocabulary))
                         mask[col, row] = 1
+            mask *= (rng.random(mask.shape) >= drop) | (mask.sum(axis=0) < 2)
             weight = balance[order[s:s + 256]] / len(batch)
             net.step(list(vocabulary), at, mask, marks[order[s:s + 256]].astype(np.float32), weight.astype(np.float32), adam)
     seen = np.flatnonzero(held) if held.any() else np.arange(len(texts))
-    best, count = Scorer(net).evidence([texts[i] for i in seen])
-    return Model(net.p, _curve(_design(best, count), (y[seen] > 0).astype(float)), shape)
+    found = Scorer(net).evidence([texts[i] for i in seen])
+    return Model(net.p, _curve(_design(found), (y[seen] > 0).astype(float)), shape)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 1500) -> Model:
@@ -399,7 +404,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 15
     good, bad = n.get(1, 0), n.get(0, 0)
     if good and bad and (y > 0).any() and (y <= 0).any():
         shift = math.log(good / bad) - math.log((y > 0).sum() / (y <= 0).sum())
-        return Model(model.params, model.curve + np.array([shift, 0.0, 0.0]), model.shape)
+        return Model(model.params, model.curve + np.array([shift, 0.0, 0.0, 0.0]), model.shape)
     return model
 
 

@@ -1,0 +1,80 @@
+import subprocess
+import sys
+import os
+
+import plain
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from adlens.llm import nbsvm, tokens
+from adlens.llm.common import staged, table
+
+ROOT = os.path.dirname(os.path.abspath(cp.__file__))
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_equal_plain_versions(spark):
+    docs = table(spark, SF, "documents")
+    labels = table(spark, SF, "labels")
+    stage = dict(cp.STAGES)
+    rows = [r for r in docs.collect() if not plain.base_failed(plain.measures(r["text"]))]  # too few labels for a cutoff
+    one = staged(stage["quality_rules"](spark, docs, SF), "t1")
+    assert sorted(r["doc_id"] for r in one.collect()) == sorted(r["doc_id"] for r in rows)
+
+    model = nbsvm.fit(one, labels)
+    rows = [r for r in rows if nbsvm.Model(model.weights.astype("float32"), model.bias, model.a, model.b).score(r["text"]) >= 0.3]
+    two = staged(stage["quality_classifier"](spark, one, SF), "t2")
+    assert sorted(r["doc_id"] for r in two.collect()) == sorted(r["doc_id"] for r in rows)
+
+    fps = {r["doc_id"]: plain.simhash(r["text"]) for r in rows}
+    root, first = plain.components(fps.values()), {}
+    for d in sorted(fps):
+        first.setdefault(root[fps[d]], d)
+    three = staged(stage["simhash_dedup"](spark, two, SF), "t3")
+    assert sorted(r["doc_id"] for r in three.collect()) == sorted(first.values())
+
+    rows = [r for r in rows if r["doc_id"] in set(first.values())]
+    mixed = {x[0]: x for x in plain.mix([(r["doc_id"], r["text"], r["source"]) for r in rows])}
+    four = staged(stage["source_mix"](spark, three, SF), "t4")
+    got = {}
+    for r in four.collect():
+        got.setdefault(r["doc_id"], []).append(len(plain.words(r["text"])))
+        assert r["n_chars"] == len(r["text"])
+    for d, (_, size, _, _, taken) in mixed.items():
+        assert sorted(got.get(d, []), reverse=True) == [size] * (taken // size) + ([taken % size] if taken % size else [])
+
+    five = stage["best_fit_packing"](spark, four, SF)
+    n = four.select(F.sum(F.length("text"))).first()[0]
+    used = five.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert n and used.filter("n <> end or n > 2048").count() == 0
+    total, sequences = five.agg(F.sum("length"), F.countDistinct("sequence_id")).first()
+    assert sequences <= -(-total // 2048) + 2
+    assert five.filter("piece = 0").count() == four.count()
+
+
+def test_stage_columns_and_run(spark):
+    docs = table(spark, SF, "documents")
+    for name, f in cp.STAGES[:-1]:
+        assert f(spark, docs, SF).columns == docs.columns, name
+    assert cp.run(spark, SF).count() > 0
+    assert tokens.public_path()
+
+
+def test_empty_input(spark):
+    docs = table(spark, SF, "documents").limit(0)
+    for _, f in cp.STAGES:
+        assert f(spark, docs, SF).count() == 0
+
+
+def test_entry_names_all_queries_and_works_without_the_subpackage(tmp_path):
+    sys.path.insert(0, ROOT)
+    import __spark_entry__ as e
+    names = list(e.queries())
+    for i in range(1, 11):
+        assert sum(n.startswith(f"op{i}_") for n in names) == 1
+    assert "pipeline" in names and set(e.oracle_sql()) <= set(names)
+    for item in ("__spark_entry__.py", "adlens"):
+        subprocess.run(["cp", "-r", f"{ROOT}/{item}", tmp_path], check=True)
+    (tmp_path / "adlens" / "llm").rename(tmp_path / "gone")
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= 29 and not any(n.startswith('op') for n in e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
