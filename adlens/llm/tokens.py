@@ -69,8 +69,7 @@ class WordEncoder:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
             pass
-        new = set(words)
-        new.difference_update(known)
+        new = set(words).difference(known)  # (difference_update would walk the whole table)
         if len(known) + len(new) > KEEP_WORDS:
             known.clear()
             new = set(words)
