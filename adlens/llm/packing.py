@@ -7,7 +7,7 @@ group is packed by bin completion: the largest piece left opens a sequence; the
 undominated ways to fill it from the other pieces are enumerated, fullest first; a
 branch is cut when the waste it has made already rules out fewer sequences than the
 incumbent has. The first incumbent is the best-fit-decreasing solution. The search ends
-when the incumbent meets the bound ceil(tokens / capacity) or after trying
+when the incumbent meets a lower bound on the sequences or after trying
 ``extra_nodes`` sequences beyond those of one whole solution, with the best one so far.
 """
 
@@ -64,6 +64,22 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def fewest_bound(lengths: list[int], capacity: int) -> int:
+    """Sequences that any packing needs: over all k, pieces over capacity - k share no
+    sequence with pieces of k or more, those over half share none with each other, and
+    what is left of the latter must take the pieces from k to half the capacity."""
+    n = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    size = n * np.arange(capacity + 1)
+    count, total = np.concatenate(([0], np.cumsum(n))), np.concatenate(([0], np.cumsum(size)))  # of lengths below x
+    half = capacity // 2
+    k = np.arange(0, half + 1)
+    alone = count[-1] - count[capacity - k + 1]
+    middle = count[capacity - k + 1] - count[half + 1]
+    room = middle * capacity - (total[capacity - k + 1] - total[half + 1])
+    small = total[half + 1] - total[k]
+    return int((alone + middle + np.maximum(0, -((room - small) // capacity))).max())
+
+
 class _Counts:
     """How many pieces of each length are left, with the lengths in use at hand."""
 
@@ -137,7 +153,7 @@ def bin_completion(lengths: list[int], capacity: int, extra_nodes: int = 20_000,
     if not lengths:
         return []
     incumbent = best_fit(lengths, capacity)
-    bound = -(-sum(lengths) // capacity)
+    bound = fewest_bound(lengths, capacity)
     best: list[tuple[int, ...]] | None = None
     best_n = len(incumbent)
     counts = _Counts(lengths, capacity)

@@ -38,6 +38,7 @@ def test_bin_completion_is_valid_and_close_to_the_fewest():
         assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
         assert all(0 < sum(lengths[i] for i in b) <= cap for b in bins)
         n = fewest(lengths, cap)
+        assert -(-sum(lengths) // cap) <= packing.fewest_bound(lengths, cap) <= n
         assert n <= len(bins) <= len(packing.best_fit(lengths, cap))
         optimal += len(bins) == n
     assert optimal >= 58
@@ -52,7 +53,7 @@ def test_large_group_meets_its_bound():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 2049, 4000).tolist()
     bins = packing.bin_completion(lengths, 2048)
-    assert len(bins) <= -(-sum(lengths) // 2048) + 8
+    assert len(bins) <= packing.fewest_bound(lengths, 2048) + 8
     assert sorted(i for b in bins for i in b) == list(range(4000))
 
 
