@@ -149,19 +149,22 @@ _SCANS = {"max": F.max, "min": F.min, "sum": F.sum}
 
 def prefix_within(df: DataFrame, group: list[str], order: list[str], value: Column | str, how: str = "max",
                   out: str = "prefix", inclusive: bool = False, partitions: int | None = None,
-                  hot_rows: int | None = None) -> DataFrame:
+                  hot_rows: int | None = None, hot: bool | None = None) -> DataFrame:
     """Running ``how`` (max / min / sum) of ``value`` over the rows before (or up to)
     each row of its group, in ``order`` (which must make rows unique).
 
     Same plan shape as ``rank_within``: range partitions hold contiguous slices
     of a group; a window inside each (partition, group) slice gives the local
     running value, and a small table carries each slice's total forward to the
-    later slices of the same group. Null where no row precedes.
+    later slices of the same group. Null where no row precedes. ``hot`` skips the size
+    check when the caller already knows the answer.
     """
     fn = _SCANS[how]
     upto = 0 if inclusive else -1
     v = F.col(value) if isinstance(value, str) else value
-    if not _has_hot_group(df, group, hot_rows):
+    if hot is None:
+        hot = _has_hot_group(df, group, hot_rows)
+    if not hot:
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
         return df.withColumn(out, fn(v).over(w))
     n = _partitions(df, partitions)

@@ -12,9 +12,16 @@ the same result is computed set-wise:
   range-partitioned plan when a measured video is too large for one task), so an
   interval covers point numbers ``pb < p <= pe``;
 * the segment at point ``p`` is [t(p-1), t(p)] and holds the intervals with
-  ``pb < p <= pe``. ``explode_range`` emits those (segment, interval) pairs,
-  which are exactly the elements of the answer, joined to point times on
-  (video, p) and grouped on (video, p).
+  ``pb < p <= pe``. For the tag lists ``explode_range`` emits those (segment, interval)
+  pairs, which are exactly the elements of the answer, joined to point times on
+  (video, p) and grouped on (video, p);
+* without lists (``segment_heads``) no pair is made: with M the largest ``pe`` of the
+  intervals before i, interval i is the first active one exactly for
+  ``max(pb, M) < p <= pe``; those ranges do not overlap, so they give one row per
+  segment, and the number of active intervals is a running sum of +1 (begin), -1 (end).
+
+Intervals are ranked in their video once; from then on (video, ``rn``), two plain
+columns, is an interval's identity in every shuffle.
 
 When a video is hot (measured), every shuffle is keyed by (video, point) or
 (video, interval), so one very long video is spread over all tasks; otherwise
@@ -40,7 +47,7 @@ ATTRS = (("video_id", "string_vid"), ("media_name", "media_name"), ("drama_name"
          ("drama_type_name", "string_drama_type_name"), ("media_area_name", "string_media_area_name"),
          ("media_release_date", "string_media_release_date"))
 
-IKEY = ["sid", "copy"]  # identity of an interval inside its video
+IKEY = ["sid", "copy"]  # what tells intervals of one video apart before they are ranked
 
 # A range longer than this is exploded by many tasks (pieces repartitioned first);
 # shorter ones are exploded where they are, saving a shuffle of the intervals.
@@ -85,37 +92,65 @@ def rejected(padded: DataFrame) -> DataFrame:
     return padded.filter(F.col("status") != "ok")
 
 
-def interval_rank(iv: DataFrame) -> DataFrame:
+def interval_rank(iv: DataFrame, hot: bool | None = None) -> DataFrame:
     """W-1: rank of each interval in its video by (padded begin, tie-break)."""
-    return rank_within(iv, ["video_id"], ["b", *IKEY], out="rn")
+    return rank_within(iv, ["video_id"], ["b", *IKEY], out="rn", hot=hot)
 
 
 def points(iv: DataFrame, hot: bool | None = None) -> DataFrame:
     """V-2 + W-2 + W-3: begin/end points numbered ``p`` per video, with the previous point's time.
     ``hot``: whether some video is too large for one window task (checked if None)."""
-    pts = iv.select("video_id", *IKEY, "b", F.explode(F.array(
+    own = _identity(iv)
+    pts = iv.select("video_id", *own, F.explode(F.array(
         F.struct(F.col("b").alias("t"), F.lit(0).alias("is_end")),
         F.struct(F.col("e").alias("t"), F.lit(1).alias("is_end")))).alias("_pt"))
-    pts = pts.select("video_id", *IKEY, "b", "_pt.t", "_pt.is_end")
-    return rank_within(pts, ["video_id"], ["t", "b", *IKEY, "is_end"], out="p", previous={"t": "t_prev"},
-                       hot=hot)
+    pts = pts.select("video_id", *own, "_pt.t", "_pt.is_end")
+    return rank_within(pts, ["video_id"], ["t", *own, "is_end"], out="p", previous={"t": "t_prev"}, hot=hot)
+
+
+def _identity(iv: DataFrame) -> list[str]:
+    """Columns that identify an interval in its video, in interval order."""
+    return ["rn"] if "rn" in iv.columns else ["b", *IKEY]
+
+
+def _spans(iv: DataFrame, numbered_points: DataFrame) -> DataFrame:
+    """Intervals with the numbers ``pb``, ``pe`` of their begin and end points."""
+    own = ["video_id", *_identity(iv)]
+    return iv.join(numbered_points.groupBy(*own).agg(F.min("p").alias("pb"), F.max("p").alias("pe")), own)
 
 
 def members(iv: DataFrame, numbered_points: DataFrame, longest: int | None = None) -> DataFrame:
     """(segment, interval) pairs: one row per interval active at each point ``p``,
     with the segment bounds ``t_prev``, ``t``. The long form of the answer.
     ``longest``: an upper bound of any span's length (measured if None)."""
-    spans = (numbered_points.groupBy("video_id", *IKEY)
-             .agg(F.min("p").alias("pb"), F.max("p").alias("pe")))
+    withspan = _spans(iv, numbered_points)
     if longest is None:
-        longest = longest_range(spans, F.col("pb") + 1, F.col("pe"))
-    withspan = iv.join(spans, ["video_id", *IKEY])
+        longest = longest_range(withspan, F.col("pb") + 1, F.col("pe"))
     spread = ["video_id"] if longest > SPREAD_ABOVE else None
     pairs = explode_range(withspan, F.col("pb") + 1, F.col("pe"), "p", spread=spread)
     bounds = numbered_points.select("video_id", "p", "t_prev", "t")
     return pairs.join(bounds, ["video_id", "p"])
 
 
+def segment_heads(iv: DataFrame, numbered_points: DataFrame, longest: int, hot: bool | None = None) -> DataFrame:
+    """V-3, V-5 without the lists: one row per segment with the attributes of its first
+    active interval, its bounds and ``n_active``. Linear in points, whatever overlaps."""
+    spans = prefix_within(_spans(iv, numbered_points), ["video_id"], _identity(iv), "pe", "max", out="_m", hot=hot)
+    first = explode_range(spans.select("video_id", *[c for c, _ in ATTRS if c != "video_id"], "pb", "pe", "_m"),
+                          F.greatest("pb", F.coalesce("_m", F.lit(0))) + 1, F.col("pe"), "p",
+                          spread=["video_id"] if longest > SPREAD_ABOVE else None)
+    step = F.when(F.col("is_end") == 0, F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    bounds = prefix_within(numbered_points.select("video_id", "p", "t_prev", "t", "is_end"), ["video_id"], ["p"],
+                           step, "sum", out="n_active", hot=hot)
+    g = first.join(bounds, ["video_id", "p"])
+    return g.select(F.col("p").alias("seg_no"), *[F.col(c).alias(out) for c, out in ATTRS], *_times("t_prev", "t"), "n_active")
+
+
+def _times(begin: str, end: str) -> list:
+    return [F.concat_ws("_", F.col(begin).cast("string"), F.col(end).cast("string")).alias("string_time"),
+            (F.col(end) - F.col(begin)).cast("string").alias("string_time_long")]
+
+
 def _sorted_items(m: DataFrame):
     # pb (the interval's begin-point number) orders intervals like (begin, tie-break):
     # one long to sort on instead of the tie-break struct.
@@ -157,8 +192,7 @@ def segments(m: DataFrame, max_items: int | None = None) -> DataFrame:
         g = m.groupBy(*seg).agg(*head, _sorted_items(m).alias("_items"))
         part = []
     cols = [F.col(f"_a.{c}").alias(out) for c, out in ATTRS]
-    cols += [F.concat_ws("_", F.col("_tb").cast("string"), F.col("_te").cast("string")).alias("string_time"),
-             (F.col("_te") - F.col("_tb")).cast("string").alias("string_time_long")]
+    cols += _times("_tb", "_te")
     for cls, name in CLASS_LISTS:
         of_cls = F.filter("_items", _is_class(cls))
         cols += [F.transform(of_cls, lambda x: x["c3"]).alias(f"string_{name}_list"),
@@ -174,10 +208,13 @@ DOC_COLUMNS = tuple(out for _, out in ATTRS) + ("string_time", "string_time_long
 
 def to_documents(segs: DataFrame) -> DataFrame:
     """V-7: one JSON document per segment (null fields omitted), with a stable id
-    so a re-run can overwrite instead of duplicating."""
-    doc_id = F.sha2(F.concat_ws("|", F.col("string_vid"), F.col("seg_no").cast("string")), 256)
-    return segs.select("string_vid", "seg_no", doc_id.alias("doc_id"),
-                       F.to_json(F.struct(*DOC_COLUMNS)).alias("doc"))
+    so a re-run can overwrite instead of duplicating. Parts of a segment (``part``) are
+    documents of their own: the part is in the id and in the document."""
+    part = [F.col("part")] if "part" in segs.columns else []
+    doc_id = F.sha2(F.concat_ws("|", F.col("string_vid"), F.col("seg_no").cast("string"),
+                                *[c.cast("string") for c in part]), 256)
+    return segs.select("string_vid", "seg_no", *part, doc_id.alias("doc_id"),
+                       F.to_json(F.struct(*DOC_COLUMNS, *part)).alias("doc"))
 
 
 def prepare_intervals(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS) -> DataFrame:
@@ -188,27 +225,46 @@ def prepare_intervals(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad
 
 
 def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,
-                   max_items: int | None = None) -> DataFrame:
+                   max_items: int | None = None, hot: bool | None = None) -> DataFrame:
     """R-11 end to end: usable join, class filter, padding, sweep -> segments
     (``max_items``: see ``segments``).
 
-    The numbered points feed both the span aggregate and the segment bounds, so
-    they are checkpointed once (no cached data left behind in a long session)."""
-    iv = prepare_intervals(seats, usable, tie, pad_ms)
+    Ranked intervals and numbered points each feed several steps, so they are
+    checkpointed once (no cached data left behind in a long session). ``hot`` forces the
+    range-partitioned (True) or the window plan (False); measured if None."""
+    return segments(*_swept(prepare_intervals(seats, usable, tie, pad_ms), hot, members), max_items)
+
+
+def segment_heads_of(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,
+                     hot: bool | None = None) -> DataFrame:
+    """R-11 without the tag lists, in linear space (``segment_heads``)."""
+    return _swept(prepare_intervals(seats, usable, tie, pad_ms), hot, segment_heads)[0]
+
+
+def segment_intervals(iv: DataFrame, max_items: int | None = None, hot: bool | None = None) -> DataFrame:
+    """Segments of valid padded intervals (``valid``)."""
+    return segments(*_swept(iv, hot, members), max_items)
+
+
+def _swept(iv: DataFrame, hot: bool | None, finish) -> list[DataFrame]:
     # One count answers both size questions: a video with n intervals has 2n points,
     # and no interval spans more than 2n of them.
     most_points = 2 * largest_group(iv, ["video_id"])
-    pts = checkpointed(points(iv, hot=is_hot(most_points)))
-    return segments(members(iv, pts, longest=most_points), max_items)
+    hot = is_hot(most_points) if hot is None else hot
+    ranked = checkpointed(interval_rank(iv, hot).drop(*IKEY))
+    pts = checkpointed(points(ranked, hot))
+    if finish is members:
+        return [members(ranked, pts, longest=most_points)]
+    return [finish(ranked, pts, most_points, hot)]
 
 
-def bounded_collect(intervals: DataFrame, chunk: int = 1000, tie: str = "sid") -> DataFrame:
+def bounded_collect(intervals: DataFrame, chunk: int = 1000, tie: str = "sid", hot: bool | None = None) -> DataFrame:
     """A-6 in bounded pieces: the rows of a video as JSON documents, at most ``chunk``
     per output row, in (begin, tie-break) order. A hot video becomes many rows
     instead of one unbounded array."""
     kept = intervals.filter(F.col("class_type_id").cast("string").isin(*KEPT_CLASSES))
     kept = kept.withColumn("_b", F.col("ad_seat_b_time").try_cast("bigint"))
-    ranked = rank_within(kept, ["video_id"], ["_b", tie, "copy"], out="_rn")
+    ranked = rank_within(kept, ["video_id"], ["_b", tie, "copy"], out="_rn", hot=hot)
     doc = F.to_json(F.struct(*[F.col(c) for c in SEAT_COLUMNS]))
     g = (ranked.groupBy("video_id", F.floor((F.col("_rn") - 1) / chunk).alias("chunk"))
          .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("_rn", doc.alias("d")))).alias("_docs")))
@@ -216,7 +272,7 @@ def bounded_collect(intervals: DataFrame, chunk: int = 1000, tie: str = "sid") -
                     F.concat(F.lit("["), F.array_join(F.transform("_docs", lambda x: x["d"]), ","), F.lit("]")).alias("rows_json"))
 
 
-def merge_overlaps(iv: DataFrame, tag: str = "class3_name") -> DataFrame:
+def merge_overlaps(iv: DataFrame, tag: str = "class3_name", hot: bool | None = None) -> DataFrame:
     """V-6 (described, commented out in the reference): per (video, tag), merge padded
     intervals that overlap into islands. An interval starts a new island unless it
     begins strictly before the largest end seen so far (touching ones stay apart).
@@ -226,11 +282,13 @@ def merge_overlaps(iv: DataFrame, tag: str = "class3_name") -> DataFrame:
     """
     order = ["b", *IKEY]
     grp = ["video_id", tag]
-    with_prev = prefix_within(iv, grp, order, "e", "max", out="_prev_e")
+    if hot is None:
+        hot = is_hot(largest_group(iv, grp))  # both scans go over the same groups
+    with_prev = prefix_within(iv, grp, order, "e", "max", out="_prev_e", hot=hot)
     starts = with_prev.withColumn(
         "_start", F.when(F.col("_prev_e").isNull() | (F.col("b") >= F.col("_prev_e")),
                          F.struct(*[F.col(c) for c in order])))
-    islands = prefix_within(starts, grp, order, "_start", "max", out="_island", inclusive=True)
+    islands = prefix_within(starts, grp, order, "_start", "max", out="_island", inclusive=True, hot=hot)
     return (islands.groupBy(*grp, "_island")
             .agg(F.min("b").alias("b"), F.max("e").alias("e"), F.count(F.lit(1)).alias("n_merged"))
             .drop("_island"))

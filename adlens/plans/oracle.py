@@ -349,11 +349,15 @@ _CLASS_LISTS = (("4", "man"), ("1", "object"), ("3", "action"), ("2", "sence"))
 _LIST_FIELDS = (("_list", "class3_name"), ("2_list", "class2_name"), ("_img_list", "ad_seat_img"))
 
 
-def video_tag_lists() -> str:
+def video_tag_lists(max_items: int | None = None) -> str:
     lists = ",\n  ".join(
         f"coalesce(string_agg({col}, ',' ORDER BY rn) FILTER (WHERE class_type_id = '{cls}'), '') AS string_{name}{suffix}"
         for cls, name in _CLASS_LISTS for suffix, col in _LIST_FIELDS)
-    return _video(f"SELECT video_id AS string_vid, p AS seg_no, {lists} FROM seg GROUP BY video_id, p", "seg")
+    if not max_items:
+        return _video(f"SELECT video_id AS string_vid, p AS seg_no, {lists} FROM seg GROUP BY video_id, p", "seg")
+    nth = "row_number() OVER (PARTITION BY video_id, p ORDER BY rn)"
+    return _video(f"""SELECT video_id AS string_vid, p AS seg_no, part, {lists}
+FROM (SELECT *, CAST(({nth} - 1) // {max_items} AS BIGINT) AS part FROM seg) s GROUP BY video_id, p, part""", "seg")
 
 
 def video_segments_json() -> str:
@@ -371,14 +375,22 @@ FROM seg GROUP BY video_id, p"""
     return _video(body, "seg")
 
 
-def video_collect() -> str:
+def video_rejected() -> str:
+    body = """SELECT video_id, class_type_id, class3_name, ad_seat_b_time, ad_seat_e_time,
+  CASE WHEN TRY_CAST(ad_seat_b_time AS BIGINT) IS NULL OR TRY_CAST(ad_seat_e_time AS BIGINT) IS NULL THEN 'bad_time'
+       ELSE 'inverted' END AS status FROM padded
+WHERE TRY_CAST(ad_seat_b_time AS BIGINT) IS NULL OR TRY_CAST(ad_seat_e_time AS BIGINT) IS NULL OR e < b"""
+    return _video(body, "padded")
+
+
+def video_collect(chunk: int = 1000) -> str:
     doc = "to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in _SEAT_COLS) + "))"
-    body = f"""SELECT video_id, CAST(floor((rn - 1) / 1000) AS BIGINT) AS chunk, count(*) AS n,
+    body = f"""SELECT video_id, CAST(floor((rn - 1) / {chunk}) AS BIGINT) AS chunk, count(*) AS n,
   '[' || string_agg(CAST(doc AS VARCHAR), ',' ORDER BY rn) || ']' AS rows_json
 FROM (SELECT video_id, {doc} AS doc,
         row_number() OVER (PARTITION BY video_id ORDER BY TRY_CAST(ad_seat_b_time AS BIGINT), sid) AS rn
       FROM joined WHERE class_type_id IN ('1', '2', '3', '4')) r
-GROUP BY video_id, CAST(floor((rn - 1) / 1000) AS BIGINT)"""
+GROUP BY video_id, CAST(floor((rn - 1) / {chunk}) AS BIGINT)"""
     return _video(body, "joined")
 
 

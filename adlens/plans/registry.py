@@ -185,8 +185,8 @@ def _video_intervals(spark, sf):
     return vs.join_usable(td.ad_seat(spark, sf), td.usable_media(spark, sf))
 
 
-def _video_segments(spark, sf):
-    return vs.segment_videos(td.ad_seat(spark, sf), td.usable_media(spark, sf))
+def _video_segments(spark, sf, **how):
+    return vs.segment_videos(td.ad_seat(spark, sf), td.usable_media(spark, sf), **how)
 
 
 @register("video_join_usable", oracle.video_join_usable())
@@ -199,6 +199,19 @@ def video_collect(spark, sf):
     return vs.bounded_collect(_video_intervals(spark, sf))
 
 
+@register("video_collect_chunked", oracle.video_collect(chunk=7))
+def video_collect_chunked(spark, sf):
+    """A-6 with a small chunk and the range-partitioned numbering of hot videos."""
+    return vs.bounded_collect(_video_intervals(spark, sf), chunk=7, hot=True)
+
+
+@register("video_rejected", oracle.video_rejected())
+def video_rejected(spark, sf):
+    """Intervals the sweep cannot use, with the reason (never dropped without a word)."""
+    return vs.rejected(vs.pad(_video_intervals(spark, sf))).select(
+        "video_id", "class_type_id", "class3_name", "ad_seat_b_time", "ad_seat_e_time", "status")
+
+
 @register("video_pad", oracle.video_pad())
 def video_pad(spark, sf):
     return vs.pad(_video_intervals(spark, sf)).select(
@@ -222,15 +235,44 @@ def video_points(spark, sf):
 
 
 @register("video_segments", oracle.video_segments())
-def video_segments(spark, sf):
-    return _video_segments(spark, sf).select("string_vid", "seg_no", *[o for _, o in vs.ATTRS[1:]],
-                                             "string_time", "string_time_long", "n_active")
+def video_segments(spark, sf, hot=None):
+    heads = vs.segment_heads_of(td.ad_seat(spark, sf), td.usable_media(spark, sf), hot=hot)
+    return heads.select("string_vid", "seg_no", *[o for _, o in vs.ATTRS[1:]], "string_time", "string_time_long", "n_active")
 
 
 @register("video_tag_lists", oracle.video_tag_lists())
-def video_tag_lists(spark, sf):
-    return _video_segments(spark, sf).select(
-        "string_vid", "seg_no", *[F.array_join(c, ",").alias(c) for c in vs.LIST_COLUMNS])
+def video_tag_lists(spark, sf, **how):
+    segs = _video_segments(spark, sf, **how)
+    part = ["part"] if "part" in segs.columns else []
+    return segs.select("string_vid", "seg_no", *part, *[F.array_join(c, ",").alias(c) for c in vs.LIST_COLUMNS])
+
+
+# The plans for videos too large for one task, forced: what runs at 100x is what is checked.
+
+@register("video_rank_ranged", oracle.video_interval_rank())
+def video_rank_ranged(spark, sf):
+    return vs.interval_rank(_prepared(spark, sf), hot=True).select("video_id", "rn", "b", "e", "class3_name")
+
+
+@register("video_points_ranged", oracle.video_points())
+def video_points_ranged(spark, sf):
+    return vs.points(_prepared(spark, sf), hot=True).select("video_id", "p", "t", "is_end", "t_prev")
+
+
+@register("video_segments_ranged", oracle.video_segments())
+def video_segments_ranged(spark, sf):
+    return video_segments(spark, sf, hot=True)
+
+
+@register("video_lists_ranged", oracle.video_tag_lists(max_items=3))
+def video_lists_ranged(spark, sf):
+    """Tag lists in parts of at most three active intervals."""
+    return video_tag_lists(spark, sf, hot=True, max_items=3)
+
+
+@register("video_merge_ranged", oracle.video_merge_overlaps())
+def video_merge_ranged(spark, sf):
+    return vs.merge_overlaps(_prepared(spark, sf), hot=True).select("video_id", "class3_name", "b", "e", "n_merged")
 
 
 @register("video_segments_json", oracle.video_segments_json())
