@@ -2,9 +2,9 @@
 
     spark-submit adlens/plans/cli.py reports   --exposure-logs P --request-logs P --ssp-tag T --orders T --out P
     spark-submit adlens/plans/cli.py success   --request-logs P --ssp-tag T --orders T --out P [--day yyyyMMdd]
-    spark-submit adlens/plans/cli.py counter   --stream-format kafka --stream-options J --out P --checkpoint P [--available-now]
+    spark-submit adlens/plans/cli.py counter   --stream-format kafka --stream-options J --out P --checkpoint P [--available-now] [--caps T]
     spark-submit adlens/plans/cli.py parse     --stream-format kafka --stream-options J --out P --checkpoint P [--available-now]
-    spark-submit adlens/plans/cli.py segment   --seats T --usable T --out P
+    spark-submit adlens/plans/cli.py segment   --seats T --usable T --out P [--max-items N]
 
 A table argument ``T`` is a path (format from ``--table-format``, parquet by
 default) or ``jdbc:<options.json>`` whose file holds ``jdbc_options`` keys.
@@ -68,10 +68,14 @@ def main(argv=None) -> None:
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--available-now", action="store_true",
                        help="process what is available, then stop (scheduled runs)")
+        if name == "counter":
+            s.add_argument("--caps", help="cap table: also keep totals, check caps and set stop flags (state in --out)")
+            s.add_argument("--table-format", default="parquet")
     s = sub.add_parser("segment")
     s.add_argument("--seats", required=True)
     s.add_argument("--usable", required=True)
     s.add_argument("--out", required=True)
+    s.add_argument("--max-items", type=int, help="at most so many active intervals in one document")
     s.add_argument("--table-format", default="parquet")
     a = p.parse_args(argv)
 
@@ -87,7 +91,10 @@ def main(argv=None) -> None:
         jobs.upsert_reports(spark, built, a.out)
     elif a.job in ("counter", "parse"):
         trigger = {"availableNow": True} if a.available_now else {"processingTime": BATCH_INTERVAL}
-        if a.job == "counter":
+        if a.job == "counter" and a.caps:
+            q, _ = jobs.start_exposure_control(spark, _stream(spark, a), a.out, load_table(spark, a.caps, a.table_format),
+                                               a.checkpoint, trigger)
+        elif a.job == "counter":
             q = jobs.start_exposure_counter(spark, _stream(spark, a), a.out, a.checkpoint, trigger)
         else:
             q, _ = deal_stream.run_parse_stream(spark, _stream(spark, a).withColumn("event_id", _no_id()),
@@ -98,7 +105,7 @@ def main(argv=None) -> None:
         usable = load_table(spark, a.usable, a.table_format)
         # Without a row id the tie-break is the full row (identical rows are interchangeable).
         seats = seats.withColumn("sid", _row_struct(seats))
-        jobs.segment_and_store(spark, seats, usable, a.out)
+        jobs.segment_and_store(spark, seats, usable, a.out, max_items=a.max_items)
 
 
 def _no_id():

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens import schemas
 from adlens.operators import reports, segments
+from adlens.operators.ordering import checkpointed
 from adlens.sinks import merge, writers
 from adlens.session import scratch_path
 from adlens.sources import logs
@@ -52,17 +53,29 @@ def with_ord(log: DataFrame) -> DataFrame:
     return log.withColumn("event_id", F.struct(F.col("_metadata.file_path").alias("f"), pos.alias("i")))
 
 
+def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with all keys, rows with a null key): the second cannot be stored under a key
+    and is reported instead (D15)."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    return df.filter(whole), df.filter(~whole)
+
+
 def upsert_reports(spark: SparkSession, built: dict[str, DataFrame], table_root: str) -> dict[str, str]:
     """K-1 a: merge each report into its keyed table ``<root>/<name>``, stored as parquet
-    partitioned by ``daytime``; only the days a run produced are read and rewritten.
-    Returns the table paths."""
+    partitioned by ``daytime``; only the days a run produced are read and rewritten. Rows
+    with a null key go to ``<root>/<name>_null_keys``, which holds the last run's.
+    The report itself is computed once. Returns the table paths."""
     out = {}
     for name, df in built.items():
         keys, measures = REPORT_KEYS[name]
         path = os.path.join(table_root, name)
         staging = scratch_path(spark, f"staging-{name}")
-        merge.merge_partitions(spark, path, df.filter(F.col("daytime").isNotNull()), keys, measures,
-                               "daytime", staging)
+        df.write.parquet(f"{staging}-report")
+        keyed, unkeyed = split_null_keys(spark.read.schema(df.schema).parquet(f"{staging}-report"), keys)
+        unkeyed.write.mode("overwrite").parquet(f"{path}_null_keys")
+        merge.merge_partitions(spark, path, keyed, keys, measures, "daytime", staging)
         out[name] = path
     return out
 
@@ -78,15 +91,35 @@ def write_reports_dbapi(built: dict[str, DataFrame], connect, tables: dict[str,
 
 
 def segment_and_store(spark: SparkSession, seats: DataFrame, usable: DataFrame, out_path: str,
-                      tie: str = "sid") -> None:
-    """R-11: usable intervals -> segments -> JSON documents with stable ids."""
-    docs = segments.to_documents(segments.segment_videos(seats, usable, tie))
+                      tie: str = "sid", max_items: int | None = None, rejected_path: str | None = None) -> str:
+    """R-11: usable intervals -> segments -> JSON documents with stable ids.
+
+    Intervals whose times cannot be parsed or are inverted are written to ``rejected_path``
+    (``<out_path>_rejected`` by default) with the reason; the path is returned.
+    ``max_items`` bounds the active intervals of one document (``segments.segments``)."""
+    rejected_path = rejected_path or out_path.rstrip("/") + "_rejected"
+    padded = checkpointed(segments.pad(segments.join_usable(seats, usable, tie)))
+    segments.rejected(padded).drop("b", "e").write.mode("overwrite").json(rejected_path)
+    docs = segments.to_documents(segments.segment_intervals(segments.valid(padded), max_items))
     writers.write_documents(docs.select("doc_id", "doc"), out_path)
+    return rejected_path
 
 
 def start_exposure_counter(spark: SparkSession, raw_stream: DataFrame, out_path: str, checkpoint: str,
                            trigger: dict | None = None):
-    """R-8 (default form): state-store day totals, replay-safe batch sink."""
+    """R-8, totals only: state-store day totals, replay-safe batch sink."""
     q, _ = deal_stream.run_deal_totals(spark, raw_stream, out_path, checkpoint,
                                        trigger or {"processingTime": BATCH_INTERVAL}, day_mode="processing")
     return q
+
+
+def start_exposure_control(spark: SparkSession, raw_stream: DataFrame, state_path: str, caps: DataFrame,
+                           checkpoint: str, trigger: dict | None = None, kv_connect=None, day=None,
+                           initial: DataFrame | None = None):
+    """R-8 whole: in every micro-batch count exposures, add them to the day totals and (if
+    given) the KV counters, compare with the caps, and set ``stop = 1`` on the stored cap
+    table. Returns (query, sink): ``sink.current(spark)`` holds the totals and
+    ``sink.current_caps(spark)`` the cap table."""
+    sink = deal_stream.ReadAddWriteSink(state_path, caps, os.path.join(state_path, "_flags"), day=day,
+                                        initial=initial, kv_connect=kv_connect, store_caps=True)
+    return deal_stream.run_read_add_write(spark, raw_stream, sink, checkpoint, trigger), sink

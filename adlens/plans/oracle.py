@@ -234,6 +234,11 @@ FROM stored_totals t FULL OUTER JOIN (SELECT * FROM running WHERE dealid IS NOT
                          extra={"batch_counts": _BATCH_COUNTS, "running": _RUNNING})
 
 
+def null_deal_report() -> str:
+    return with_adapters("SELECT now_time, CAST(total AS BIGINT) AS total FROM batch_counts WHERE dealid IS NULL", "raw_stream",
+                         extra={"batch_counts": _BATCH_COUNTS})
+
+
 def counter_add() -> str:
     body = """SELECT coalesce(c.key, d.key) AS key, CAST(coalesce(c.value, 0) + coalesce(d.value, 0) AS BIGINT) AS value
 FROM (SELECT 'adxhappen:' || dealid AS key, sum(total) AS value FROM stored_totals GROUP BY 1) c

@@ -124,6 +124,26 @@ def upsert_merge(spark, sf):
     return merge.upsert(target, updates, ["dealid", "now_time"], ["total"])
 
 
+@register("upsert_rerun", oracle.upsert_merge())
+def upsert_rerun(spark, sf):
+    """K-1 as a stored table, run three times with the same updates: the table of one run."""
+    from adlens.session import scratch_path
+    path = scratch_path(spark, "upsert")
+    stored = td.stored_totals(spark, sf).withColumn("total", F.col("total").cast("bigint"))
+    updates = _running_totals(spark, sf).filter(F.col("dealid").isNotNull())
+    for rows in (stored, updates, updates, updates):
+        merge.merge_partitions(spark, path, rows, ["dealid", "now_time"], ["total"], "now_time", scratch_path(spark, "upsert-stage"))
+    return spark.read.schema(updates.schema).parquet(path)
+
+
+@register("null_deal_report", oracle.null_deal_report())
+def null_deal_report(spark, sf):
+    """D15: exposures without a deal, per day: what upserts and totals leave out."""
+    from adlens.plans.jobs import split_null_keys
+    counts = counters.day_counts(counters.keep_topic(td.raw_stream(spark, sf)), F.to_date("ts").cast("string"))
+    return split_null_keys(counts, ["dealid"])[1].select("now_time", "total")
+
+
 @register("counter_add", oracle.counter_add())
 def counter_add(spark, sf):
     stored = td.stored_totals(spark, sf)
@@ -323,3 +343,21 @@ def stream_pacing_flags(spark, sf):
     q = deal_stream.run_read_add_write(spark, _raw_log_stream(spark, sf), sink, trigger={"availableNow": True})
     q.awaitTermination()
     return spark.read.parquet(sink.flags_path).select("dealid", "now_time", "doc_id").distinct()
+
+
+@register("stream_stop_flags", oracle.pacing_apply_flag())
+def stream_stop_flags(spark, sf):
+    """R-8 whole on the stream, two files per micro-batch: totals, cap check and ``stop = 1`` on
+    the stored cap table."""
+    from adlens.plans import jobs
+    from adlens.session import scratch_path
+    events = scratch_path(spark, "events")
+    td.table(spark, sf, "events").repartition(6, "event_id").write.parquet(events)
+    raw = td.to_raw_stream(open_log_stream(spark, "parquet", events, schema=td.table(spark, sf, "events").schema,
+                                           options={"maxFilesPerTrigger": "2"}))
+    q, sink = jobs.start_exposure_control(spark, raw, scratch_path(spark, "control"), td.deal_caps(spark, sf),
+                                          scratch_path(spark, "control_ckpt"), {"availableNow": True},
+                                          day=F.to_date(F.col("ts").cast("timestamp")).cast("string"),
+                                          initial=td.stored_totals(spark, sf))
+    q.awaitTermination()
+    return sink.current_caps(spark)

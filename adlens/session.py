@@ -72,6 +72,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def read_or_none(spark: SparkSession, path: str, schema=None):
+    """The parquet table at ``path``, or None if nothing is there yet. Only a missing path
+    counts as "not there": an emptied or damaged table raises."""
+    from pyspark.errors import AnalysisException
+    try:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def cluster_conf(input_bytes: int, split_bytes: int = 256 << 20, shuffle_bytes: int = 1 << 30,
                  max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input (to pass to spark-submit).

@@ -3,14 +3,19 @@
 ``upsert`` replaces the measures of existing keys and inserts new keys, keeping
 the attributes of existing rows; ``counter_add`` adds deltas to counters. Both
 are one full outer join on the keys: a sort-merge join, so neither side is
-ever held whole in one task, and AQE splits skewed partitions.
+ever held whole in one task, and AQE splits skewed partitions. Keys match null-safely:
+a null key is a key like any other, so a second run updates its row instead of adding one.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlens.session import read_or_none
+
 
 class DuplicateKeyError(ValueError):
     pass
@@ -43,15 +48,11 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], measures: lis
         raise ValueError(f"unknown combine: {combine}")
     if check_unique:
         assert_unique(updates, keys)
-    t = target.select(*keys, F.lit(True).alias("_t_hit"),
-                      *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys])
-    u = updates.select(*keys, F.lit(True).alias("_u_hit"),
-                       *[F.col(c).alias(f"_u_{c}") for c in updates.columns if c not in keys])
-    j = t.join(u, keys, "full_outer")
-    out = [F.col(k) for k in keys]
-    for c in target.columns:
-        if c in keys:
-            continue
+    t = target.select(F.lit(True).alias("_t_hit"), *[F.col(c).alias(f"_t_{c}") for c in target.columns])
+    u = updates.select(F.lit(True).alias("_u_hit"), *[F.col(c).alias(f"_u_{c}") for c in updates.columns])
+    j = t.join(u, reduce(lambda a, b: a & b, [F.col(f"_t_{k}").eqNullSafe(F.col(f"_u_{k}")) for k in keys]), "full_outer")
+    out = []
+    for c in [*keys, *[c for c in target.columns if c not in keys]]:
         if c in measures:
             out.append(F.when(F.col("_u_hit"), F.col(f"_u_{c}")).otherwise(F.col(f"_t_{c}")).alias(c))
         elif c in updates.columns:
@@ -65,8 +66,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], measures: lis
 def counter_add(counters: DataFrame, delta: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """INCRBY for every delta row: counters FULL OUTER JOIN delta, value = a + b."""
     d = delta.groupBy(key).agg(F.sum(value).alias("_d"))  # several deltas per key add up
-    j = counters.select(key, F.col(value).alias("_c")).join(d, key, "full_outer")
-    return j.select(key, (F.coalesce(F.col("_c"), F.lit(0)) + F.coalesce(F.col("_d"), F.lit(0)))
+    c = counters.select(F.col(key).alias("_k"), F.col(value).alias("_c"))
+    j = c.join(d, F.col("_k").eqNullSafe(d[key]), "full_outer")
+    return j.select(F.coalesce("_k", d[key]).alias(key), (F.coalesce(F.col("_c"), F.lit(0)) + F.coalesce(F.col("_d"), F.lit(0)))
                     .cast("bigint").alias(value))
 
 
@@ -79,22 +81,25 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: list[str
     which dynamic partition pruning applies to the scan), merged with ``upsert``,
     written to ``staging_path`` and then swapped into the target with a dynamic
     partition overwrite; other partitions are not touched. The staging step exists
-    because Spark does not overwrite a path it reads in the same job.
+    because Spark does not overwrite a path it reads in the same job. ``updates`` must not
+    hold null partition values (the semi join would miss their stored rows).
     """
-    from pyspark.errors import AnalysisException
-    try:
-        target = spark.read.parquet(target_path)
-    except AnalysisException:  # first run: the table does not exist yet
-        target = None
     if combine == "sum":
         updates, check_unique = combine_duplicates(updates, keys, measures), False
+    # The updates feed the check, the semi join and the merge: they are written once, so
+    # whatever made them (a log scan) runs once.
+    written = f"{staging_path}-updates"
+    updates.write.mode("overwrite").parquet(written)
+    updates = spark.read.schema(updates.schema).parquet(written)
+    if check_unique:
+        assert_unique(updates, keys)
+    # The schema is given: partition values are not guessed into dates or numbers.
+    target = read_or_none(spark, target_path, updates.schema)
     if target is None:
         merged = updates
-        if check_unique:
-            assert_unique(updates, keys)
     else:
         touched = target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
-        merged = upsert(touched.select(*updates.columns), updates, keys, measures, check_unique)
+        merged = upsert(touched.select(*updates.columns), updates, keys, measures, check_unique=False)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_path)
-    (spark.read.parquet(staging_path).write.mode("overwrite")
+    (spark.read.schema(updates.schema).parquet(staging_path).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))

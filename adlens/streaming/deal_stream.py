@@ -2,25 +2,25 @@
 
 Default (ST-3 b): per-(deal, day) counts kept in Spark's state store, emitted
 in ``update`` mode. The ``foreachBatch`` sink writes each micro-batch's updated
-rows to ``<path>/batch_id=N`` with overwrite, so a replayed batch rewrites its
-own folder instead of adding twice; the current total of a key is its row in
-the highest batch. Checkpoints live under the shared checkpoint folder.
+rows to ``<path>/query=Q/batch_id=N`` with overwrite, so a replayed batch rewrites its
+own folder instead of adding twice. A query's total of a key is its row in the query's
+highest batch; a query on a new checkpoint counts anew from zero under its own id, so
+the current total is the sum over queries. Checkpoints live under the shared checkpoint folder.
 
 Variant (ST-3 a): read-add-write against an outside totals table, as the
-reference does, made replay-safe by a ledger of applied batch ids.
+reference does, made replay-safe by a ledger of applied (query, batch) ids.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.operators import counters
 from adlens.schemas import STREAM_RECORD
-from adlens.session import scratch_path
+from adlens.session import read_or_none, scratch_path
 from adlens.functions.scalar import counter_key
 from adlens.sinks import merge, writers
 from adlens.fixed import BATCH_INTERVAL, CAP_SLACK
@@ -64,69 +64,85 @@ def deal_day_counts(raw: DataFrame, day_mode: str = "event", watermark: str | No
             .select("dealid", day.alias("now_time"), "total"))
 
 
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query a micro-batch belongs to. It lives in the checkpoint, so a
+    restart keeps it and a new checkpoint gets a new one; ``direct`` outside a query."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 class BatchLedgerSink:
-    """foreachBatch body writing each batch's rows to ``<path>/batch_id=N`` (idempotent)."""
+    """foreachBatch body writing each batch's rows to ``<path>/query=Q/batch_id=N`` (idempotent).
 
-    def __init__(self, path: str):
-        self.path = path
+    With ``compact_every`` the totals are snapshot after every so many batches."""
+
+    def __init__(self, path: str, compact_every: int | None = None):
+        self.path, self.compact_every = path, compact_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        own = query_id(batch)
         batch = batch.persist()  # two actions below; the stateful batch is computed once
         try:
             if batch.isEmpty():  # ST-2: nothing to write for an empty batch
                 return
-            batch.write.mode("overwrite").parquet(os.path.join(self.path, f"batch_id={batch_id}"))
+            batch.write.mode("overwrite").parquet(os.path.join(self.path, f"query={own}", f"batch_id={batch_id}"))
         finally:
             batch.unpersist()
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            compact_totals(batch.sparkSession, self.path)
 
 
 SNAPSHOTS = "_snapshot"  # underscore: not a partition of the batch folders
 
 
-def _latest_snapshot(spark: SparkSession, path: str):
-    """(upto_batch, frame) of the newest snapshot, or (None, None)."""
-    try:
-        snaps = spark.read.parquet(os.path.join(path, SNAPSHOTS))
-    except AnalysisException:
-        return None, None
-    upto = snaps.agg(F.max("upto")).first()[0]
-    return upto, snaps.filter(F.col("upto") == upto).drop("upto")
+def _per_query(spark: SparkSession, path: str, keys) -> DataFrame | None:
+    """(query, *keys, total, upto) after all batches. Reads the newest snapshot, if any, and
+    only the batch folders after it (partition pruning)."""
+    rows = read_or_none(spark, path)
+    if rows is None:
+        return None
+    rows = rows.select(F.col("query").cast("string").alias("query"), F.col("batch_id").cast("long").alias("batch_id"),
+                       *keys, F.col("total").cast("bigint").alias("total"))
+    snaps = read_or_none(spark, os.path.join(path, SNAPSHOTS))
+    if snaps is not None:
+        snap = snaps.filter(F.col("snap") == snaps.agg(F.max("snap")).first()[0])
+        covered = F.lit(False)
+        for r in snap.groupBy("query").agg(F.max("upto").alias("upto")).collect():  # one row per query
+            covered = covered | ((F.col("query") == r["query"]) & (F.col("batch_id") <= r["upto"]))
+        rows = rows.filter(~covered).unionByName(snap.select("query", F.col("upto").alias("batch_id"), *keys, "total"))
+    return rows.groupBy("query", *keys).agg(F.max_by("total", "batch_id").alias("total"), F.max("batch_id").alias("upto"))
 
 
 def latest_totals(spark: SparkSession, path: str, keys=("dealid", "now_time")) -> DataFrame:
-    """Current value per key: the row of the highest batch that updated it. Reads the
-    newest snapshot (if any) and only the batch folders after it (partition pruning)."""
-    upto, snap = _latest_snapshot(spark, path)
-    rows = spark.read.parquet(path)
-    if upto is not None:
-        rows = rows.filter(F.col("batch_id") > upto).unionByName(
-            snap.withColumn("batch_id", F.lit(upto).cast(rows.schema["batch_id"].dataType)))
-    latest = F.max_by(F.col("total"), F.col("batch_id"))
-    return rows.groupBy(*keys).agg(latest.cast("bigint").alias("total"))
+    """Current value per key: each query's row of the highest batch, summed over queries."""
+    rows = _per_query(spark, path, keys)
+    if rows is None:
+        raise FileNotFoundError(f"no batch was written to {path}")
+    return rows.groupBy(*keys).agg(F.sum("total").cast("bigint").alias("total"))
 
 
 def compact_totals(spark: SparkSession, path: str, keys=("dealid", "now_time")) -> int | None:
-    """Write the current totals as a snapshot up to the newest batch; later reads skip
-    the batch folders it covers. Returns the batch id covered (None if no batch)."""
-    try:
-        upto = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-    except AnalysisException:
+    """Write the current totals per query as a snapshot; later reads skip the batch folders
+    it covers. Returns the highest batch id covered (None if no batch)."""
+    rows = _per_query(spark, path, keys)
+    if rows is None:
         return None
-    if upto is None:
-        return None
-    current = latest_totals(spark, path, keys).withColumn("upto", F.lit(upto).cast("long"))
-    current.write.mode("overwrite").parquet(os.path.join(path, SNAPSHOTS, f"upto={upto}"))
-    return upto
+    # A query's snapshot covers all its batches, whichever key a batch touched.
+    last = rows.groupBy("query").agg(F.max("upto").alias("last"))
+    rows = rows.join(last, "query").select("query", *keys, "total", F.col("last").alias("upto"))
+    snaps = read_or_none(spark, os.path.join(path, SNAPSHOTS))
+    n = 0 if snaps is None else snaps.agg(F.max("snap")).first()[0] + 1
+    rows.write.mode("overwrite").parquet(os.path.join(path, SNAPSHOTS, f"snap={n}"))
+    return spark.read.parquet(os.path.join(path, SNAPSHOTS, f"snap={n}")).agg(F.max("upto")).first()[0]
 
 
 def run_deal_totals(spark: SparkSession, raw_stream: DataFrame, out_path: str | None = None,
                     checkpoint: str | None = None, trigger: dict | None = None,
-                    day_mode: str = "event", watermark: str | None = None):
+                    day_mode: str = "event", watermark: str | None = None, compact_every: int | None = 1000):
     """Start the counter; returns (query, out_path). ``trigger`` defaults to availableNow."""
     out_path = out_path or scratch_path(spark, "deal_totals")
     checkpoint = checkpoint or scratch_path(spark, "deal_totals_ckpt")
     q = (deal_day_counts(raw_stream, day_mode, watermark).writeStream
-         .outputMode("update").foreachBatch(BatchLedgerSink(out_path))
+         .outputMode("update").foreachBatch(BatchLedgerSink(out_path, compact_every))
          .option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
     return q, out_path
@@ -154,16 +170,24 @@ class ReadAddWriteSink:
     """ST-3 a / ST-4 inside foreachBatch: add batch counts to an outside totals table,
     write its new version, flag deals near their cap.
 
-    State is a directory of versions ``v=<batch_id>`` plus a ledger of applied batch
-    ids (parquet, appended after the version is written). Batches arrive in order,
-    so a batch id not above the ledger's largest is a replay and is skipped (D13);
-    a batch that died before its ledger row is recomputed from the previous version
-    and overwrites its own files. The batch's totals are persisted while the flags
-    and the new version are written from them (K-6), then released.
+    State is a directory of versions ``v=N`` plus a ledger of applied (query, batch,
+    version) rows (parquet, appended after the version is written). A query's batches
+    arrive in order, so a batch id not above the query's largest is a replay and is
+    skipped (D13); a query on a new checkpoint has an id of its own, so its batches are
+    not mistaken for replays. A batch that died before its ledger row is recomputed from
+    the previous version and overwrites its own files. The batch's counts and totals are
+    persisted while everything is written from them (K-6), then released.
+
+    Counts without a deal cannot be stored under a key: they are reported in
+    ``<state>/_null_deals`` (D15). With ``store_caps`` the cap table is versioned beside
+    the totals and every flagged row gets ``stop = 1`` (K-3).
     """
 
+    LEDGER = "query string, batch_id long, version long"
+
     def __init__(self, state_path: str, caps: DataFrame | None = None, flags_path: str | None = None,
-                 slack: int = CAP_SLACK, day=None, initial: DataFrame | None = None, kv_connect=None):
+                 slack: int = CAP_SLACK, day=None, initial: DataFrame | None = None, kv_connect=None,
+                 store_caps: bool = False):
         """``day``: a ``yyyy-MM-dd`` text, a Column (e.g. the event date), or None for the
         processing date. ``initial``: the totals table before the first batch.
         ``kv_connect``: optional KV client factory; each batch's per-deal counts are then
@@ -171,48 +195,69 @@ class ReadAddWriteSink:
         as in the reference: a batch that dies before its ledger row adds them again."""
         self.state_path, self.caps, self.flags_path = state_path, caps, flags_path
         self.slack, self.day, self.initial, self.kv_connect = slack, day, initial, kv_connect
+        self.store_caps = store_caps
         self.ledger_path = os.path.join(state_path, "_ledger")
 
+    def _ledger(self, spark: SparkSession) -> DataFrame | None:
+        return read_or_none(spark, self.ledger_path, self.LEDGER)
+
     def last_applied(self, spark: SparkSession) -> int | None:
-        try:
-            ledger = spark.read.parquet(self.ledger_path)
-        except AnalysisException:  # no batch applied yet
-            return None
-        return ledger.agg(F.max("batch_id")).first()[0]
+        """The newest committed version (None before the first)."""
+        ledger = self._ledger(spark)
+        return None if ledger is None else ledger.agg(F.max("version")).first()[0]
 
     def current(self, spark: SparkSession) -> DataFrame | None:
         last = self.last_applied(spark)
-        if last is None:
-            return None
-        return spark.read.parquet(os.path.join(self.state_path, f"v={last}"))
+        return None if last is None else spark.read.parquet(os.path.join(self.state_path, f"v={last}"))
+
+    def current_caps(self, spark: SparkSession) -> DataFrame | None:
+        """The cap table with the stop flags set so far."""
+        last = self.last_applied(spark) if self.store_caps else None
+        return self.caps if last is None else spark.read.parquet(os.path.join(self.state_path, "_caps", f"v={last}"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last = self.last_applied(spark)
-        if (last is not None and batch_id <= last) or batch.isEmpty():
-            return
+        spark, own = batch.sparkSession, query_id(batch)
+        ledger = self._ledger(spark)
+        last = None
+        if ledger is not None:
+            last, seen = ledger.agg(F.max("version"), F.max(F.when(F.col("query") == own, F.col("batch_id")))).first()
+            if seen is not None and batch_id <= seen:
+                return
         day = self.day if self.day is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
-        counts = counters.day_counts(counters.keep_topic(batch), day).filter(F.col("dealid").isNotNull())
-        stored = self.current(spark)
-        if stored is None:
-            stored = (self.initial if self.initial is not None
-                      else spark.createDataFrame([], "dealid string, now_time string, total bigint"))
-        stored = stored.select("dealid", "now_time", F.col("total").cast("bigint").alias("total"))
-        running = counters.add_to_totals(counts, stored).persist()
+        every = counters.day_counts(counters.keep_topic(batch), day).persist()
+        running = None
         try:
+            if every.isEmpty():
+                return
+            version = 0 if last is None else last + 1
+            self._report_null_deals(every.filter(F.col("dealid").isNull()), own, batch_id)
+            stored = self.current(spark)
+            if stored is None:
+                stored = (self.initial if self.initial is not None
+                          else spark.createDataFrame([], "dealid string, now_time string, total bigint"))
+            stored = stored.select("dealid", "now_time", F.col("total").cast("bigint").alias("total"))
+            running = counters.add_to_totals(every.filter(F.col("dealid").isNotNull()), stored).persist()
             if self.kv_connect is not None:
-                per_deal = counts.groupBy("dealid").agg(F.sum("total").alias("value"))
+                per_deal = every.groupBy("dealid").agg(F.sum("total").alias("value"))
                 writers.add_counters(per_deal.select(counter_key("dealid").alias("key"), "value"), self.kv_connect)
             if self.caps is not None and self.flags_path:
-                flagged = counters.near_cap(running, self.caps, self.slack)
-                flagged.write.mode("overwrite").parquet(os.path.join(self.flags_path, f"batch_id={batch_id}"))
+                caps = self.current_caps(spark)
+                flagged = counters.near_cap(running, caps, self.slack)
+                flagged.write.mode("overwrite").parquet(os.path.join(self.flags_path, f"query={own}", f"batch_id={batch_id}"))
+                if self.store_caps:
+                    (counters.apply_stop_flags(caps, flagged)
+                     .write.mode("overwrite").parquet(os.path.join(self.state_path, "_caps", f"v={version}")))
             new_state = merge.upsert(stored, running, ["dealid", "now_time"], ["total"], check_unique=False)
-            new_state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"v={batch_id}"))
+            new_state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"v={version}"))
             # The ledger row commits the batch.
-            spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")) \
-                .write.mode("append").parquet(self.ledger_path)
+            spark.createDataFrame([(own, batch_id, version)], self.LEDGER).coalesce(1).write.mode("append").parquet(self.ledger_path)
         finally:
-            running.unpersist()
+            every.unpersist()
+            if running is not None:
+                running.unpersist()
+
+    def _report_null_deals(self, counts: DataFrame, own: str, batch_id: int) -> None:
+        counts.write.mode("overwrite").parquet(os.path.join(self.state_path, "_null_deals", f"query={own}", f"batch_id={batch_id}"))
 
 
 def run_read_add_write(spark: SparkSession, raw_stream: DataFrame, sink: ReadAddWriteSink,

@@ -71,3 +71,67 @@ def test_with_ord_keeps_partition_pruning_on_parquet_logs(spark, tmp_out):
     assert any(re.match(r"\[[^\]]*\(local-day#\d+ = 05\)", f) for f in filters), filters
     n = td.exposure_log(spark, SF).filter(F.col("local-day") == "05").count()
     assert day.agg(F.sum("total")).first()[0] == n
+
+
+def test_reports_run_three_times_are_stored_once(spark, tmp_out):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            reads.add(1)
+            yield r
+
+    schema = "dealid string, daytime string, media_id string, total long"
+    rows = [("a", "2024-01-01", "m", 3), (None, "2024-01-01", "m", 2), ("b", None, "m", 1), ("c", "20240102", None, 4)]
+    fail = "dsp_id string, daytime string, `return` long, timeout long, else_error long, total long"
+    for _ in range(3):
+        source = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).mapPartitions(counted), schema)
+        built = {"bg": source, "fail": spark.createDataFrame([("x", "d1", 1, 2, 3, 6), (None, "d1", 1, 1, 1, 3)], fail)}
+        before = reads.value
+        paths = jobs.upsert_reports(spark, built, os.path.join(tmp_out, "tables"))
+        assert reads.value - before == len(rows)  # the report is computed once
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(paths["bg"]).select("dealid", "daytime", "total").collect())
+    assert got == [("a", "2024-01-01", 3), ("c", "20240102", 4)]
+    assert spark.read.parquet(paths["bg"] + "_null_keys").agg(F.sum("total")).first()[0] == 3
+    assert spark.read.parquet(paths["fail"]).count() == 1 and spark.read.parquet(paths["fail"] + "_null_keys").count() == 1
+
+
+def test_upsert_matches_null_keys(spark):
+    from adlens.sinks import merge
+    schema = "k string, day string, m long"
+    target = spark.createDataFrame([(None, "d1", 1), ("a", None, 2)], schema)
+    updates = spark.createDataFrame([(None, "d1", 5), ("a", None, 7), (None, None, 9)], schema)
+    got = {(r["k"], r["day"]): r["m"] for r in merge.upsert(target, updates, ["k", "day"], ["m"]).collect()}
+    assert got == {(None, "d1"): 5, ("a", None): 7, (None, None): 9}
+
+
+def test_segment_and_store_reports_rejected_intervals(spark, tmp_out):
+    seats, out = td.ad_seat(spark, SF), os.path.join(tmp_out, "docs")
+    bad = (seats.limit(2).withColumn("ad_seat_b_time", F.lit("soon"))
+           .unionByName(seats.limit(3).withColumn("ad_seat_e_time", F.lit("-999999"))))
+    videos = seats.select("video_id").distinct()
+    path = jobs.segment_and_store(spark, seats.unionByName(bad), videos, out, max_items=2)
+    why = {r["status"]: r["count"] for r in spark.read.json(path).groupBy("status").count().collect()}
+    kept = bad.filter(F.col("class_type_id").isin("1", "2", "3", "4"))
+    assert sum(why.values()) == kept.count() > 0 and set(why) <= {"bad_time", "inverted"}
+    docs = spark.read.json(out)
+    assert docs.select("doc_id").distinct().count() == docs.count()
+    parts = docs.select(F.get_json_object("doc", "$.part").alias("part"))
+    assert parts.filter("part > 0").count() > 0
+
+
+def test_exposure_control_sets_stop_over_micro_batches(spark, tmp_out):
+    from adlens.sources.streams import open_log_stream
+    rec = '{"dealid":"%s","sltcustomtopic":"sltadxlog-adx-bg"}'
+    for i in range(3):
+        rows = [(rec % "7", "2024-01-01")] * 20 + [(rec % "8", "2024-01-01")] * 5
+        spark.createDataFrame(rows, "value string, ts string").coalesce(1).write.parquet(os.path.join(tmp_out, "src", f"p{i}"))
+    raw = open_log_stream(spark, "parquet", os.path.join(tmp_out, "src", "*"), schema="value string, ts string", options={"maxFilesPerTrigger": "1"})
+    caps = spark.createDataFrame([("7", "2024-01-01", 80, 0), ("8", "2024-01-01", 80, 0), ("9", "2024-01-01", 0, 1)],
+                                 "dealid string, now_time string, dealidnum int, stop int")
+    q, sink = jobs.start_exposure_control(spark, raw, os.path.join(tmp_out, "state"), caps, os.path.join(tmp_out, "ckpt"),
+                                          {"availableNow": True}, day=F.col("ts"))
+    q.awaitTermination()
+    assert sink.last_applied(spark) == 2
+    assert {r["dealid"]: r["total"] for r in sink.current(spark).collect()} == {"7": 60, "8": 15}
+    assert {r["dealid"]: r["stop"] for r in sink.current_caps(spark).collect()} == {"7": 1, "8": 0, "9": 1}

@@ -36,7 +36,8 @@ def test_multi_batch_totals_equal_batch(spark, tmp_out):
                                          out_path=os.path.join(tmp_out, "out"),
                                          checkpoint=os.path.join(tmp_out, "ckpt"))
     q.awaitTermination()
-    assert len([d for d in os.listdir(out) if d.startswith("batch_id=")]) == 4
+    (own,) = [d for d in os.listdir(out) if d.startswith("query=")]
+    assert len([d for d in os.listdir(os.path.join(out, own)) if d.startswith("batch_id=")]) == 4
     got = deal_stream.latest_totals(spark, out)
     want = batch_answer(spark)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -181,3 +182,41 @@ def test_read_add_write_adds_kv_counters(spark, tmp_out):
     import json
     ops = [op for p in glob.glob(os.path.join(root, "kv-*.json")) for op in json.load(open(p))]
     assert ops == [["adxhappen:7", 3]]
+
+
+def test_totals_of_a_new_checkpoint_add_to_the_old_ones(spark, tmp_out):
+    src, out = os.path.join(tmp_out, "src"), os.path.join(tmp_out, "out")
+    ev = td.table(spark, SF, "events")
+    for i in range(2):
+        part = os.path.join(src, f"p{i}")
+        ev.filter(F.col("event_id") % 2 == i).repartition(2).write.parquet(part)
+        raw = td.to_raw_stream(open_log_stream(spark, "parquet", part, schema=ev.schema, options={"maxFilesPerTrigger": "1"}))
+        q, _ = deal_stream.run_deal_totals(spark, raw, out_path=out, checkpoint=os.path.join(tmp_out, f"ckpt{i}"), compact_every=2 if i else None)
+        q.awaitTermination()
+    got, want = deal_stream.latest_totals(spark, out), batch_answer(spark)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert len([d for d in os.listdir(os.path.join(out, "_snapshot")) if d.startswith("snap=")]) == 1
+
+
+def test_read_add_write_applies_batches_of_a_new_checkpoint_on_old_state(spark, tmp_out):
+    schema = split_events(spark, os.path.join(tmp_out, "src"), parts=3)
+    state = os.path.join(tmp_out, "state")
+    day = F.to_date(F.col("ts").cast("timestamp")).cast("string")
+    sink = deal_stream.ReadAddWriteSink(state, day=day)
+    for i in range(2):
+        q = deal_stream.run_read_add_write(spark, stream_from(spark, os.path.join(tmp_out, "src"), schema), sink,
+                                           os.path.join(tmp_out, f"ckpt{i}"), {"availableNow": True})
+        q.awaitTermination()
+    want = batch_answer(spark).filter("dealid is not null").select("dealid", "now_time", (2 * F.col("total")).alias("total"))
+    got = sink.current(spark)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    nulls = spark.read.parquet(os.path.join(state, "_null_deals"))
+    assert nulls.agg(F.sum("total")).first()[0] == 2 * batch_answer(spark).filter("dealid is null").agg(F.sum("total")).first()[0]
+    assert nulls.select("query").distinct().count() == 2
+
+
+def test_emptied_state_raises(spark, tmp_out):
+    import pytest
+    os.makedirs(os.path.join(tmp_out, "out"))
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        deal_stream.latest_totals(spark, os.path.join(tmp_out, "out"))
