@@ -78,10 +78,9 @@ def render(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.shiftright(h, 32).cast("int").cast("string")), " ")
 
 
-def with_next(docs: DataFrame, prints, buckets: int | None = None) -> DataFrame:
-    """Rows of ``docs`` (doc_id, text) with ``prints(text)`` and both of the next row in
-    ascending (doc_id, text) order: (doc_id, text, prints, next_text, next_prints). The
-    last row's next is the first row.
+def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text) with ``next_text``, the text of the next row in
+    ascending (doc_id, text) order. The last row's next is the first row.
 
     Rows are dealt once, into buckets of consecutive doc_ids cut at quantiles. Within a
     bucket the next row is a window's ``lead``; a bucket's last row takes the first row of
@@ -93,8 +92,7 @@ def with_next(docs: DataFrame, prints, buckets: int | None = None) -> DataFrame:
     bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda e: e <= F.col("doc_id"))))
     rows = docs.select("doc_id", "text", bucket.alias("bucket"))
     inside = Window.partitionBy("bucket").orderBy("doc_id", "text")
-    led = (rows.withColumn("prints", prints(F.col("text")))
-           .withColumn("led", F.lead(F.struct("text", "prints")).over(inside)))
+    led = rows.withColumn("led", F.lead("text").over(inside))
     # First rows of the buckets: only the doc_ids that open one are read again with their texts.
     opens = F.broadcast(rows.groupBy("bucket").agg(F.min("doc_id").alias("open"))  # a number per bucket
                         .select(F.col("bucket").alias("b"), "open"))
@@ -102,12 +100,8 @@ def with_next(docs: DataFrame, prints, buckets: int | None = None) -> DataFrame:
              .groupBy("bucket").agg(F.min("text").alias("text")))
     turn = Window.orderBy("bucket")
     every = turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = (heads.select("bucket", F.coalesce(F.lead("text").over(turn), F.first("text").over(every)).alias("after_text"))
-             .withColumn("after_prints", prints(F.col("after_text"))))
-    return led.join(after, "bucket").select(
-        "doc_id", "text", "prints",
-        F.when(F.col("led").isNull(), F.col("after_text")).otherwise(F.col("led.text")).alias("next_text"),
-        F.when(F.col("led").isNull(), F.col("after_prints")).otherwise(F.col("led.prints")).alias("next_prints"))
+    after = heads.select("bucket", F.coalesce(F.lead("text").over(turn), F.first("text").over(every)).alias("after"))
+    return led.join(after, "bucket").select("doc_id", "text", F.coalesce("led", "after").alias("next_text"))
 
 
 def fingerprint_edits(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
@@ -122,9 +116,10 @@ def fingerprint_edits(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    near = with_next(base, lambda text: anchor_set(text, k, s))
-    edited = near.select(
-        "doc_id", n.cast("long").alias("n_chars"), "prints", "next_prints",
+    # Anchors are chosen after the rows were dealt: texts alone are shuffled.
+    edited = with_next(base).select(
+        "doc_id", n.cast("long").alias("n_chars"), anchor_set(F.col("text"), k, s).alias("prints"),
+        anchor_set(F.col("next_text"), k, s).alias("next_prints"),
         F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
     both = edited.withColumn("edited_prints", anchor_set(F.col("edited"), k, s))
     return both.select(

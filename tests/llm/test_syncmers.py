@@ -29,7 +29,7 @@ def test_next_rows(odd_docs, buckets):
     order = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["text"].encode()) for r in docs.collect()))
     want = sorted((x, order[(i + 1) % len(order)][2]) for i, x in enumerate(order))
     got = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["text"].encode()), r["next_text"].encode())
-                 for r in sy.with_next(docs, lambda t: sy.anchor_set(t), buckets).collect())
+                 for r in sy.with_next(docs, buckets).collect())
     assert got == want
 
 
