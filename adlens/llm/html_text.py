@@ -18,11 +18,13 @@ as it needs.
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -242,9 +244,8 @@ def _aligned(a: list[int], b: list[int], bits: int) -> list[int]:
     return out[::-1]
 
 
-def main_text(lines: list[str], zones: list[int], own: list[int], other: list[int] | None) -> str:
-    """Article text of a page given its lines and, hashed, its partner's lines."""
-    shared = set(common_lines(own, other)) if other is not None else set()
+def main_text(lines: list[str], zones: list[int], shared: set[int]) -> str:
+    """Article text of a page given its lines and which of them its partner shares."""
     open_text = sum(len(t) for t, z in zip(lines, zones) if z == OPEN)
     open_shared = sum(len(t) for i, (t, z) in enumerate(zip(lines, zones)) if z == OPEN and i in shared)
     copy = open_shared >= COPY * open_text
@@ -283,38 +284,55 @@ def partners(keys: DataFrame) -> DataFrame:
     return near.select("rid", F.when((ahead >= behind) & (ahead >= 0), F.col("prev.rid")).when(behind >= 0, F.col("next.rid")).alias("partner"))
 
 
+def _row_key() -> Column:
+    """A page row's identity: the same in every pass, shared by equal rows only."""
+    return F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in ("page_id", "url", "html")]))
+
+
+def _parsed(pages: DataFrame, texts: bool) -> DataFrame:
+    """(rid, page_id, url, hashes[, lines]) per page; ``lines``: the zones and, but for junk,
+    the texts of all lines, zstandard-compressed for the one shuffle they take."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            rows = [text_lines(h) for h in b["html"].tolist()]
+            out = b.drop(columns="html").assign(hashes=[
+                [xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t, _ in r] for r in rows])
+            if texts:
+                out["lines"] = [pack(json.dumps([[z, "" if z == JUNK else t] for t, z in r]).encode()) for r in rows]
+            yield out
+
+    raw = pages.select(_row_key().alias("rid"), F.col("page_id").cast("string").alias("page_id"), "url", "html")
+    return raw.mapInPandas(run, "rid string, page_id string, url string, hashes array<long>" + (", lines binary" if texts else ""))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, n_lines, n_shared) per row of ``pages`` (page_id, url, html).
 
     A null html gives an empty text; pages without a URL form a host of their own; rows
-    that share a URL or a page_id are rows of their own; extra columns are not carried; an
-    empty table gives no rows.
-    """
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [text_lines(h) for h in b["html"].tolist()]
-            yield pd.DataFrame({
-                "page_id": b["page_id"], "url": b["url"], "lines": [[t for t, _ in r] for r in rows],
-                "zones": [[z for _, z in r] for r in rows],
-                "hashes": [[xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t, _ in r] for r in rows]})
+    that share a URL or a page_id are rows of their own, but equal rows count as one page
+    when partners are chosen; extra columns are not carried; an empty table gives no rows.
 
+    Pages are parsed twice: for keys and line hashes, which are small and choose the
+    partners, and for the texts, which are shuffled once, compressed, and never stored.
+    """
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            texts, shared = [], []
-            for lines, zones, own, other in zip(b["lines"], b["zones"], b["hashes"], b["other"]):
+            out = []
+            for page, url, own, packed, other in zip(b["page_id"], b["url"], b["hashes"], b["lines"], b["other"]):
+                lines = json.loads(unpack(packed))
                 own, other = list(own), None if other is None else list(other)
-                texts.append(main_text(list(lines), list(zones), own, other))
-                shared.append(0 if other is None else len(common_lines(own, other)))
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts],
-                                "n_lines": [len(x) for x in b["lines"]], "n_shared": shared})
-
-    raw = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html")
-    lines = staged(raw.mapInPandas(parse, "page_id string, url string, lines array<string>, zones array<int>, hashes array<long>")
-                   .withColumn("rid", F.monotonically_increasing_id()), "lines")
+                shared = set() if other is None else set(common_lines(own, other))
+                text = main_text([t for _, t in lines], [z for z, _ in lines], shared)
+                out.append((page, url, text, len(text), len(lines), len(shared)))
+            yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars", "n_lines", "n_shared"])
+
+    keys = staged(_parsed(pages, texts=False).dropDuplicates(["rid"]).select("rid", "url", "hashes"), "line-hashes")
     host, path = split_url(F.col("url"))
-    pair = partners(lines.select("rid", host.alias("host"), path.alias("path")))
-    other = (pair.filter("partner is not null").join(lines.select(F.col("rid").alias("partner"), F.col("hashes").alias("other")), "partner")
+    pair = partners(keys.select("rid", host.alias("host"), path.alias("path")))
+    other = (pair.filter("partner is not null").join(keys.select(F.col("rid").alias("partner"), F.col("hashes").alias("other")), "partner")
              .select("rid", "other"))
-    out = (lines.join(other, "rid", "left").select("page_id", "url", "lines", "zones", "hashes", "other")
+    out = (_parsed(pages, texts=True).join(other, "rid", "left").select("page_id", "url", "hashes", "lines", "other")
            .mapInPandas(finish, "page_id string, url string, text string, n_chars long, n_lines long, n_shared long"))
     return out.withColumn("page_id", F.col("page_id").cast("long"))

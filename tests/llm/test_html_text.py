@@ -8,7 +8,8 @@ from adlens.llm import html_text as h
 def kept(page, other=None):
     lines = h.text_lines(page)
     texts = [t for t, _ in lines]
-    return h.main_text(texts, [z for _, z in lines], [hash(t) for t in texts], None if other is None else [hash(t) for t, _ in h.text_lines(other)])
+    shared = set() if other is None else set(h.common_lines([hash(t) for t in texts], [hash(t) for t, _ in h.text_lines(other)]))
+    return h.main_text(texts, [z for _, z in lines], shared)
 
 
 def test_longest_common_subsequence():
@@ -67,3 +68,5 @@ def test_partners_and_extract(spark):
     keys = spark.createDataFrame([(i, "h", p) for i, p in enumerate(["/a/1", "/a/2", "/b/1", "/c"])] + [(9, "g", "/a/1")], "rid long, host string, path string")
     assert {r["rid"]: r["partner"] for r in h.partners(keys).collect()} == {0: 1, 1: 0, 2: 1, 3: 2, 9: None}
     assert h.extract(df.limit(0)).count() == 0
+    twice = h.extract(df.union(df)).collect()
+    assert len(twice) == 2 * len(pages) and all(r["text"] == rows[r["page_id"]]["text"] for r in twice)
