@@ -4,6 +4,8 @@
     spark-submit adlens/plans/cli.py success   --request-logs P --ssp-tag T --orders T --out P [--day yyyyMMdd]
     spark-submit adlens/plans/cli.py counter   --stream-format kafka --stream-options J --out P --checkpoint P [--available-now] [--caps T]
     spark-submit adlens/plans/cli.py parse     --stream-format kafka --stream-options J --out P --checkpoint P [--available-now]
+    spark-submit adlens/plans/cli.py convert   --logs P --kind exposure|request --out P [--months yyyyMM,...]
+    spark-submit adlens/plans/cli.py daily     --logs P --kind bg|success|fail --ssp-tag T [--partitioned] --out P [--day yyyyMMdd]
     spark-submit adlens/plans/cli.py segment   --seats T --usable T --out P [--max-items N]
 
 A table argument ``T`` is a path (format from ``--table-format``, parquet by
@@ -71,6 +73,20 @@ def main(argv=None) -> None:
         if name == "counter":
             s.add_argument("--caps", help="cap table: also keep totals, check caps and set stop flags (state in --out)")
             s.add_argument("--table-format", default="parquet")
+    s = sub.add_parser("convert")
+    s.add_argument("--logs", required=True)
+    s.add_argument("--kind", choices=("exposure", "request"), required=True)
+    s.add_argument("--out", required=True)
+    s.add_argument("--months")
+    s.add_argument("--files-per-day", type=int, default=8)
+    s = sub.add_parser("daily")
+    s.add_argument("--logs", required=True)
+    s.add_argument("--kind", choices=tuple(jobs.DAILY), required=True)
+    s.add_argument("--ssp-tag", required=True)
+    s.add_argument("--partitioned", action="store_true", help="--logs was written by convert")
+    s.add_argument("--out", required=True)
+    s.add_argument("--day", help="report day yyyyMMdd (default: yesterday)")
+    s.add_argument("--table-format", default="parquet")
     s = sub.add_parser("segment")
     s.add_argument("--seats", required=True)
     s.add_argument("--usable", required=True)
@@ -89,6 +105,14 @@ def main(argv=None) -> None:
             req = jobs.with_ord(logs.read_month(spark, a.request_logs, run.month, schemas.REQUEST_LOG))
             built = {"success": reports.success_report_all(req, tags, orders)}
         jobs.upsert_reports(spark, built, a.out)
+    elif a.job == "convert":
+        schema = schemas.EXPOSURE_LOG if a.kind == "exposure" else schemas.REQUEST_LOG
+        logs.to_partitioned(spark, a.logs, a.out, schema, a.months.split(",") if a.months else None,
+                            files_per_day=a.files_per_day)
+    elif a.job == "daily":
+        run = reports.RunDay.parse(a.day) if a.day else logs.yesterday()
+        built = jobs.build_daily(spark, a.kind, a.logs, load_table(spark, a.ssp_tag, a.table_format), run, a.partitioned)
+        jobs.upsert_reports(spark, {a.kind: built}, a.out)
     elif a.job in ("counter", "parse"):
         trigger = {"availableNow": True} if a.available_now else {"processingTime": BATCH_INTERVAL}
         if a.job == "counter" and a.caps:

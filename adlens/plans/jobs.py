@@ -42,6 +42,21 @@ def build_reports(spark: SparkSession, exposure_root: str, request_root: str, ss
     }
 
 
+# R-1, R-3, R-5: (schema, report) of one run day.
+DAILY = {"bg": (schemas.EXPOSURE_LOG, reports.exposure_report_daily),
+         "success": (schemas.REQUEST_LOG, reports.success_report_daily),
+         "fail": (schemas.REQUEST_LOG, reports.failure_report_daily)}
+
+
+def build_daily(spark: SparkSession, kind: str, logs_root: str, ssp_tag: DataFrame, run: reports.RunDay,
+                partitioned: bool = False) -> DataFrame:
+    """One daily report from a month's JSON file, or from the converted log, of which only
+    the run day's partition is read."""
+    schema, report = DAILY[kind]
+    log = logs.read_partitioned(spark, logs_root, schema) if partitioned else logs.read_month(spark, logs_root, run.month, schema)
+    return report(with_ord(log), ssp_tag, run)
+
+
 def with_ord(log: DataFrame) -> DataFrame:
     """Tie-break for ``first`` on raw logs: (file, position in file).
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.operators.reports import RunDay
@@ -45,14 +46,17 @@ PARTITION_COLUMNS = ("local-month", "local-day")
 
 
 def to_partitioned(spark: SparkSession, json_root: str, out_root: str, schema: T.StructType,
-                   months=None, mode: str = "overwrite") -> None:
+                   months=None, mode: str = "overwrite", files_per_day: int = 8) -> None:
     """One-time conversion of JSON month logs into parquet partitioned by month and day.
 
     Later report runs then prune to the partitions a filter names (a day, a month)
     and read only the columns a report needs. ``overwrite`` is dynamic per
-    partition, so re-converting one month leaves the others alone."""
+    partition, so re-converting one month leaves the others alone. A day is dealt over up
+    to ``files_per_day`` tasks and files by a hash of its rows, so one busy day is not one
+    task's work; choose it by the largest day's size over the wanted file size."""
     df = read_months(spark, json_root, months, schema) if months else read_all(spark, json_root, schema)
-    (df.repartition(*PARTITION_COLUMNS).write.mode(mode)
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_day))
+    (df.repartition(*PARTITION_COLUMNS, deal).write.mode(mode)
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*PARTITION_COLUMNS).parquet(out_root))
 

@@ -46,3 +46,25 @@ def test_stream_jobs_on_a_file_source(spark, tmp_out):
     from adlens.streaming import deal_stream
     got = deal_stream.latest_totals(spark, os.path.join(tmp_out, "totals"))
     assert got.agg(F.sum("total")).first()[0] == counters.keep_topic(td.raw_stream(spark, SF)).count()
+
+
+def test_convert_and_daily_jobs(spark, tmp_out):
+    logs_root, pq, out = (os.path.join(tmp_out, d) for d in ("logs", "pq", "tables"))
+    td.exposure_log(spark, SF).drop("event_id").coalesce(1).write.json(os.path.join(tmp_out, "tmp"))
+    os.makedirs(logs_root)
+    part = [f for f in os.listdir(os.path.join(tmp_out, "tmp")) if f.startswith("part-")][0]
+    os.rename(os.path.join(tmp_out, "tmp", part), os.path.join(logs_root, "202401.log"))
+    # Small days are merged into one task by adaptive execution; here each part stays its own.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cli.main(["convert", "--logs", logs_root, "--kind", "exposure", "--out", pq, "--files-per-day", "4"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    day = os.path.join(pq, "local-month=202401", "local-day=05")
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) > 1  # a day is several tasks' work
+    tags = os.path.join(tmp_out, "tags")
+    td.ssp_tag(spark, SF).write.parquet(tags)
+    want = td.exposure_log(spark, SF).filter("`local-day` = '05' and dealid is not null").count()
+    for i, how in enumerate((["--logs", logs_root], ["--logs", pq, "--partitioned"])):
+        cli.main(["daily", "--kind", "bg", "--ssp-tag", tags, "--day", "20240105", "--out", f"{out}{i}", *how])
+        assert spark.read.parquet(os.path.join(f"{out}{i}", "bg")).agg(F.sum("total")).first()[0] == want
