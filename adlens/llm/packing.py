@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import staged
+from adlens.llm.common import partitions, staged
 from adlens.llm.tokens import encoder
 
 # doc_id travels as text through pandas, which would turn a column with nulls into floats.
@@ -233,5 +233,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
         first = int(group["deal"].iloc[0]) << 32
         return group.drop(columns="deal").assign(sequence_id=seq + first, offset=offset)
 
+    # A fixed number of partitions: adaptive execution would merge groups into one task.
+    dealt = dealt.repartition(max(1, min(n, partitions(docs.sparkSession))), "deal")
     packed = dealt.groupBy("deal").applyInPandas(run, PIECES + ", sequence_id long, offset long")
     return packed.withColumn("doc_id", F.col("doc_id").cast("long"))
