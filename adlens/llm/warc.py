@@ -283,6 +283,9 @@ def convert_arcs(arcs: DataFrame, revisits: DataFrame, folder: str) -> DataFrame
         return pd.DataFrame({"path": [out], "n": n})
 
     rows = arcs.select("path").unionByName(revisits, allowMissingColumns=True)  # archives without any decision too
+    # The rows are small but each stands for an archive's work: a fixed number of partitions
+    # keeps adaptive execution from merging them into one task.
+    rows = rows.repartition(partitions(arcs.sparkSession), "path")
     return staged(rows.groupBy("path").applyInPandas(run, "path string, n long"), "warcs")
 
 
