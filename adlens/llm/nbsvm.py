@@ -28,8 +28,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import staged
-
 BITS = 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -172,10 +170,16 @@ def logistic(margins: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[floa
     return float(max(a, 1e-6)), float(b)
 
 
+def _marks(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of labels 0 and 1 outside the held-out fifth."""
+    return labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("label in (0, 1)").filter(~held_out())
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of labelled rows outside the held-out fifth; labels other than 0 and 1 are ignored."""
-    marks = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
-    return docs.select("doc_id", "text").join(marks, "doc_id").filter(~held_out())
+    """(doc_id, text, label) of labelled rows outside the held-out fifth; labels other than 0
+    and 1 are ignored. Labels grow with the documents, so the join is a shuffled one at
+    every size."""
+    return docs.select("doc_id", "text").filter(~held_out()).join(_marks(labels, label).hint("merge"), "doc_id")
 
 
 def held_out():
@@ -183,14 +187,19 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def sample(train: DataFrame, most: int) -> DataFrame:
-    """At most about ``most`` rows of each label, chosen by a hash of the doc_id and text."""
-    n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+def sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> tuple[DataFrame, dict[int, int]]:
+    """(training rows of at most about ``most`` labels of each class, labels per class).
+
+    Labels are drawn by a hash of the doc_id before they meet the texts: their number is
+    bounded by ``most``, so they are broadcast and no text is shuffled.
+    """
+    marks = _marks(labels, label)
+    n = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
     share = F.lit(0.0)
     for k, v in n.items():
         share = F.when(F.col("label") == k, F.lit(min(1.0, most / v))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-    return train.filter(draw < share)
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
+    return docs.select("doc_id", "text").join(F.broadcast(marks.filter(draw < share)), "doc_id"), n
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 4000, cost: float = 1.0,
@@ -202,8 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     driver holds. Without rows of both classes the score is the share of good ones
     (a half without any).
     """
-    train = staged(training_rows(docs, labels, label), "labelled")
-    p, q, good, bad = counts(train, bits)
+    p, q, good, bad = counts(training_rows(docs, labels, label), bits)
     if not good or not bad:
         share = (good + 1) / (good + bad + 2)
         return Model(np.zeros(1 << bits), 0.0, 1.0, math.log(share / (1 - share)), bits)
@@ -213,12 +221,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
         for b in batches:
             yield pd.DataFrame({"label": b["label"], "key": b["key"], "places": [features(t, bits).tobytes() for t in b["text"]]})
 
-    drawn = (sample(train, most).select("label", F.xxhash64("doc_id", "text").alias("key"), "text")
+    drawn = (sample(docs, labels, label, most)[0].select("label", F.xxhash64("doc_id", "text").alias("key"), "text")
              .mapInPandas(places, "label int, key long, places binary").toPandas().sort_values(["key", "label"]))
     rows = [np.frombuffer(x, np.int32) for x in drawn["places"]]
     y = np.where(drawn["label"].to_numpy() == 1, 1.0, -1.0)
     fold = np.arange(len(rows)) % 4 == 0  # a quarter fits the logistic curve
-    if len(set(y[~fold])) < 2:
+    if len(set(y[~fold])) < 2 or len(set(y[fold])) < 2:
         fold[:] = False
     c = np.where(y > 0, cost, cost * max(1.0, (y > 0).sum() / max(1, (y < 0).sum())))
     use = np.flatnonzero(~fold)

@@ -25,8 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import staged
-from adlens.llm.nbsvm import held_out, sample, training_rows
+from adlens.llm.nbsvm import held_out, sample
 
 WINDOW, STRIDE = 32, 24
 _TRIM = b".,;:!?\"'()[]{}*#%$&|<>-_"
@@ -395,9 +394,8 @@ def train(texts: list, y: np.ndarray, rounds: int = 8, per_text: int = 12, least
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 1500) -> Model:
     """Train on labelled rows of ``docs`` (doc_id, text) outside the held-out fifth: at most
     about ``most`` rows of each label, drawn by hash. That bound is what the driver holds."""
-    rows = staged(training_rows(docs, labels, label), "labelled")
-    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    drawn = sample(rows, most).select("label", "text", F.xxhash64("doc_id", "text").alias("key")).toPandas().sort_values(["key", "label"])
+    rows, n = sample(docs, labels, label, most)
+    drawn = rows.select("label", "text", F.xxhash64("doc_id", "text").alias("key")).toPandas().sort_values(["key", "label"])
     y = drawn["label"].to_numpy().astype(np.float64) if len(drawn) else np.zeros(0)
     model = train(drawn["text"].tolist(), y)
     # The draw changes the classes' shares: shift the curve back to those of all labelled rows.
