@@ -135,3 +135,34 @@ def test_exposure_control_sets_stop_over_micro_batches(spark, tmp_out):
     assert sink.last_applied(spark) == 2
     assert {r["dealid"]: r["total"] for r in sink.current(spark).collect()} == {"7": 60, "8": 15}
     assert {r["dealid"]: r["stop"] for r in sink.current_caps(spark).collect()} == {"7": 1, "8": 0, "9": 1}
+
+
+def test_reports_through_a_db_api_connection(spark, tmp_out):
+    class FileDb:  # DB-API stand-in: keeps what a partition committed in a file
+        def cursor(self):
+            self.done = []
+            return self
+
+        def executemany(self, sql, rows):
+            self.done += [[sql, *r] for r in rows]
+
+        def commit(self):
+            import json
+            import uuid
+            with open(os.path.join(tmp_out, f"db-{uuid.uuid4().hex}.json"), "w") as f:
+                json.dump(self.done, f)
+
+        def rollback(self):
+            pass
+
+        def close(self):
+            pass
+
+    bg = spark.createDataFrame([("a", "d1", "m", 3), (None, "d1", "m", 2), ("b", None, "m", 1)], "dealid string, daytime string, media_id string, total long")
+    fail = spark.createDataFrame([("x", "d1", 1, 2, 3, 6)], "dsp_id string, daytime string, `return` long, timeout long, else_error long, total long")
+    jobs.write_reports_dbapi({"bg": bg, "fail": fail}, FileDb, {"bg": "t_bg", "fail": "t_fail"})
+    import glob
+    import json
+    rows = [r for p in glob.glob(os.path.join(tmp_out, "db-*.json")) for r in json.load(open(p))]
+    assert sorted(r[1:] for r in rows) == [["a", "d1", "m", 3], ["x", "d1", 1, 2, 3, 6]]
+    assert all("ON DUPLICATE KEY UPDATE" in r[0] for r in rows) and {r[0].split("(")[0] for r in rows} == {"INSERT INTO t_bg", "INSERT INTO t_fail"}
