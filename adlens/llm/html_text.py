@@ -51,10 +51,10 @@ JUNK_WORDS = {
 HEADER_WORDS = {"header", "head"}
 COMMENT_WORDS = {"comment", "comments", "reply", "replies", "discussion", "respond", "disqus", "commentlist"}
 CONTENT_TAGS = {"article", "main"}
-CONTENT_NAMES = {"articlebody", "article-body", "article_body", "article-content", "post-content", "post-body", "entry-content", "story-body", "main-content", "maincontent"}
+CONTENT_NAMES = {"articlebody", "article-body", "article_body", "article-content", "post-content", "post-body", "entry-content", "story-body", "main-content", "maincontent", "content", "article", "post", "story", "main"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_ATTR = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACES = re.compile(r"\s+")
 
@@ -78,7 +78,7 @@ def _zone(tag: str, raw: str, in_article: bool) -> int:
                 content = content or value.lower() in ("main", "article")
             elif name == "itemprop":
                 content = content or value.lower() == "articlebody"
-            elif tag not in ("body", "html"):
+            elif name in ("class", "id") and tag not in ("body", "html"):
                 for one in value.split():
                     if one.lower() in CONTENT_NAMES:
                         content = True
@@ -176,13 +176,14 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
         stack.append((tag, own, part))
         zone = own
     flush()
-    # The content element with the most text is the article; others (teasers) are open lines.
+    # The content element with the most text is the article, with others of at least half its
+    # text; shorter ones (teasers) and lines outside go.
     weight: dict[int, int] = {}
     for text, z, p in lines:
         if z == ARTICLE:
             weight[p] = weight.get(p, 0) + len(text)
-    best = max(weight, key=lambda p: (weight[p], -p)) if weight else 0
-    return [(t, JUNK if z == ARTICLE and p != best else (JUNK if z == OPEN and best else z)) for t, z, p in lines]
+    most = max(weight.values(), default=0)
+    return [(t, JUNK if (z == ARTICLE and 2 * weight[p] < most) or (z == OPEN and most) else z) for t, z, p in lines]
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:

@@ -35,6 +35,14 @@ def test_structure():
     assert kept(page) == "Head & line One bolder word, two lines Unclosed <tag> é😀 a b"
 
 
+def test_attributes_and_content_elements():
+    assert kept('<div title="hidden comments" data-id="ad">text</div><div id=sidebar>no</div>') == "text"
+    assert kept('<div class="main-header">Site</div><div id="content"><p>one</p><p class="ad">x</p><p>two</p></div><div>after</div>') == "one two"
+    assert kept("<article>The long story of it all, told at length</article><article>Teaser</article>") == "The long story of it all, told at length"
+    assert kept("<article>first half of it</article><article>second half of it</article><article class=comment>Great, thanks!</article>") == "first half of it second half of it"
+    assert kept('<div class="content">body<ul class="menu"><li>x</ul><div class="user-comments">y</div></div>') == "body"
+
+
 def test_odd_pages():
     assert kept(None) == "" and kept("") == "" and kept("<p></p><br>") == ""
     assert kept("plain text, no markup") == "plain text, no markup"
