@@ -176,7 +176,8 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
 def keep(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """The rows of ``docs`` the rules keep, columns unchanged. Only the labelled texts are
     measured twice (once to choose cutoffs)."""
-    known = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    # Labels grow with the documents: the same shuffled join at every size.
+    known = docs.join(labels.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     strata = docs.select("lang").distinct()
     sample = staged(measures(known, "doc_id", "lang"), "measures")
     # strata without any label still count in the correction, as in judge()
