@@ -55,7 +55,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return syncmers.fingerprint_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return syncmers.fingerprint_char_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -56,3 +56,43 @@ def test_edits(odd_docs, no_docs):
 def test_no_python_on_the_main_path(odd_docs):
     plan = sy.fingerprint_edits(odd_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_code_point_edits_equal_the_direct_way(odd_docs, no_docs):
+    got, direct = sy.fingerprint_char_edits(odd_docs), sy.with_next(odd_docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    n = F.char_length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
+    a, e, x = (sy.char_anchor_set(c) for c in (F.col("text"), edited, F.col("next_text")))
+    want = direct.select("doc_id", n.cast("long"), F.sha2(edited, 256), sy.render(a), F.array_sort(F.split(sy.render(e), " ")),
+                         F.round(sy.likeness(a, e), 9), F.round(sy.likeness(a, x), 9))
+    have = got.select("doc_id", "n_chars", "edited_sha256", "fingerprint", F.array_sort(F.split("edited_fingerprint", " ")),
+                      F.round("near_edited", 9), F.round("near_next", 9))
+    assert sorted(map(repr, map(tuple, have.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+    assert sy.fingerprint_char_edits(no_docs).count() == 0
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_code_point_anchors_equal_the_definition(spark):
+    k, s = sy.CHAR_K, sy.CHAR_S
+    texts = ["", "short", "exactly10!", "aaaaaaaaaaaaaaaaaaaa", "one 😀 two é three 漢字漢字 and more of it, \n\n at some length"]
+    for t in texts:
+        mers = spark.createDataFrame([(i, *t[i:i + s]) for i in range(len(t) - s + 1)] or [(0, "", "", "")], "i int, a string, b string, c string")
+        h = [r[0] for r in mers.orderBy("i").select(F.xxhash64("a", "b", "c")).collect()]
+        w = k - s + 1
+        want = [i for i in range(len(t) - k + 1) if min(h[i], h[i + w - 1]) == min(h[i:i + w])] if len(t) >= k else [0] * bool(t)
+        got = spark.createDataFrame([(t,)], "t string").select(sy.char_anchors(F.col("t")).alias("a")).first()["a"]
+        assert got["pos"] == want and len(got["hash"]) == len(want)
+        grams = [t[i:i + k] for i in want]
+        assert len(set(got["hash"])) == len(set(grams))
+
+
+def test_the_query_finds_short_and_unspaced_kept_halves(spark, tmp_path):
+    from adlens.llm.queries import op10_closed_syncmers
+    rng = __import__("random").Random(3)
+    unspaced = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400))
+    rows = [(1, "three longish words, then some further ones here"), (2, unspaced), (3, "quite another text that goes on for a long, long while")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    near = {r["doc_id"]: r["near_edited"] for r in op10_closed_syncmers(spark, str(tmp_path)).collect()}
+    assert all(v > 0.1 for v in near.values()), near
