@@ -136,8 +136,8 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
         if m[1]:
             if tag == "a":
                 links[1] = max(0, links[1] - 1)
-            if tag in INLINE:
-                continue
+            if tag in INLINE and all(e != tag for e, _, _ in stack):
+                continue  # only hidden inline elements, and their kind inside them, are on the stack
             flush()
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
@@ -151,8 +151,8 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
             continue
         if tag == "a":
             links[1] += 1
-        if tag in INLINE:
-            if "hidden" not in m[3]:
+        if tag in INLINE and all(e != tag for e, _, _ in stack):
+            if "hidden" not in m[3] or _zone(tag, m[3], zone == ARTICLE) != JUNK:
                 continue
         flush()
         if tag in VOID or m[3].endswith("/"):

@@ -43,6 +43,14 @@ def test_attributes_and_content_elements():
     assert kept('<div class="content">body<ul class="menu"><li>x</ul><div class="user-comments">y</div></div>') == "body"
 
 
+def test_text_after_hidden_inline_elements():
+    assert kept('<p>One <span aria-hidden="true">*</span> rest of the paragraph</p>') == "One rest of the paragraph"
+    assert kept('<article>a <a aria-hidden="true" href="#x"><span>#</span></a> b <b>c</b><p>d</p></article>') == "a b c d"
+    assert kept("<p>a <span hidden>x <span>y</span> z</span> b</p><p>c") == "a b c"
+    assert kept("<p>a <span hidden>x</p><p>b <span>c</span> d</p>") == "a b c d"
+    assert kept('<p>mid<span class="overflow-hidden">word</span> on</p>') == "midword on"
+
+
 def test_odd_pages():
     assert kept(None) == "" and kept("") == "" and kept("<p></p><br>") == ""
     assert kept("plain text, no markup") == "plain text, no markup"
