@@ -177,13 +177,17 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
         zone = own
     flush()
     # The content element with the most text is the article, with others of at least half its
-    # text; shorter ones (teasers) and lines outside go.
+    # text. Shorter ones (teasers) and lines outside go if the article holds most of the text
+    # that is not junk; otherwise the names say too little, and the page difference decides.
     weight: dict[int, int] = {}
     for text, z, p in lines:
         if z == ARTICLE:
             weight[p] = weight.get(p, 0) + len(text)
     most = max(weight.values(), default=0)
-    return [(t, JUNK if (z == ARTICLE and 2 * weight[p] < most) or (z == OPEN and most) else z) for t, z, p in lines]
+    large = sum(w for w in weight.values() if 2 * w >= most)
+    if 2 * large > sum(len(text) for text, z, _ in lines if z != JUNK):
+        return [(t, JUNK if (z == ARTICLE and 2 * weight[p] < most) or z == OPEN else z) for t, z, p in lines]
+    return [(t, OPEN if z == ARTICLE else z) for t, z, _ in lines]
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:

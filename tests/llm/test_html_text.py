@@ -51,6 +51,13 @@ def test_text_after_hidden_inline_elements():
     assert kept('<p>mid<span class="overflow-hidden">word</span> on</p>') == "midword on"
 
 
+def test_a_small_content_element_does_not_silence_the_page():
+    page = '<p>Menu of the site</p><p>{} The long story of it all, told at length</p><p>and a second paragraph of it</p><div class="post">See also this</div>'
+    assert kept(page.format("One.")).count("story") == 1
+    assert kept(page.format("One."), '<p>Menu of the site</p><p>Some other text</p><div class="post">See also this</div>') == (
+        "One. The long story of it all, told at length and a second paragraph of it")
+
+
 def test_odd_pages():
     assert kept(None) == "" and kept("") == "" and kept("<p></p><br>") == ""
     assert kept("plain text, no markup") == "plain text, no markup"
