@@ -47,6 +47,65 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM o
 """
 
+OP13 = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, source, lang, n_chars, text, replace(text, chr(10), '') AS bare,
+         CAST(doc_id AS VARCHAR) AS key FROM documents),
+c AS (  -- crc32, bit by bit
+  SELECT *, list_reduce(list_concat([4294967295], list_transform(range(0, 8 * length(key)),
+         lambda j: (ascii(key[CAST(j // 8 + 1 AS INT)]) >> (j % 8)) & 1)),
+         lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) & 1 = 1 AS even FROM t),
+i AS (
+  SELECT doc_id, source, even, concat_ws('',
+           coalesce(strlen(key) || ':' || key, '-'),
+           coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+           coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-')) AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS whole, coalesce(strlen(bare) || ':' || bare, '-') AS cut FROM c),
+l AS (
+  SELECT doc_id, source, sha256(head || whole) AS leaf,
+         CASE WHEN even THEN sha256(head || cut) ELSE sha256(head || whole) END AS claim FROM i),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS i FROM l),
+up AS (
+  SELECT source, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM p
+  UNION ALL
+  SELECT source, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 2) // 3)
+  FROM up WHERE n > 1 GROUP BY source, level, i // 3),
+sub AS (
+  SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS level, i, h, count(*) OVER () AS n FROM sub
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 2) // 3)
+  FROM top WHERE n > 1 GROUP BY level, i // 3),
+run AS (  -- siblings before and after each node
+  SELECT source, level, i, coalesce(string_agg(h, '' ) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM up WHERE n > 1 WINDOW r AS (PARTITION BY source, level, i // 3 ORDER BY i)),
+top_run AS (
+  SELECT level, i, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM top WHERE n > 1 WINDOW r AS (PARTITION BY level, i // 3 ORDER BY i)),
+fold AS (
+  SELECT row_number() OVER () AS row, source, doc_id, leaf, 0 AS level, i, claim AS node, '' AS proof FROM p
+  UNION ALL
+  SELECT f.row, f.source, f.doc_id, f.leaf, f.level + 1, f.i // 3, sha256(r.before || f.node || r.after), f.proof || r.before || r.after
+  FROM fold f JOIN run r ON f.source IS NOT DISTINCT FROM r.source AND f.level = r.level AND f.i = r.i),
+done AS (
+  SELECT * FROM fold QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1),
+topfold AS (
+  SELECT d.row, d.doc_id, d.leaf, s.h AS subroot, 0 AS level, s.i, d.node, d.proof
+  FROM done d JOIN sub s ON d.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT f.row, f.doc_id, f.leaf, f.subroot, f.level + 1, f.i // 3, sha256(r.before || f.node || r.after), f.proof || r.before || r.after
+  FROM topfold f JOIN top_run r ON f.level = r.level AND f.i = r.i),
+ends AS (
+  SELECT * FROM topfold QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1)
+SELECT doc_id, leaf, subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+       node = (SELECT h FROM top WHERE n = 1) AS verified
+FROM ends
+"""
+
 
 def _op3(risk: Risk = Risk()) -> str:
     rules, cuts = risk.rules, risk.cutoffs

@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import forced_bpe, html_text, mixing, nbsvm, packing, plane_files, quality_rules, simhash, syncmers, tokens, toxicity, warc
+from adlens.llm import forced_bpe, html_text, merkle, mixing, nbsvm, packing, plane_files, quality_rules, simhash, syncmers, tokens, toxicity, warc
 from adlens.llm.common import table
-from adlens.llm.oracle import OP3, OP5, OP9
+from adlens.llm.oracle import OP3, OP5, OP9, OP13
 
 
 def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,9 +62,13 @@ def op12_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forced_bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), tokens.public_path("byte_bpe_50k.json"))
 
 
+def op13_merkle_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents", *merkle.FIELDS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extract, op2_simhash_pivot, op3_quality_rules, op4_best_fit_packing, op5_warc_convert,
                             op6_nbsvm_quality, op7_gru_toxicity, op8_id_planes, op9_source_mix, op10_closed_syncmers,
-                            op12_forced_bpe)}
+                            op12_forced_bpe, op13_merkle_exchange)}
 
-ORACLE: dict[str, str] = {"op3_quality_rules": OP3, "op5_warc_convert": OP5, "op9_source_mix": OP9}
+ORACLE: dict[str, str] = {"op3_quality_rules": OP3, "op5_warc_convert": OP5, "op9_source_mix": OP9, "op13_merkle_exchange": OP13}
