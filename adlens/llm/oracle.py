@@ -47,6 +47,46 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM o
 """
 
+OP11 = r"""
+WITH RECURSIVE crc AS (  -- the byte table of crc32
+  SELECT list(list_reduce(list_concat([b], [0, 0, 0, 0, 0, 0, 0, 0]),
+         lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS tbl FROM range(256) t(b)),
+raw AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM raw WHERE length(run) >= 5 GROUP BY ALL),
+bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+         lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS b FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(tbl[CAST(xor(c, x) & 255 AS INT) + 1], c >> 8)), 4294967295) AS h
+  FROM bytes, crc),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n
+  FROM hashed),
+vocab AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gaps AS (
+  SELECT word, n, i, left(word, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocab)),
+one AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT g.word, g.n, v.word, v.n FROM gaps g JOIN vocab v ON g.rest = v.word
+  UNION SELECT v.word, v.n, g.word, g.n FROM gaps g JOIN vocab v ON g.rest = v.word),
+best AS (
+  SELECT word, count(*) AS n_near, min(ROW(-near_n, near)) AS top FROM one GROUP BY word),
+judged AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top[1] >= 2 * v.n THEN top[2] END AS form,
+         CASE WHEN -top[1] >= 2 * v.n THEN -top[1] END AS form_n FROM vocab v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS cur, 0 AS step FROM judged
+  UNION ALL SELECT w.word, j.form, step + 1 FROM walk w JOIN judged j ON w.cur = j.word WHERE j.form IS NOT NULL),
+root AS (
+  SELECT word, arg_max(cur, step) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN root USING (word)
+"""
+
 OP13 = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, source, lang, n_chars, text, replace(text, chr(10), '') AS bare,

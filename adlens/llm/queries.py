@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import forced_bpe, html_text, merkle, mixing, nbsvm, packing, plane_files, quality_rules, simhash, syncmers, tokens, toxicity, warc
+from adlens.llm import forced_bpe, html_text, merkle, mixing, nbsvm, packing, plane_files, quality_rules, simhash, spelling, syncmers, tokens, toxicity, warc
 from adlens.llm.common import table
-from adlens.llm.oracle import OP3, OP5, OP9, OP13
+from adlens.llm.oracle import OP3, OP5, OP9, OP11, OP13
 
 
 def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_char_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_bloom_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents", "doc_id", "text"), shortest=5, least=3, one_in=97, ratio=2)
+
+
 def op12_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forced_bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), tokens.public_path("byte_bpe_50k.json"))
 
@@ -69,6 +73,7 @@ def op13_merkle_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extract, op2_simhash_pivot, op3_quality_rules, op4_best_fit_packing, op5_warc_convert,
                             op6_nbsvm_quality, op7_gru_toxicity, op8_id_planes, op9_source_mix, op10_closed_syncmers,
-                            op12_forced_bpe, op13_merkle_exchange)}
+                            op11_bloom_spelling, op12_forced_bpe, op13_merkle_exchange)}
 
-ORACLE: dict[str, str] = {"op3_quality_rules": OP3, "op5_warc_convert": OP5, "op9_source_mix": OP9, "op13_merkle_exchange": OP13}
+ORACLE: dict[str, str] = {"op3_quality_rules": OP3, "op5_warc_convert": OP5, "op9_source_mix": OP9,
+                          "op11_bloom_spelling": OP11, "op13_merkle_exchange": OP13}
