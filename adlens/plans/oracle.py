@@ -35,17 +35,18 @@ SELECT event_id, CAST(year(ts)*100 + month(ts) AS VARCHAR) AS local_month, lpad(
   ts
 FROM events""",
     "ssp_tag": """
-SELECT CAST(n_nationkey AS VARCHAR) AS channel_id, n_name AS media_id FROM nation WHERE n_nationkey < 20""",
+SELECT CAST(n_nationkey + 8 AS VARCHAR) AS channel_id, n_name AS media_id FROM nation""",
     "adx_order_dealid": """
-SELECT CAST(c_custkey AS VARCHAR) AS dealid, 'o' || CAST(c_custkey % 50 AS VARCHAR) AS order_id,
+SELECT CAST(CASE WHEN c_custkey % 4 = 0 THEN -c_custkey ELSE c_custkey END AS VARCHAR) AS dealid, 'o' || CAST(c_custkey % 50 AS VARCHAR) AS order_id,
   'm' || CAST(c_custkey % 20 AS VARCHAR) AS main_order_id, CAST(c_custkey % 2 AS INTEGER) AS is_compensate
-FROM customer WHERE c_custkey % 4 <> 0""",
+FROM customer""",
     "deal_caps": """
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS dealid, CAST(CAST(ts AS DATE) AS VARCHAR) AS now_time,
   CAST(31 + user_id % 4 AS INTEGER) AS dealidnum, 0 AS stop FROM events""",
     "stored_totals": """
-SELECT CAST(user_id AS VARCHAR) AS dealid, CAST(CAST(ts AS DATE) AS VARCHAR) AS now_time, CAST(count(*) AS INTEGER) AS total
-FROM events WHERE event_type = 'click' AND user_id % 2 = 1 GROUP BY user_id, CAST(ts AS DATE)""",
+SELECT CAST(CASE WHEN user_id % 2 = 0 THEN -user_id ELSE user_id END AS VARCHAR) AS dealid,
+  CAST(CAST(ts AS DATE) AS VARCHAR) AS now_time, CAST(count(*) AS INTEGER) AS total
+FROM events WHERE event_type = 'click' GROUP BY user_id, CAST(ts AS DATE)""",
     "raw_stream": """
 SELECT event_id, ts, CASE WHEN event_id % 23 = 0 THEN '{bad ' || event_type
     WHEN event_id % 29 = 0 THEN '{"dealid":"' || CAST(user_id AS VARCHAR) || '"}'
@@ -57,8 +58,11 @@ FROM events""",
 SELECT CAST(p_partkey AS VARCHAR) AS video_id FROM part WHERE p_size > 25""",
     "ad_seat": """
 SELECT CAST(l_partkey AS VARCHAR) AS video_id, p_name AS media_name,
-  CAST(((year(l_shipdate)-1992)*372 + month(l_shipdate)*31 + day(l_shipdate))*1000 AS VARCHAR) AS ad_seat_b_time,
-  CAST(((year(l_shipdate)-1992)*372 + month(l_shipdate)*31 + day(l_shipdate))*1000 + CAST(l_quantity AS BIGINT)*1000 AS VARCHAR) AS ad_seat_e_time,
+  CASE WHEN l_orderkey % 97 = 0 THEN 'n/a'
+       ELSE CAST(((year(l_shipdate)-1992)*372 + month(l_shipdate)*31 + day(l_shipdate))*1000 AS VARCHAR) END AS ad_seat_b_time,
+  CASE WHEN l_orderkey % 101 = 0 THEN ''
+       ELSE CAST(((year(l_shipdate)-1992)*372 + month(l_shipdate)*31 + day(l_shipdate))*1000
+                 + CASE WHEN l_orderkey % 89 = 0 THEN -20 ELSE CAST(l_quantity AS BIGINT) END*1000 AS VARCHAR) END AS ad_seat_e_time,
   p_brand AS drama_name, p_type AS drama_type_name, 'area' AS media_area_name, CAST(year(l_shipdate) AS VARCHAR) AS media_release_date,
   l_returnflag AS class2_name, CAST(l_linenumber AS VARCHAR) AS class_type_id, l_returnflag || l_linestatus AS class3_name,
   'img' || CAST(l_suppkey AS VARCHAR) AS ad_seat_img,
@@ -217,6 +221,17 @@ def pacing_flags() -> str:
                          extra={"batch_counts": _BATCH_COUNTS, "running": _RUNNING})
 
 
+def pacing_flags_index(day: str) -> str:
+    return f"SELECT * FROM ({pacing_flags()}) f WHERE now_time = '{day}'"
+
+
+def index_scan() -> str:
+    body = """SELECT event_id, dealid, tag_id FROM exposure_log
+WHERE dsp_id = '10002' AND dealid >= '3' AND dealid < '8' AND advertiser_id IN ('adv1', 'adv4', 'adv7') AND tag_id IS NOT NULL
+  AND event_id % 3 <> 1"""
+    return with_adapters(body, "exposure_log")
+
+
 def pacing_apply_flag() -> str:
     body = """SELECT c.dealid, c.now_time, c.dealidnum,
   CAST(CASE WHEN f.doc_id IS NOT NULL THEN 1 ELSE c.stop END AS INTEGER) AS stop
@@ -234,6 +249,12 @@ FROM stored_totals t FULL OUTER JOIN (SELECT * FROM running WHERE dealid IS NOT
                          extra={"batch_counts": _BATCH_COUNTS, "running": _RUNNING})
 
 
+def upsert_keeps_columns() -> str:
+    """Stored rows keep ``note``; rows that only the update has get none."""
+    return f"""SELECT m.*, CASE WHEN s.dealid IS NOT NULL THEN 'deal ' || s.dealid END AS note FROM ({upsert_merge()}) m
+LEFT JOIN ({ADAPTERS["stored_totals"]}) s ON m.dealid = s.dealid AND m.now_time = s.now_time"""
+
+
 def null_deal_report() -> str:
     return with_adapters("SELECT now_time, CAST(total AS BIGINT) AS total FROM batch_counts WHERE dealid IS NULL", "raw_stream",
                          extra={"batch_counts": _BATCH_COUNTS})
@@ -296,7 +317,8 @@ _VIDEO_CTES = {
     "joined": "SELECT a.* FROM ad_seat a JOIN usable_media u ON a.video_id = u.video_id",
     "padded": """SELECT *, greatest(TRY_CAST(ad_seat_b_time AS BIGINT) - 5000, 0) AS b,
   TRY_CAST(ad_seat_e_time AS BIGINT) + 5000 AS e FROM joined WHERE class_type_id IN ('1', '2', '3', '4')""",
-    "ivk": "SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY b, sid) AS rn FROM padded WHERE e >= b",
+    "ivk": "SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY b, sid) AS rn FROM padded "
+           "WHERE TRY_CAST(ad_seat_b_time AS BIGINT) IS NOT NULL AND e >= b",
     "pts": "SELECT video_id, rn, b AS t, 0 AS is_end FROM ivk UNION ALL SELECT video_id, rn, e AS t, 1 AS is_end FROM ivk",
     "pn": """SELECT video_id, rn, t, is_end, row_number() OVER w AS p, lag(t) OVER w AS t_prev
 FROM pts WINDOW w AS (PARTITION BY video_id ORDER BY t, rn, is_end)""",
@@ -393,7 +415,7 @@ def video_collect(chunk: int = 1000) -> str:
     body = f"""SELECT video_id, CAST(floor((rn - 1) / {chunk}) AS BIGINT) AS chunk, count(*) AS n,
   '[' || string_agg(CAST(doc AS VARCHAR), ',' ORDER BY rn) || ']' AS rows_json
 FROM (SELECT video_id, {doc} AS doc,
-        row_number() OVER (PARTITION BY video_id ORDER BY TRY_CAST(ad_seat_b_time AS BIGINT), sid) AS rn
+        row_number() OVER (PARTITION BY video_id ORDER BY TRY_CAST(ad_seat_b_time AS BIGINT) NULLS FIRST, sid) AS rn
       FROM joined WHERE class_type_id IN ('1', '2', '3', '4')) r
 GROUP BY video_id, CAST(floor((rn - 1) / {chunk}) AS BIGINT)"""
     return _video(body, "joined")
@@ -416,6 +438,6 @@ def video_merge_overlaps() -> str:
       OVER (PARTITION BY video_id, class3_name ORDER BY b, sid ROWS UNBOUNDED PRECEDING) AS island
   FROM (SELECT *, max(e) OVER (PARTITION BY video_id, class3_name ORDER BY b, sid
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_e
-        FROM padded WHERE e >= b) pm) st
+        FROM padded WHERE TRY_CAST(ad_seat_b_time AS BIGINT) IS NOT NULL AND e >= b) pm) st
 GROUP BY video_id, class3_name, island"""
     return _video(body, "padded")

@@ -19,13 +19,17 @@ from adlens.operators import segments as vs
 from adlens.operators.lookup import left_lookup
 from adlens.plans import oracle
 from adlens.schemas import STREAM_RECORD
-from adlens.sinks import merge
+from adlens.session import scratch_path
+from adlens.sinks import merge, writers
+from adlens.sinks.counters import EpochCounters, EpochCounterSink
+from adlens.sources import index_table, log_stream
 from adlens.sources import testdata as td
 from adlens.sources.streams import open_log_stream
 from adlens.streaming import deal_stream
 
 # The report day used by the daily keys (the data covers January 2024).
 RUN_DAY = reports.RunDay("20240115")
+RUN_DATE = f"{RUN_DAY.month[:4]}-{RUN_DAY.month[4:]}-{RUN_DAY.day}"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -127,7 +131,6 @@ def upsert_merge(spark, sf):
 @register("upsert_rerun", oracle.upsert_merge())
 def upsert_rerun(spark, sf):
     """K-1 as a stored table, run three times with the same updates: the table of one run."""
-    from adlens.session import scratch_path
     path = scratch_path(spark, "upsert")
     stored = td.stored_totals(spark, sf).withColumn("total", F.col("total").cast("bigint"))
     updates = _running_totals(spark, sf).filter(F.col("dealid").isNotNull())
@@ -136,6 +139,17 @@ def upsert_rerun(spark, sf):
     return spark.read.schema(updates.schema).parquet(path)
 
 
+@register("upsert_keeps_columns", oracle.upsert_keeps_columns())
+def upsert_keeps_columns(spark, sf):
+    """K-1 on a stored table with a column that the update does not have."""
+    path = scratch_path(spark, "upsert")
+    stored = td.stored_totals(spark, sf).withColumn("total", F.col("total").cast("bigint"))
+    updates = _running_totals(spark, sf).filter(F.col("dealid").isNotNull())
+    for rows in (stored.withColumn("note", F.concat(F.lit("deal "), "dealid")), updates):
+        merge.merge_partitions(spark, path, rows, ["dealid", "now_time"], ["total"], "now_time", scratch_path(spark, "upsert-stage"))
+    return spark.read.schema("dealid string, total bigint, note string, now_time string").parquet(path)
+
+
 @register("null_deal_report", oracle.null_deal_report())
 def null_deal_report(spark, sf):
     """D15: exposures without a deal, per day: what upserts and totals leave out."""
@@ -154,6 +168,28 @@ def counter_add(spark, sf):
     return merge.counter_add(current, delta)
 
 
+# ------------------------------------------------------------------ the index table
+
+@register("index_scan_pushdown", oracle.index_scan())
+def index_scan_pushdown(spark, sf):
+    """SRC-2: exposures in an index table, read by SQL; filters and columns reach the source."""
+    path = scratch_path(spark, "index")
+    log = td.exposure_log(spark, sf).select("event_id", "dealid", "tag_id", "adx_material_id", "dsp_id", "advertiser_id")
+    index_table.write_index(log, path, "overwrite", order=["dsp_id", "dealid"], block_rows=512)
+    read = index_table.read_index(spark, path, ["event_id", "dealid", "tag_id", "dsp_id", "advertiser_id"])
+    return read.filter("""dsp_id = '10002' AND dealid >= '3' AND dealid < '8' AND advertiser_id IN ('adv1', 'adv4', 'adv7')
+                          AND tag_id IS NOT NULL AND event_id % 3 <> 1""").select("event_id", "dealid", "tag_id")
+
+
+@register("pacing_flags_index", oracle.pacing_flags_index(RUN_DATE))
+def pacing_flags_index(spark, sf):
+    """J-4 against caps kept in an index table, as the reference does; the day's filter is pushed."""
+    path = scratch_path(spark, "caps-index")
+    index_table.write_index(td.deal_caps(spark, sf), path, "overwrite", order=["now_time", "dealid"], block_rows=512)
+    caps = index_table.read_index(spark, path, ["dealid", "now_time", "dealidnum"]).filter(F.col("now_time") == RUN_DATE)
+    return counters.near_cap(_running_totals(spark, sf), caps)
+
+
 # ------------------------------------------------------------------ scalar functions, lookups
 
 @register("scalar_functions", oracle.scalar_functions())
@@ -300,6 +336,15 @@ def video_segments_json(spark, sf):
     return vs.to_documents(_video_segments(spark, sf))
 
 
+@register("video_documents_index", oracle.video_segments_json())
+def video_documents_index(spark, sf):
+    """K-4: the segment documents committed to an index table, read back from it."""
+    path = scratch_path(spark, "documents")
+    docs = vs.to_documents(_video_segments(spark, sf))
+    writers.write_documents(docs, path, "append", index_table.FORMAT)
+    return index_table.read_index(spark, path)
+
+
 # ------------------------------------------------------------------ streams
 
 
@@ -325,6 +370,45 @@ def stream_deal_totals(spark, sf):
     return deal_stream.latest_totals(spark, out)
 
 
+def _offset_log(spark, sf, batches=6):
+    """``events`` appended to a partitioned log, and the log as a stream of about ``batches`` micro-batches."""
+    path = scratch_path(spark, "log")
+    records = td.to_log_records(td.table(spark, sf, "events"))
+    ends = log_stream.append_log(records, path, ["event_id"], partitions=4, segment_rows=1 << 16)
+    return log_stream.stream_log(spark, path, "adlens", max(1, -(-sum(ends) // batches)))
+
+
+@register("stream_log_offsets", oracle.stream_deal_totals())
+def stream_log_offsets(spark, sf):
+    """SRC-5 from a log source with offsets of its own: the day totals over several rate-limited micro-batches."""
+    raw = _offset_log(spark, sf).withColumnRenamed("timestamp", "ts")
+    q, out = deal_stream.run_deal_totals(spark, raw, trigger={"processingTime": "0 seconds"})
+    log_stream.drain(q)
+    return deal_stream.latest_totals(spark, out)
+
+
+def _counter_deltas(batch):
+    recs = counters.with_dealid(counters.keep_topic(batch))
+    return recs.groupBy(fx.counter_key("dealid").alias("key")).agg(F.count(F.lit(1)).alias("value"))
+
+
+@register("counter_epochs", oracle.counter_add())
+def counter_epochs(spark, sf):
+    """K-2 exactly once: stored counters, then micro-batches as fenced epochs, folded on the way;
+    afterwards every epoch is offered a second time and changes nothing."""
+    store = EpochCounters(scratch_path(spark, "counters"))
+    stored = td.stored_totals(spark, sf).select(fx.counter_key("dealid").alias("key"), F.col("total").alias("value"))
+    store.apply(stored, "stored", 0)
+    q = (_offset_log(spark, sf).writeStream.foreachBatch(EpochCounterSink(store, _counter_deltas, fold_every=2))
+         .option("checkpointLocation", scratch_path(spark, "counters_ckpt")).trigger(processingTime="0 seconds").start())
+    log_stream.drain(q)
+    fence = store.fold(spark)
+    for query, upto in fence.items():
+        for batch_id in range(upto + 1):
+            store.apply(stored, query, batch_id)
+    return store.values(spark)
+
+
 @register("video_merge_overlaps", oracle.video_merge_overlaps())
 def video_merge_overlaps(spark, sf):
     iv = _prepared(spark, sf)
@@ -335,7 +419,6 @@ def video_merge_overlaps(spark, sf):
 def stream_pacing_flags(spark, sf):
     """ST-3 a + ST-4 on the stream: read-add-write totals seeded with the stored table,
     cap flags per micro-batch; the union of flagged keys over all batches."""
-    from adlens.session import scratch_path
     sink = deal_stream.ReadAddWriteSink(scratch_path(spark, "rw_state"), td.deal_caps(spark, sf),
                                         scratch_path(spark, "rw_flags"),
                                         day=F.to_date(F.col("ts").cast("timestamp")).cast("string"),
@@ -350,7 +433,6 @@ def stream_stop_flags(spark, sf):
     """R-8 whole on the stream, two files per micro-batch: totals, cap check and ``stop = 1`` on
     the stored cap table."""
     from adlens.plans import jobs
-    from adlens.session import scratch_path
     events = scratch_path(spark, "events")
     td.table(spark, sf, "events").repartition(6, "event_id").write.parquet(events)
     raw = td.to_raw_stream(open_log_stream(spark, "parquet", events, schema=td.table(spark, sf, "events").schema,

@@ -72,12 +72,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def read_or_none(spark: SparkSession, path: str, schema=None):
+def read_or_none(spark: SparkSession, path: str, schema=None, options: dict | None = None):
     """The parquet table at ``path``, or None if nothing is there yet. Only a missing path
     counts as "not there": an emptied or damaged table raises."""
     from pyspark.errors import AnalysisException
     try:
-        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+        reader = spark.read.options(**(options or {}))
+        return (reader.schema(schema) if schema is not None else reader).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlens.session import read_or_none
 
@@ -72,6 +73,15 @@ def counter_add(counters: DataFrame, delta: DataFrame, key: str = "key", value:
                     .cast("bigint").alias(value))
 
 
+def stored_schema(spark, path: str, updates: T.StructType) -> T.StructType:
+    """Columns of ``updates`` and, after them, those that only the table at ``path`` has. The types
+    of ``updates`` hold where both have a column: partition values are not guessed into dates
+    or numbers. Days may have been written with different columns: all their footers are merged."""
+    known = read_or_none(spark, path, options={"mergeSchema": "true"})
+    extra = [f for f in known.schema if f.name not in updates.names] if known is not None else []
+    return T.StructType([*updates.fields, *extra])
+
+
 def merge_partitions(spark, target_path: str, updates: DataFrame, keys: list[str], measures: list[str],
                      partition_col: str, staging_path: str, check_unique: bool = True,
                      combine: str | None = None) -> None:
@@ -83,6 +93,9 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: list[str
     partition overwrite; other partitions are not touched. The staging step exists
     because Spark does not overwrite a path it reads in the same job. ``updates`` must not
     hold null partition values (the semi join would miss their stored rows).
+
+    The table keeps every stored column: those that ``updates`` lacks stay as they are (null on
+    new rows), and columns that only ``updates`` has are added (null on old rows).
     """
     if combine == "sum":
         updates, check_unique = combine_duplicates(updates, keys, measures), False
@@ -93,13 +106,13 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: list[str
     updates = spark.read.schema(updates.schema).parquet(written)
     if check_unique:
         assert_unique(updates, keys)
-    # The schema is given: partition values are not guessed into dates or numbers.
-    target = read_or_none(spark, target_path, updates.schema)
+    schema = stored_schema(spark, target_path, updates.schema)
+    target = read_or_none(spark, target_path, schema)
     if target is None:
         merged = updates
     else:
         touched = target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
-        merged = upsert(touched.select(*updates.columns), updates, keys, measures, check_unique=False)
+        merged = upsert(touched, updates, keys, measures, check_unique=False)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_path)
-    (spark.read.schema(updates.schema).parquet(staging_path).write.mode("overwrite")
+    (spark.read.schema(schema).parquet(staging_path).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.fixed import UPSERT_BATCH_ROWS
+from adlens.sources import index_table
 
 
 def upsert_sql(table: str, keys: list[str], measures: list[str], attrs: list[str] = (),
@@ -82,5 +83,8 @@ def add_counters(df: DataFrame, connect: Callable[[], object], key_col: str = "k
 def write_documents(docs: DataFrame, path: str, mode: str = "overwrite", fmt: str = "json",
                     options: dict | None = None) -> None:
     """K-4: segment documents to a store. With the stable ``doc_id`` column an index
-    connector can use it as document id (re-runs overwrite); for files, ``overwrite``."""
+    connector can use it as document id (re-runs overwrite); for files, ``overwrite``.
+    With the format of ``sources.index_table`` the documents are committed as a whole."""
+    if fmt == index_table.FORMAT:
+        index_table.register(docs.sparkSession)
     docs.write.format(fmt).mode(mode).options(**(options or {})).save(path)

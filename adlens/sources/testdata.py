@@ -91,17 +91,16 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ssp_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 from ``nation``; channels 20-29 have no row (default "000" applies)."""
-    n = table(spark, sf_dir, "nation")
-    return n.filter(F.col("n_nationkey") < 20).select(
-        _s(F.col("n_nationkey")).alias("channel_id"), F.col("n_name").alias("media_id"))
+    """S3 from ``nation``, shifted by 8: channels 0-7 have no row (default "000" applies)."""
+    return table(spark, sf_dir, "nation").select(
+        _s(F.col("n_nationkey") + 8).alias("channel_id"), F.col("n_name").alias("media_id"))
 
 
 def adx_order_dealid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 from ``customer``; every 4th deal has no row."""
+    """S4 from ``customer``; every 4th order belongs to a deal that no log names (``-id``)."""
     c = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").filter(c % 4 != 0).select(
-        _s(c).alias("dealid"),
+    return table(spark, sf_dir, "customer").select(
+        _s(F.when(c % 4 == 0, -c).otherwise(c)).alias("dealid"),
         F.concat(F.lit("o"), _s(c % 50)).alias("order_id"),
         F.concat(F.lit("m"), _s(c % 20)).alias("main_order_id"),
         (c % 2).cast("int").alias("is_compensate"))
@@ -117,11 +116,13 @@ def deal_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S5 state before the batch: click counts of odd deals per day."""
-    ev = table(spark, sf_dir, "events").filter((F.col("event_type") == "click") & (F.col("user_id") % 2 == 1))
-    return (ev.groupBy(F.col("user_id"), F.to_date("ts").alias("d"))
+    """S5 state before the batch: click counts per deal and day. Even users' counts are stored
+    under deals that no record names (``-id``), so they meet no batch row."""
+    u = F.col("user_id")
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    return (ev.groupBy(F.when(u % 2 == 0, -u).otherwise(u).alias("u"), F.to_date("ts").alias("d"))
             .agg(F.count(F.lit(1)).cast("int").alias("total"))
-            .select(_s(F.col("user_id")).alias("dealid"), _s(F.col("d")).alias("now_time"), "total"))
+            .select(_s(F.col("u")).alias("dealid"), _s(F.col("d")).alias("now_time"), "total"))
 
 
 def raw_stream_value(event_id, user_id, event_type) -> F.Column:
@@ -143,6 +144,12 @@ def to_raw_stream(events: DataFrame) -> DataFrame:
         raw_stream_value(F.col("event_id"), F.col("user_id"), F.col("event_type")).alias("value"))
 
 
+def to_log_records(events: DataFrame) -> DataFrame:
+    """``events`` as keyed log records: the key is the deal, the timestamp the event's."""
+    return events.select("event_id", _s(F.col("user_id")).alias("key"), F.col("ts").cast("timestamp").alias("timestamp"),
+                         raw_stream_value(F.col("event_id"), F.col("user_id"), F.col("event_type")).alias("value"))
+
+
 def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_raw_stream(table(spark, sf_dir, "events"))
 
@@ -162,18 +169,21 @@ LINEITEM_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_qu
 def ad_seat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 tagged intervals from ``lineitem`` joined with ``part``.
 
-    Times are ms as text, like the reference's JDBC table. ``sid`` is the
+    Times are ms as text, like the reference's JDBC table. Some orders' intervals have a begin
+    or an end that is no number, or end long before they begin. ``sid`` is the
     tie-break of intervals inside a video: a struct of the lineitem columns.
     """
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     sd = F.col("l_shipdate")
     base_ms = ((F.year(sd) - 1992) * 372 + F.month(sd) * 31 + F.dayofmonth(sd)).cast("bigint") * 1000
+    order = F.col("l_orderkey")
+    length_ms = F.when(order % 89 == 0, F.lit(-20)).otherwise(F.col("l_quantity").cast("bigint")) * 1000
     return li.join(part, li.l_partkey == part.p_partkey).select(
         _s(F.col("l_partkey")).alias("video_id"),
         F.col("p_name").alias("media_name"),
-        _s(base_ms).alias("ad_seat_b_time"),
-        _s(base_ms + F.col("l_quantity").cast("bigint") * 1000).alias("ad_seat_e_time"),
+        F.when(order % 97 == 0, F.lit("n/a")).otherwise(_s(base_ms)).alias("ad_seat_b_time"),
+        F.when(order % 101 == 0, F.lit("")).otherwise(_s(base_ms + length_ms)).alias("ad_seat_e_time"),
         F.col("p_brand").alias("drama_name"),
         F.col("p_type").alias("drama_type_name"),
         F.lit("area").alias("media_area_name"),

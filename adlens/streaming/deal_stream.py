@@ -73,22 +73,34 @@ def query_id(batch: DataFrame) -> str:
 class BatchLedgerSink:
     """foreachBatch body writing each batch's rows to ``<path>/query=Q/batch_id=N`` (idempotent).
 
-    With ``compact_every`` the totals are snapshot after every so many batches."""
+    With ``compact_every`` the totals are snapshot once that many batches, empty ones
+    included, have passed since the last snapshot and something was written meanwhile."""
 
     def __init__(self, path: str, compact_every: int | None = None):
         self.path, self.compact_every = path, compact_every
+        self.snapped: int | None = None  # this query's last batch before the newest snapshot
+        self.fresh = True  # something was written since (unknown after a restart: assumed)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         own = query_id(batch)
         batch = batch.persist()  # two actions below; the stateful batch is computed once
         try:
-            if batch.isEmpty():  # ST-2: nothing to write for an empty batch
-                return
-            batch.write.mode("overwrite").parquet(os.path.join(self.path, f"query={own}", f"batch_id={batch_id}"))
+            if not batch.isEmpty():  # ST-2: nothing to write for an empty batch
+                batch.write.mode("overwrite").parquet(os.path.join(self.path, f"query={own}", f"batch_id={batch_id}"))
+                self.fresh = True
         finally:
             batch.unpersist()
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            compact_totals(batch.sparkSession, self.path)
+        if self.compact_every:
+            self._compact(batch.sparkSession, own, batch_id)
+
+    def _compact(self, spark: SparkSession, own: str, batch_id: int) -> None:
+        if self.snapped is None:
+            snaps = read_or_none(spark, os.path.join(self.path, SNAPSHOTS))
+            upto = None if snaps is None else snaps.filter(F.col("query") == own).agg(F.max("upto")).first()[0]
+            self.snapped = -1 if upto is None else upto
+        if self.fresh and batch_id - self.snapped >= self.compact_every:
+            compact_totals(spark, self.path)
+            self.snapped, self.fresh = batch_id, False
 
 
 SNAPSHOTS = "_snapshot"  # underscore: not a partition of the batch folders
