@@ -10,6 +10,10 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
+def squash(x):
+    return x / (1 + abs(x))
+
+
 def plain_logit(net, words):
     """The network written out word by word for one window."""
     p, h = net.p, net.shape.hidden
@@ -19,26 +23,45 @@ def plain_logit(net, words):
         s = np.zeros(h)
         for k in order:
             x, g = vectors[k] @ p[f"wx{side}"] + p[f"b{side}"], s @ p[f"wh{side}"]
-            z, r = sigmoid(x[:h] + g[:h]), sigmoid(x[h:2 * h] + g[h:2 * h])
-            c = np.tanh(x[2 * h:] + r * g[2 * h:])
+            z, r = (1 + squash(x[:h] + g[:h])) / 2, (1 + squash(x[h:2 * h] + g[h:2 * h])) / 2
+            c = squash(x[2 * h:] + r * g[2 * h:])
             s = z * s + (1 - z) * c
             states[k, h * side:h * side + h] = s
-    e = np.exp(np.tanh(states @ p["att"]) @ p["att_v"])
+    e = np.exp(squash(states @ p["att"]) @ p["att_v"])
     return (e / e.sum()) @ states @ p["out"] + p["bias"][0]
 
 
+def every_window(words):
+    """Every run of 16 neighbouring words; a shorter text is one window."""
+    return [words[s:s + 16] for s in range(max(1, len(words) - 15))] if words else []
+
+
 def test_all_windows_are_scored_as_written_out():
     net = tx.Network(seed=9)
     rng = random.Random(0)
-    texts = [None, "", "one", "É, über! (word)"] + [" ".join(rng.choice(["ab", "cd.", "Éf", "ghij", "k"]) + str(rng.randrange(50)) for _ in range(n)) for n in (8, 31, 32, 33, 55, 56, 57, 300)]
-    for text, (b, total, c) in zip(texts, tx.Scorer(net, keep_words=120, batch=4).evidence(texts)):
-        words = tx.split_words(text)
-        starts = [s for s in range(0, len(words), tx.STRIDE) if s == 0 or s + tx.WINDOW - tx.STRIDE < len(words)]
-        logits = [plain_logit(net, words[s:s + tx.WINDOW]) for s in starts]
-        assert c == len(starts)
-        assert b == pytest.approx(max(logits, default=tx._FLOOR), abs=1e-4)
-        assert total == pytest.approx(sum(sigmoid(x) for x in logits), abs=1e-4)
-        assert {w for s in starts for w in range(s, min(len(words), s + tx.WINDOW))} == set(range(len(words)))
+    texts = [None, "", "one", "É, über! (word)"] + [" ".join(rng.choice(["ab", "cd.", "Éf", "ghij", "k"]) + str(rng.randrange(50)) for _ in range(n)) for n in (8, 15, 16, 17, 24, 55, 56, 57, 300)]
+    for batch, hold in ((4, 1), (7, 60), (1024, 1 << 15)):
+        for text, (b, total, c) in zip(texts, tx.Scorer(net, keep_words=120, batch=batch, words=hold).evidence(texts)):
+            logits = [plain_logit(net, w) for w in every_window(tx.split_words(text))]
+            assert c == len(logits)
+            assert b == pytest.approx(max(logits, default=tx._FLOOR), abs=1e-4)
+            assert total == pytest.approx(sum(sigmoid(x) for x in logits), abs=1e-4)
+
+
+def test_a_passage_counts_alike_at_every_place():
+    """A 20-word passage, moved over a clean text word by word: all its windows are always
+    there, so the largest logit is one and the same, and the score stays above the clean text's."""
+    rng = random.Random(2)
+    model = tx.train(*corpus(450, rng))
+    clean = [f"w{rng.randrange(300)}" for _ in range(120)]
+    cue = [f"w{k}" for k in range(8)] + ["grubble", "snarkle", "w9", "foulmux"] + [f"w{k}" for k in range(20, 28)]
+    texts = [" ".join(clean[:at] + cue + clean[at:]) for at in range(len(clean) + 1)]
+    found, scorer = model.scorer().evidence(texts), model.scorer()
+    assert (found[:, 2] == 120 + 20 - 15).all()
+    own = model.scorer().evidence([" ".join(cue)])[0]
+    assert (found[:, 0] >= own[0] - 1e-4).all()
+    assert model.scores(texts, scorer).min() > model.scores([" ".join(clean)], scorer)[0]
+    assert (model.scores(texts, scorer) >= 0.5).all()
 
 
 def test_gradients():
