@@ -16,8 +16,8 @@ declared length, not the content, and synthesises what WARC needs and ARC lacks:
 
 Whether a payload is a duplicate is decided over all archives: an index job parses the
 ARC files, a groupBy finds for every digest the record that keeps it, and the decisions
-of one archive travel to the task that converts it. Files are gzip members, one per
-record, as usual for both formats.
+of one archive travel to the task that converts it. Files are written as gzip members, one
+per record, as usual for both formats; plain files and any other cut into members are read too.
 """
 
 from __future__ import annotations
@@ -52,24 +52,88 @@ def gz(data: bytes, level: int = 1) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def members(f, chunk: int = 1 << 18) -> Iterator[tuple[int, bytes]]:
-    """(offset, content) of every gzip member of a file, one in memory at a time."""
-    at, held, z, out = 0, b"", None, []
-    while True:
-        if not held:
-            held = f.read(chunk)
-            if not held:
-                if z is not None:
-                    raise ValueError("archive cut off inside a record")
-                return
-        if z is None:
-            z, start = zlib.decompressobj(31), at
-        out.append(z.decompress(held))
-        at += len(held) - len(z.unused_data)
-        held = z.unused_data
-        if z.eof:
-            yield start, b"".join(out)
-            z, out = None, []
+class Unpacked:
+    """The bytes of an archive read forwards: a plain file, or one or many gzip members in turn
+    (one per record as usual, several records in one, or a record over several)."""
+
+    def __init__(self, f, chunk: int = 1 << 18):
+        self.f, self.chunk = f, chunk
+        self.held, self.pos, self.base = b"", 0, 0  # unpacked bytes, next one, place of the first
+        self.raw = f.read(chunk)
+        self.zipped, self.z = self.raw[:2] == b"\x1f\x8b", None
+
+    @property
+    def at(self) -> int:
+        """Place of the next byte in the unpacked archive."""
+        return self.base + self.pos
+
+    def _piece(self) -> bytes | None:
+        """Some more unpacked bytes (none at the end)."""
+        while True:
+            if not self.raw:
+                self.raw = self.f.read(self.chunk)
+                if not self.raw:
+                    if self.z is not None:
+                        raise ValueError("archive cut off inside a record")
+                    return None
+            if not self.zipped:
+                piece, self.raw = self.raw, b""
+                return piece
+            if self.z is None:
+                self.z = zlib.decompressobj(31)
+            try:
+                piece = self.z.decompress(self.raw)
+            except zlib.error as e:
+                raise ValueError(f"bytes left over after a gzip member, or a damaged one: {e}") from e
+            self.raw = self.z.unused_data
+            if self.z.eof:
+                self.z = None
+            if piece:
+                return piece
+
+    def fill(self, n: int) -> bool:
+        """Hold at least ``n`` bytes beyond the next one's place; False if the archive ends before."""
+        if len(self.held) - self.pos >= n:
+            return True
+        parts, size = [self.held[self.pos:]], len(self.held) - self.pos
+        self.base += self.pos
+        while size < n:
+            piece = self._piece()
+            if piece is None:
+                break
+            parts.append(piece)
+            size += len(piece)
+        self.held, self.pos = b"".join(parts), 0
+        return size >= n
+
+    def take(self, n: int) -> bytes:
+        if not self.fill(n):
+            raise ValueError(f"a record declares {n} bytes and {len(self.held) - self.pos} are left")
+        out = self.held[self.pos:self.pos + n]
+        self.pos += n
+        return out
+
+    def line(self, most: int = 1 << 20) -> bytes:
+        """The bytes up to the next newline, without it."""
+        size = 1 << 10
+        while True:
+            whole = self.fill(size)
+            end = self.held.find(b"\n", self.pos)
+            if end >= 0:
+                out = self.held[self.pos:end]
+                self.pos = end + 1
+                return out
+            if not whole or size > most:
+                raise ValueError(f"bytes left over that are no record: {self.held[self.pos:self.pos + 60]!r}")
+            size *= 4
+
+    def skip_gap(self) -> bool:
+        """Pass the line ends between records; False at the end of the archive."""
+        while self.fill(1):
+            if self.held[self.pos] not in b"\r\n":
+                return True
+            self.pos += 1
+        return False
 
 
 def arc_header(version: int, url: str, date: str, kind: str, length: int, code: int = 200) -> bytes:
@@ -95,40 +159,39 @@ def arc_page(version: int, page_id: str, url: str | None, payload: bytes) -> byt
 
 @dataclass
 class ArcRecord:
-    offset: int
+    offset: int  # place in the unpacked archive
     fields: dict[str, str]
     content: bytes
     opens: bool  # the version block
 
 
 def read_arc(f) -> Iterator[ArcRecord]:
-    """Records of a gzipped ARC file of either version, the version block first.
+    """Records of an ARC file of either version, plain or gzipped, the version block first.
 
-    The version stands in the version block's second line; header lines are then read by
-    that version's field list. The content is the declared number of bytes.
+    The version stands in the first line of the version block's content; header lines are
+    then read by that version's field list. Records are walked by their declared lengths,
+    wherever gzip members begin or end. Bytes that are no record raise an error: nothing of
+    an archive is passed over.
     """
-    version = 0
-    for offset, data in members(f):
-        line, _, rest = data.lstrip(b"\n").partition(b"\n")
+    version, data = 0, Unpacked(f)
+    while data.skip_gap():
+        place, line = data.at, data.line().rstrip(b"\r")
         values = line.decode("utf-8", "replace").split(" ")
-        if not version:
-            length = int(values[-1])
-            version = int(rest[:length].split(b" ", 1)[0])
+        if not values[-1].isdecimal():
+            raise ValueError(f"bytes left over that are no ARC header line: {line[:80]!r}")
+        content = data.take(int(values[-1]))
+        opens = not version
+        if opens:
+            mark = content.split(b" ", 1)[0]
+            version = int(mark) if mark.isdigit() else 0
             if version not in FIELDS:
-                raise ValueError(f"unknown ARC version {version}")
-            opens = True
-        else:
-            opens = False
+                raise ValueError(f"unknown ARC version {mark[:20]!r}")
         names = FIELDS[version]
         if len(values) < len(names):
             raise ValueError(f"ARC {version} header line with {len(values)} fields: {line[:80]!r}")
         # Spaces inside a URL make extra fields: they belong to the first.
         extra = len(values) - len(names)
-        fields = dict(zip(names, [" ".join(values[:extra + 1]), *values[extra + 1:]]))
-        length = int(fields["length"])
-        if len(rest) < length:
-            raise ValueError(f"ARC record declares {length} bytes and holds {len(rest)}")
-        yield ArcRecord(offset, fields, rest[:length], opens)
+        yield ArcRecord(place, dict(zip(names, [" ".join(values[:extra + 1]), *values[extra + 1:]])), content, opens)
 
 
 def http_parts(content: bytes) -> tuple[dict[str, str], bytes, bytes]:
@@ -189,14 +252,18 @@ def convert(record: ArcRecord, keeper: dict | None = None) -> bytes:
 
 
 def read_warc(f) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers by lower-case name, block) of every record; block digests are checked."""
-    for _, data in members(f):
-        head, _, rest = data.partition(b"\r\n\r\n")
-        lines = head.decode("utf-8", "replace").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record: {lines[0][:40]!r}")
-        headers = {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:])}
-        block = rest[:int(headers["content-length"])]
+    """(headers by lower-case name, block) of every record of a WARC file, plain or gzipped,
+    walked by declared lengths; block digests are checked and bytes that are no record raise."""
+    data = Unpacked(f)
+    while data.skip_gap():
+        first = data.line().rstrip(b"\r").decode("utf-8", "replace")
+        if not first.startswith("WARC/"):
+            raise ValueError(f"no WARC record: {first[:40]!r}")
+        headers = {}
+        while line := data.line().rstrip(b"\r"):
+            k, _, v = line.decode("utf-8", "replace").partition(":")
+            headers[k.lower()] = v.strip()
+        block = data.take(int(headers["content-length"]))
         if "warc-block-digest" in headers and headers["warc-block-digest"] != sha1_label(block):
             raise ValueError(f"block digest differs in {headers.get('warc-record-id')}")
         yield headers, block

@@ -27,7 +27,7 @@ def test_arc_headers_follow_their_version(version):
 
 def test_declared_length_decides():
     head = b"http://a.example/ 0.0.0.0 20010203040506 text/plain 5\n"
-    data = warc.gz(warc.arc_version_block(1)) + warc.gz(head + b"12345 not part of it\n")
+    data = warc.gz(warc.arc_version_block(1)) + warc.gz(head + b"12345\n")
     record = list(warc.read_arc(io.BytesIO(data)))[1]
     assert record.content == b"12345"
     headers, block = next(warc.read_warc(io.BytesIO(warc.gz(warc.convert(record)))))
@@ -42,6 +42,74 @@ def test_declared_length_decides():
         list(warc.read_arc(io.BytesIO(short[:-4])))
 
 
+def cuts(records, how):
+    """An archive's bytes: plain, one member, a member per record, members that end anywhere."""
+    whole = b"".join(records)
+    if how == "plain":
+        return whole
+    if how == "one member":
+        return warc.gz(whole)
+    if how == "a member per record":
+        return b"".join(map(warc.gz, records))
+    return b"".join(warc.gz(whole[at:at + 37]) for at in range(0, len(whole), 37))
+
+
+HOW = ["plain", "one member", "a member per record", "members that end anywhere"]
+
+
+@pytest.mark.parametrize("how", HOW)
+@pytest.mark.parametrize("version", [1, 2])
+def test_foreign_archives_keep_every_record(version, how):
+    pages = [(f"http://a.example/{k}", PAGE[:k * 7] + b"\n" * (k % 4)) for k in range(40)]
+    records = [warc.arc_version_block(version), *(warc.arc_page(version, str(k), u, p) for k, (u, p) in enumerate(pages))]
+    read = list(warc.read_arc(io.BytesIO(cuts(records, how))))
+    assert [warc.http_parts(r.content)[2] for r in read[1:]] == [p for _, p in pages]
+    assert len({r.offset for r in read}) == 41
+    again = list(warc.read_warc(io.BytesIO(cuts([warc.convert(r) for r in read], how))))
+    assert [h["warc-type"] for h, _ in again] == ["warcinfo"] + ["response"] * 40
+    assert [block for _, block in again[1:]] == [r.content for r in read[1:]]
+
+
+@pytest.mark.parametrize("how", HOW)
+def test_bytes_left_over_raise(how):
+    head = b"http://a.example/ 0.0.0.0 20010203040506 text/plain 5\n"
+    for tail in (b"12345 not part of it\n", b"12345\nhalf a header", b"12345\n" + head + b"123"):
+        with pytest.raises(ValueError):
+            list(warc.read_arc(io.BytesIO(cuts([warc.arc_version_block(1), head + tail], how))))
+    arc = warc.ArcRecord(0, {"url": "u", "ip": "-", "date": "2001", "type": "text/plain", "length": "3"}, b"abc", False)
+    for tail in (b"junk\n", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"):
+        with pytest.raises(ValueError):
+            list(warc.read_warc(io.BytesIO(cuts([warc.convert(arc), tail], how))))
+    if how != "plain":
+        with pytest.raises(ValueError):
+            list(warc.read_arc(io.BytesIO(cuts([warc.arc_version_block(1), head + b"12345\n"], how) + b"\0\0\0")))
+
+
+def test_small_reads_give_the_same_records():
+    class Slow(io.BytesIO):
+        def read(self, n=-1):
+            return super().read(min(n, 5) if n >= 0 else n)
+    data = arc_file(2, [("http://a.example/", PAGE), ("http://b.example/", b"")])
+    assert list(warc.read_arc(Slow(data))) == list(warc.read_arc(io.BytesIO(data)))
+    assert list(warc.read_arc(io.BytesIO(b""))) == []
+
+
+def test_foreign_archives_through_spark(spark, tmp_path):
+    """Files that were not written here: an index and a conversion of plain and single-member archives."""
+    paths = []
+    for k, how in enumerate(HOW):
+        pages = [(f"http://h{k}.example/{i}", PAGE + str(i % 2).encode()) for i in range(9)]
+        path = tmp_path / f"foreign{k}.arc"
+        path.write_bytes(cuts([warc.arc_version_block(1 + k % 2), *(warc.arc_page(1 + k % 2, str(100 * k + i), u, p) for i, (u, p) in enumerate(pages))], how))
+        paths.append((str(path), 9))
+    arcs = spark.createDataFrame(paths, "path string, n long")
+    index = warc.index_arcs(arcs)
+    assert index.count() == 36
+    rows = warc.read_warcs(warc.convert_arcs(arcs, warc.keepers(index), str(tmp_path / "out"))).collect()
+    assert sorted(int(r["page_id"]) for r in rows) == sorted(100 * k + i for k in range(4) for i in range(9))
+    assert sum(r["record_type"] == "response" for r in rows) == 2
+
+
 def test_urls_with_spaces_and_short_dates():
     head = b"http://a.example/a b c 0.0.0.0 199912 text/plain 1\n"
     record = list(warc.read_arc(io.BytesIO(warc.gz(warc.arc_version_block(1)) + warc.gz(head + b"x\n"))))[1]
