@@ -58,7 +58,8 @@ def char_anchors(text: Column, k: int = CHAR_K, s: int = CHAR_S) -> Column:
     point number from 0) and hash.
 
     A text of fewer than ``k`` code points has one anchor, the whole text; an empty or
-    null text has none. ``k - s + 1`` must be a power of two.
+    null text has none, and texts of under 2k - s code points may have none
+    (:func:`char_anchor_set` then takes the whole). ``k - s + 1`` must be a power of two.
     """
     def whole(c: Column) -> Column:
         return F.struct(F.array(F.lit(0)).alias("pos"), F.array(F.xxhash64(c)).alias("hash"))
@@ -92,8 +93,16 @@ def _char_chosen(c: Column, k: int, s: int) -> Column:
 
 
 def char_anchor_set(text: Column, k: int = CHAR_K, s: int = CHAR_S) -> Column:
-    """The distinct hashes of a text's code point anchors, in order of first appearance."""
-    return F.array_distinct(char_anchors(text, k, s)["hash"])
+    """The distinct hashes of a text's code point anchors, in order of first appearance. A text
+    without one (empty texts aside) has its whole as its anchor."""
+    return _or_whole(F.array_distinct(char_anchors(text, k, s)["hash"]), text)
+
+
+def _or_whole(hashes: Column, text: Column) -> Column:
+    """Up to k + (k - s) - 1 code points may hold no closed syncmer; two such texts must not
+    look alike for having no anchors."""
+    bare = (F.size(hashes) == 0) & (F.coalesce(text, F.lit("")) != "")
+    return F.when(bare, F.array(F.xxhash64(F.split(text, "")))).otherwise(hashes)
 
 
 def anchor_set(text: Column, k: int = K, s: int = S) -> Column:
@@ -122,9 +131,22 @@ def shared_passages(a: DataFrame, b: DataFrame, k: int = K, s: int = S) -> DataF
             .agg(F.min("left.pos").alias("first"), F.max("left.pos").alias("last"), F.count("*").alias("anchors")))
 
 
+def shortened(hashes: Column) -> Column:
+    """A fingerprint: the anchors' distinct hashes, shortened to 32 bits."""
+    return F.array_distinct(F.transform(hashes, lambda h: F.shiftright(h, 32).cast("int")))
+
+
 def render(hashes: Column) -> Column:
-    """A fingerprint as text: the anchors' hashes, shortened to 32 bits, separated by spaces."""
-    return F.array_join(F.transform(hashes, lambda h: F.shiftright(h, 32).cast("int").cast("string")), " ")
+    """A fingerprint as text, its hashes separated by spaces."""
+    return F.array_join(F.transform(shortened(hashes), lambda h: h.cast("string")), " ")
+
+
+def spread_keys(spark, n: int) -> list[int]:
+    """``n`` integers of which hash partitioning over ``n`` partitions sends the i-th to the i-th."""
+    tried = spark.range(0, 64 * n).select(F.col("id").cast("int").alias("key"))
+    found = tried.groupBy(F.pmod(F.hash("key"), F.lit(n)).alias("at")).agg(F.min("key").alias("key")).collect()  # n rows
+    keys = {r["at"]: r["key"] for r in found}
+    return [keys.get(i, -1 - i) for i in range(n)]
 
 
 def with_next(docs: DataFrame, buckets: int | None = None, carry: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -140,13 +162,16 @@ def with_next(docs: DataFrame, buckets: int | None = None, carry: Callable[[Colu
     buckets = buckets or partitions(docs.sparkSession)
     cuts = docs.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)] or [0.5], 20 * buckets)).first()[0] or []
     edges = F.array(*[F.lit(c).cast("long") for c in sorted(set(cuts))]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda e: e <= F.col("doc_id"))))
-    rows = docs.select("doc_id", "text", bucket.alias("bucket"))
+    # Bucket b carries a key that hash partitioning sends to partition b: no two share a task.
+    n = len(set(cuts)) + 2
+    keys = F.array(*[F.lit(x) for x in spread_keys(docs.sparkSession, n)])
+    turn = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(edges, lambda e: e <= F.col("doc_id"))) + 1)
+    rows = docs.select("doc_id", "text", F.get(keys, turn).alias("bucket"))
     inside = Window.partitionBy("bucket").orderBy("doc_id", "text")
     own = [] if carry is None else ["own"]
-    dealt = rows
+    dealt = rows.repartition(n, "bucket")
     if carry is not None:  # dealt and sorted as the window wants it, so that values are not moved
-        dealt = rows.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "text").withColumn("own", carry(F.col("text")))
+        dealt = dealt.sortWithinPartitions("bucket", "doc_id", "text").withColumn("own", carry(F.col("text")))
     led = dealt.withColumn("led", F.lead(F.struct("text", *own)).over(inside))
     # First rows of the buckets: only the doc_ids that open one are read again with their texts.
     opens = F.broadcast(rows.groupBy("bucket").agg(F.min("doc_id").alias("open"))  # a number per bucket
@@ -155,10 +180,10 @@ def with_next(docs: DataFrame, buckets: int | None = None, carry: Callable[[Colu
              .groupBy("bucket").agg(F.min("text").alias("text")))
     if carry is not None:
         heads = heads.withColumn("own", carry(F.col("text")))
-    turn = Window.orderBy("bucket")
-    every = turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = Window.orderBy(F.array_position(keys, F.col("bucket")))
+    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     head = F.struct("text", *own)
-    after = heads.select("bucket", F.coalesce(F.lead(head).over(turn), F.first(head).over(every)).alias("after"))
+    after = heads.select("bucket", F.coalesce(F.lead(head).over(order), F.first(head).over(every)).alias("after"))
     return (led.join(after, "bucket").withColumn("next", F.coalesce("led", "after"))
             .select("doc_id", "text", F.col("next.text").alias("next_text"), *own, *[F.col(f"next.{c}").alias(f"next_{c}") for c in own]))
 
@@ -201,10 +226,10 @@ def fingerprint_char_edits(docs: DataFrame, k: int = CHAR_K, s: int = CHAR_S) ->
     own, other = F.col("own"), F.col("next_own")
     rows = with_next(base, carry=lambda t: char_anchors(t, k, s))
     return _report(rows.select(
-        "doc_id", n.cast("long").alias("n_chars"), F.array_distinct(own["hash"]).alias("prints"),
-        F.array_distinct(other["hash"]).alias("next_prints"), edited.alias("edited"),
+        "doc_id", n.cast("long").alias("n_chars"), _or_whole(own["hash"], F.col("text")).alias("prints"),
+        _or_whole(other["hash"], F.col("next_text")).alias("next_prints"), edited.alias("edited"),
         F.when(kept + brought < k, char_anchor_set(edited, k, s))
-        .otherwise(F.array_distinct(F.concat(within(own, kept), across, within(other, brought)))).alias("edited_prints")))
+        .otherwise(_or_whole(F.concat(within(own, kept), across, within(other, brought)), edited)).alias("edited_prints")))
 
 
 def _halves(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
@@ -213,9 +238,12 @@ def _halves(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
 
 
 def _report(both: DataFrame) -> DataFrame:
-    return both.select(
+    """The likeness is that of the fingerprints shown, 32 bits a hash."""
+    short = both.withColumns({c: shortened(F.col(c)) for c in ("prints", "edited_prints", "next_prints")})
+    text = lambda c: F.array_join(F.transform(c, lambda h: h.cast("string")), " ")
+    return short.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        render(F.col("prints")).alias("fingerprint"), render(F.col("edited_prints")).alias("edited_fingerprint"),
+        text(F.col("prints")).alias("fingerprint"), text(F.col("edited_prints")).alias("edited_fingerprint"),
         likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
         likeness(F.col("prints"), F.col("next_prints")).alias("near_next"),
         F.size("prints").cast("long").alias("n_anchors"))

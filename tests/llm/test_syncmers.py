@@ -74,6 +74,33 @@ def test_code_point_edits_equal_the_direct_way(odd_docs, no_docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_texts_without_a_syncmer_are_not_alike(spark):
+    """10 to 17 code points may hold no closed syncmer: their whole is their anchor."""
+    texts = ["klmnopqrst", "uvwxyz0123", "", "klmnopqrst", "abcdefghijklmno", "0123456789abcdefg", "ponmlkjihgfedcba"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in sy.fingerprint_char_edits(docs).collect()}
+    bare = [t for t, r in zip(texts, docs.orderBy("doc_id").select(F.size(sy.char_anchors(F.col("text"))["hash"]).alias("n")).collect()) if t and not r["n"]]
+    assert bare  # the case is there
+    for i, t in enumerate(texts):
+        assert (rows[i]["fingerprint"] == "") == (t == "")
+        assert rows[i]["near_next"] == (1.0 if t == texts[(i + 1) % len(texts)] else 0.0)
+    assert rows[0]["fingerprint"] == rows[3]["fingerprint"] != rows[1]["fingerprint"]
+
+
+def test_likeness_is_that_of_the_fingerprints(odd_docs):
+    rows = sy.fingerprint_char_edits(odd_docs).collect()
+    for r in rows:
+        a, e = set(r["fingerprint"].split()), set(r["edited_fingerprint"].split())
+        assert r["near_edited"] == pytest.approx(len(a & e) / len(a | e) if a | e else 1.0)
+
+
+def test_buckets_have_partitions_of_their_own(spark):
+    for n in (2, 7, 51, 211):
+        keys = sy.spread_keys(spark, n)
+        df = spark.createDataFrame([(k,) for k in keys], "key int").repartition(n, "key").select(F.spark_partition_id().alias("p"), "key")
+        assert {r["p"]: r["key"] for r in df.collect()} == dict(enumerate(keys))
+
+
 def test_code_point_anchors_equal_the_definition(spark):
     k, s = sy.CHAR_K, sy.CHAR_S
     texts = ["", "short", "exactly10!", "aaaaaaaaaaaaaaaaaaaa", "one 😀 two é three 漢字漢字 and more of it, \n\n at some length"]
