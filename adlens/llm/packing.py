@@ -4,10 +4,10 @@ Texts become token ids, each text closed by an end id; only longer ones are cut,
 pieces of the sequence length. Pieces are dealt at random over groups of up to
 ``group_tokens`` tokens, so a group is bounded however large the corpus is, and each
 group is packed by bin completion: the largest piece left opens a sequence; the
-undominated ways to fill it from the other pieces are enumerated, fullest first; a
-branch is cut when the waste it has made already rules out fewer sequences than the
-incumbent has. The first incumbent is the best-fit-decreasing solution. The search ends
-when the incumbent meets a lower bound on the sequences or after trying
+undominated ways to fill it from the other pieces are enumerated, fullest first, as far
+as the waste they make still leaves fewer sequences than the incumbent has. The first
+incumbent is the best-fit-decreasing solution. The search ends when the incumbent meets a
+lower bound on the sequences, when a round has left nothing out, or after trying
 ``extra_nodes`` sequences beyond those of one whole solution, with the best one so far.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -81,122 +82,186 @@ def fewest_bound(lengths: list[int], capacity: int) -> int:
 
 
 class _Counts:
-    """How many pieces of each length are left, with the lengths in use at hand."""
+    """How many pieces of each length are left; the lengths in use as bits of one number, also
+    mirrored, so that all pairs of a given sum are one shift and one conjunction."""
 
     def __init__(self, lengths: list[int], capacity: int):
-        self.n = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+        self.capacity, self.n = capacity, [0] * (capacity + 1)
+        self.used = self.mirror = 0
+        self.add(lengths, 1)
 
     def add(self, fill, by: int) -> None:
         for x in fill:
             self.n[x] += by
+            if self.n[x] == (1 if by > 0 else 0):
+                self.used ^= 1 << x
+                self.mirror ^= 1 << (self.capacity - x)
 
     def largest(self, most: int) -> int:
-        used = np.flatnonzero(self.n[:most + 1])
-        return int(used[-1]) if len(used) else 0
+        return max(0, (self.used & ((2 << most) - 1)).bit_length() - 1)
 
+    def smallest(self) -> int:
+        return (self.used & -self.used).bit_length() - 1
 
-def completions(counts: _Counts, room: int, width: int = 4) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room``: fullest first, then with the fewest, largest pieces.
+    def pairs(self, total: int) -> int:
+        """Bits x such that pieces x and total - x are there."""
+        return self.used & (self.mirror >> (self.capacity - total))
 
-    A single piece that fits exactly dominates every other filling. Otherwise each
-    candidate fixes its largest piece ``a`` and takes the best partner, or chain of
-    partners, for what is left; a filling that could be replaced piece by piece by a
-    larger one that still fits is never listed, as each pick is the largest that fits.
+
+def _downwards(bits: int, lowest: int) -> Iterator[int]:
+    """Places of set bits from the highest down to ``lowest``."""
+    while bits >> lowest:
+        x = bits.bit_length() - 1
+        yield x
+        bits ^= 1 << x
+
+
+def _exactly(c: _Counts, total: int, k: int, most: int, taken: tuple[int, ...], steps: list[int]) -> Iterator[tuple[int, ...]]:
+    """Every multiset of ``k`` pieces of at most ``most`` that sum to ``total``, beside ``taken``;
+    largest pieces first. ``steps`` counts lookups and findings down; at zero the rest is left out."""
+    free = lambda x, more=(): c.n[x] > taken.count(x) + more.count(x)
+    if k == 1:
+        if 0 < total <= most and free(total):
+            yield (*taken, total)
+        return
+    if total > 0 and k == 2:
+        steps[0] -= 1
+        for x in _downwards(c.pairs(total) & ((2 << min(most, total)) - 1), -(-total // 2)):
+            if steps[0] <= 0:
+                return
+            if free(x) and free(total - x, (x,)):
+                steps[0] -= 1
+                yield (*taken, x, total - x)
+        return
+    high = min(most, total - (k - 1) * c.smallest())
+    if high > 0:
+        for x in _downwards(c.used & ((2 << high) - 1), max(1, -(-total // k))):
+            if steps[0] <= 0:
+                return
+            if free(x):
+                yield from _exactly(c, total - x, k - 1, x, (*taken, x), steps)
+
+
+def dominated(c: _Counts, fill: tuple[int, ...], slack: int) -> bool:
+    """Could some pieces of ``fill`` (or none) be replaced by one left-over piece that is larger and
+    still fits, or by one as large as two or more of them? Then what ``fill`` would leave
+    for later can be exchanged for it: another filling is at least as good. A filling that
+    another one dominates piece by piece always has such a single replacement."""
+    one = two = 0  # sums of single pieces, of two or more
+    left = c.used
+    for x in fill:
+        two |= (two | one) << x
+        one |= 1 << x
+        if c.n[x] == fill.count(x):
+            left &= ~(1 << x)
+    if two & left:
+        return True
+    larger, width = (1 | one | two) << 1, 1
+    while width < slack:  # larger by 1 to slack
+        step = min(width, slack - width)
+        larger |= larger << step
+        width += step
+    return bool(slack and larger & left)
+
+
+def completions(c: _Counts, room: int, least: int = 0, steps: int = 500) -> Iterator[tuple[int, ...]]:
+    """All undominated ways to fill ``room`` with at least ``least`` (the waste bound), one at a
+    time: fullest first, then fewest pieces, then largest pieces.
+
+    After ``steps`` lookups the listing ends; if it has nothing by then, it gives the filling
+    that takes the largest piece that fits, again and again. Sets of some hundred lengths
+    without an exact filling meet that limit, small ones are listed whole.
     """
-    n = counts.n
-    if room <= 0:
-        return [()]
-    if n[room]:
-        return [(room,)]
-    used = np.flatnonzero(n[:room + 1])
-    if not len(used):
-        return [()]
-    found: dict[tuple[int, ...], int] = {}
-    # two pieces that fill the room exactly
-    partner = room - used
-    ok = (n[partner] > (partner == used)) & (partner > 0) & (partner <= used)
-    for a in used[ok][::-1][:width]:
-        found[(int(a), room - int(a))] = room
-    if not found:
-        best_pair = np.searchsorted(used, room - used, side="right") - 1  # largest that fits beside each
-        order = np.argsort(-(used + np.where(best_pair >= 0, used[best_pair], 0)), kind="stable")[:2 * width]
-        heads = dict.fromkeys([int(used[-1]), *[int(used[i]) for i in order], *[int(x) for x in used[::-1][:width]]])
-        for a in heads:
-            fill, left = [a], room - a
-            n[a] -= 1
-            while left > 0:
-                if n[left]:
-                    fill.append(left)
-                    n[left] -= 1
-                    left = 0
-                    break
-                rest = used[:np.searchsorted(used, left, side="right")]
-                rest = rest[n[rest] > 0]
-                if not len(rest):
-                    break
-                pair = left - rest
-                exact = rest[(n[pair] > (pair == rest)) & (pair > 0)]
-                x = int(exact[-1]) if len(exact) else int(rest[-1])
-                fill.append(x)
-                n[x] -= 1
-                left -= x
-            for x in fill:
-                n[x] += 1
-            found[tuple(sorted(fill, reverse=True))] = room - left
-            if left == 0 and len(found) >= width:
+    small = c.smallest()
+    if room <= 0 or not c.used or small > room:
+        if least <= 0:
+            yield ()
+        return
+    top, budget, some = c.largest(room), [steps], False
+    for total in range(room if room >= 2 * small else top, max(least, small) - 1, -1):
+        for k in range(1, total // small + 1):
+            for fill in _exactly(c, total, k, top, (), budget):
+                if not dominated(c, fill, room - total):
+                    some = True
+                    yield fill
+            if k == 1 and total == room and c.n[room]:
+                return  # a single piece that fits exactly dominates everything else
+            if budget[0] <= 0:
                 break
-    return sorted(found, key=lambda f: (-found[f], len(f), tuple(-x for x in f)))[:width]
+        if budget[0] <= 0:
+            break
+    if not some and budget[0] <= 0:
+        fill: list[int] = []
+        left = room
+        while left >= small and c.used:
+            x = c.largest(left)
+            if not x:
+                break
+            fill.append(x)
+            c.add((x,), -1)
+            left -= x
+        c.add(fill, 1)
+        if room - left >= least:
+            yield tuple(fill)
+
 
+def bin_completion(lengths: list[int], capacity: int, extra_nodes: int = 20_000) -> list[list[int]]:
+    """Pack ``lengths`` (1 to ``capacity`` each) into few sequences; positions per sequence.
 
-def bin_completion(lengths: list[int], capacity: int, extra_nodes: int = 20_000, width: int = 4) -> list[list[int]]:
-    """Pack ``lengths`` (1 to ``capacity`` each) into few sequences; positions per sequence."""
+    The search goes by limited discrepancy: taking the j-th filling of a sequence costs j,
+    and rounds allow a sum of 0, 1, 2, ... over a whole solution, spent on early sequences
+    first. A round that left nothing out proves the best solution to be the fewest.
+    """
     if not lengths:
         return []
     incumbent = best_fit(lengths, capacity)
     bound = fewest_bound(lengths, capacity)
     best: list[tuple[int, ...]] | None = None
-    best_n = len(incumbent)
+    best_n, total = len(incumbent), int(sum(lengths))
     counts = _Counts(lengths, capacity)
-    total = int(sum(lengths))
-    path: list[tuple[int, ...]] = []
-    stack: list[tuple[int, list[tuple[int, ...]]]] = []  # (largest piece, its fillings still to try)
-    waste = nodes = 0
-    max_nodes = len(incumbent) + extra_nodes
-    spare = lambda: (best_n - 1) * capacity - total  # noqa: E731  waste that still beats the incumbent
-
-    def open_next() -> None:
-        a = counts.largest(capacity)
-        counts.n[a] -= 1
-        stack.append((a, completions(counts, capacity - a, width)[::-1]))
-        counts.n[a] += 1
-
-    if best_n > bound:
-        open_next()
-    while stack and best_n > bound and nodes < max_nodes:
-        a, fills = stack[-1]
-        if not fills:
-            stack.pop()
-            if path:
-                back = path.pop()
-                counts.add(back, 1)
-                waste -= capacity - sum(back)
-            continue
-        seq = (a, *fills.pop())
-        nodes += 1
-        lost = capacity - sum(seq)
-        done = len(path) + 1
-        counts.add(seq, -1)
-        last = not counts.n.any() if done >= bound else False
-        if last:
-            if done < best_n:
-                best, best_n = [*path, seq], done
-            counts.add(seq, 1)
-        elif waste + lost > spare():  # the last sequence's waste is not counted: it comes on top
+    nodes_left = len(incumbent) + extra_nodes
+    limit, left_out = 0, best_n > bound
+    while left_out and best_n > bound and nodes_left > 0:
+        left_out, waste = False, 0
+        path: list[tuple[int, ...]] = []
+        stack: list[tuple[list[tuple[int, tuple[int, ...]]]]] = []
+
+        def open_next(allowed: int) -> None:
+            nonlocal left_out
+            a = counts.largest(capacity)
+            counts.add((a,), -1)
+            # a solution that beats the best wastes at most this much in all
+            spare = (best_n - 1) * capacity - total - waste
+            fills = list(islice(completions(counts, capacity - a, capacity - a - spare), allowed + 1))
+            counts.add((a,), 1)
+            left_out |= len(fills) > allowed  # there may be more
+            stack.append([(allowed - j, (a, *f)) for j, f in enumerate(fills)])  # the last is tried first
+
+        open_next(limit)
+        while stack and best_n > bound and nodes_left > 0:
+            if not stack[-1]:
+                stack.pop()
+                if path:
+                    back = path.pop()
+                    counts.add(back, 1)
+                    waste -= capacity - sum(back)
+                continue
+            allowed, seq = stack[-1].pop()
+            nodes_left -= 1
+            lost = capacity - sum(seq)
+            if waste + lost > (best_n - 1) * capacity - total:
+                continue  # the best has improved since this one was listed
+            counts.add(seq, -1)
+            if counts.used:
+                path.append(seq)
+                waste += lost
+                open_next(allowed)
+            else:
+                best, best_n = [*path, seq], len(path) + 1
+                counts.add(seq, 1)
+        for seq in path:
             counts.add(seq, 1)
-        else:
-            path.append(seq)
-            waste += lost
-            open_next()
+        limit += 1
     if best is None:
         return incumbent
     by_length: dict[int, list[int]] = {}
@@ -217,8 +282,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     rows = staged(pieces(docs, tokenizer, capacity, end_id), "pieces")
     tokens, count = rows.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
     n = max(1, -(-tokens // group_tokens), -(-count // group_pieces))
+    # The place of a row in the staged files deals rows that are equal over all groups.
+    place = ["_metadata.file_name", "_metadata.row_index"]
     dealt = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "piece", "start", "length", "ids_crc32",
-                        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n)).alias("deal"))
+                        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", *place), F.lit(n)).alias("deal"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True],
