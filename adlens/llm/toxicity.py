@@ -10,7 +10,7 @@ trained with Adam on gradients written out by hand.
 A text is scored on all its overlapping windows: one starts at every word. Neighbouring
 windows read the same input one place further, so a pass over all windows of a stretch of
 words works on shifted views of one array. Labels are per text, so training alternates, on
-every eighth window of its sample: windows of toxic texts count as toxic
+every sixth window of its sample: windows of toxic texts count as toxic
 at first, later only each text's strongest window and those already above an even chance;
 clean texts give their strongest windows and random others. A logistic curve of the
 largest window logit, the sum of the windows' probabilities and the number of windows,
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from adlens.llm.nbsvm import held_out, sample
 
-WINDOW = 16
-TRAIN_STRIDE = 8
+WINDOW = 12
+TRAIN_STRIDE = 6
 _TRIM = b".,;:!?\"'()[]{}*#%$&|<>-_"
 _FLOOR = -12.0  # evidence of a text without words
 
@@ -43,7 +43,7 @@ class Shape:
     grams: int = 1 << 13
     word_dim: int = 8
     char_dim: int = 8
-    hidden: int = 8
+    hidden: int = 6
 
 
 def split_words(text: str | None) -> list[bytes]:

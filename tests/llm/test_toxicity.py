@@ -32,14 +32,14 @@ def plain_logit(net, words):
 
 
 def every_window(words):
-    """Every run of 16 neighbouring words; a shorter text is one window."""
-    return [words[s:s + 16] for s in range(max(1, len(words) - 15))] if words else []
+    """Every run of 12 neighbouring words; a shorter text is one window."""
+    return [words[s:s + 12] for s in range(max(1, len(words) - 11))] if words else []
 
 
 def test_all_windows_are_scored_as_written_out():
     net = tx.Network(seed=9)
     rng = random.Random(0)
-    texts = [None, "", "one", "É, über! (word)"] + [" ".join(rng.choice(["ab", "cd.", "Éf", "ghij", "k"]) + str(rng.randrange(50)) for _ in range(n)) for n in (8, 15, 16, 17, 24, 55, 56, 57, 300)]
+    texts = [None, "", "one", "É, über! (word)"] + [" ".join(rng.choice(["ab", "cd.", "Éf", "ghij", "k"]) + str(rng.randrange(50)) for _ in range(n)) for n in (8, 11, 12, 13, 24, 55, 56, 57, 300)]
     for batch, hold in ((4, 1), (7, 60), (1024, 1 << 15)):
         for text, (b, total, c) in zip(texts, tx.Scorer(net, keep_words=120, batch=batch, words=hold).evidence(texts)):
             logits = [plain_logit(net, w) for w in every_window(tx.split_words(text))]
@@ -57,7 +57,7 @@ def test_a_passage_counts_alike_at_every_place():
     cue = [f"w{k}" for k in range(8)] + ["grubble", "snarkle", "w9", "foulmux"] + [f"w{k}" for k in range(20, 28)]
     texts = [" ".join(clean[:at] + cue + clean[at:]) for at in range(len(clean) + 1)]
     found, scorer = model.scorer().evidence(texts), model.scorer()
-    assert (found[:, 2] == 120 + 20 - 15).all()
+    assert (found[:, 2] == 120 + 20 - 11).all()
     own = model.scorer().evidence([" ".join(cue)])[0]
     assert (found[:, 0] >= own[0] - 1e-4).all()
     assert model.scores(texts, scorer).min() > model.scores([" ".join(clean)], scorer)[0]
