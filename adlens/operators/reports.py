@@ -95,6 +95,21 @@ def exposure_report_all(log: DataFrame, ssp_tag: DataFrame, ord_col: str = "even
     return _exposure_finish(agg, ssp_tag)
 
 
+def exposure_partials(log: DataFrame, by, ord_col: str = "event_id") -> DataFrame:
+    """Mergeable parts of R-2 per (deal, month, day) and the columns ``by``: the count, the first
+    record's place and its attributes."""
+    first = F.struct(F.col(ord_col).alias("at"), F.struct(*[F.col(c) for c in _EXPOSURE_ATTRS]).alias("row"))
+    return log.groupBy("dealid", F.col(MONTH).alias("month"), F.col(DAY).alias("day"), *by).agg(
+        F.min_by(first, F.col(ord_col)).alias("first"), row_count().alias("total"))
+
+
+def exposure_from_partials(partials: DataFrame, ssp_tag: DataFrame) -> DataFrame:
+    """R-2 from the parts of :func:`exposure_partials`."""
+    agg = partials.groupBy("dealid", "month", "day").agg(
+        F.min_by(F.col("first.row"), F.col("first.at")).alias("_first"), F.sum("total").cast("long").alias("total"))
+    return _exposure_finish(_unpack(agg).withColumn("daytime", dashed_day("month", "day")), ssp_tag)
+
+
 def exposure_report_daily(log: DataFrame, ssp_tag: DataFrame, run: RunDay,
                           ord_col: str = "event_id") -> DataFrame:
     """R-1: exposures per deal on one day (grouped by deal alone, as the reference)."""

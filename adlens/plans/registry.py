@@ -18,6 +18,7 @@ from adlens.operators import reports
 from adlens.operators import segments as vs
 from adlens.operators.lookup import left_lookup
 from adlens.plans import oracle
+from adlens.plans.incremental import IncrementalExposure
 from adlens.schemas import STREAM_RECORD
 from adlens.session import scratch_path
 from adlens.sinks import merge, writers
@@ -25,7 +26,7 @@ from adlens.sinks.counters import EpochCounters, EpochCounterSink
 from adlens.sources import index_table, log_stream
 from adlens.sources import testdata as td
 from adlens.sources.streams import open_log_stream
-from adlens.streaming import deal_stream
+from adlens.streaming import day_state, deal_stream
 
 # The report day used by the daily keys (the data covers January 2024).
 RUN_DAY = reports.RunDay("20240115")
@@ -49,6 +50,20 @@ def bg_report_all(spark, sf):
     return reports.exposure_report_all(td.exposure_log(spark, sf), td.ssp_tag(spark, sf))
 
 
+@register("bg_report_incremental", oracle.bg_report_all())
+def bg_report_incremental(spark, sf):
+    """R-2 in two runs over a growing log folder; the second reads only the new files."""
+    root = scratch_path(spark, "exposure-log")
+    log = td.exposure_log(spark, sf)
+    state = IncrementalExposure(scratch_path(spark, "exposure-state"), "parquet")
+    for half in (F.col("local-day") <= "15", F.col("local-day") > "15"):  # the first half of each month, then the rest
+        # one file per day, its records in order: the first record of a day is that of the log
+        days = log.filter(half).repartitionByRange(8, "local-month", "local-day").sortWithinPartitions("event_id")
+        days.drop("event_id").write.mode("append").parquet(root)
+        state.update(spark, root)
+    return state.report(spark, td.ssp_tag(spark, sf))
+
+
 @register("bg_report_daily", oracle.bg_report_daily(RUN_DAY.month, RUN_DAY.day))
 def bg_report_daily(spark, sf):
     return reports.exposure_report_daily(td.exposure_log(spark, sf), td.ssp_tag(spark, sf), RUN_DAY)
@@ -387,6 +402,15 @@ def stream_log_offsets(spark, sf):
     return deal_stream.latest_totals(spark, out)
 
 
+@register("stream_seeded_totals", oracle.deal_running_total())
+def stream_seeded_totals(spark, sf):
+    """ST-3 b with state of its own: seeded from the stored totals, cleared at day ends."""
+    raw = _offset_log(spark, sf, batches=4).withColumnRenamed("timestamp", "ts")
+    q, out = day_state.run_seeded_totals(spark, raw, td.stored_totals(spark, sf), trigger={"processingTime": "0 seconds"}, delay="400 days")
+    log_stream.drain(q)
+    return deal_stream.latest_totals(spark, out)
+
+
 def _counter_deltas(batch):
     recs = counters.with_dealid(counters.keep_topic(batch))
     return recs.groupBy(fx.counter_key("dealid").alias("key")).agg(F.count(F.lit(1)).alias("value"))
