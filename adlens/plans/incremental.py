@@ -52,9 +52,13 @@ class IncrementalExposure:
             return []
         run = uuid.uuid4().hex[:12]
         if new:
-            log = spark.read.schema(self.schema).format(self.fmt).load(new)
+            log = spark.read.schema(self.schema).format(self.fmt).option("basePath", root).load(new)
             log = log.withColumn("event_id", F.struct(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i")))
-            reports.exposure_partials(log, by=[F.col("event_id.f").alias("file")]).write.parquet(f"{self.path}/run={run}")
+            part = f"{self.path}/run={run}"
+            reports.exposure_partials(log, by=[F.col("event_id.f").alias("file")]).write.parquet(part)
+            listed = spark.createDataFrame([(f,) for f in new], "file string")
+            if not spark.read.parquet(part).join(listed, "file", "left_anti").isEmpty():
+                raise RuntimeError("rows of a file that is named otherwise in the listing")  # its rows would not be counted
         ledger = {f: {**m, "run": run if f in new else old[f]["run"]} for f, m in now.items()}
         n = len(files.names(f"{self.path}/_ledger"))
         files.put(f"{self.path}/_ledger/{n:08d}.json", lambda out: out.write(json.dumps(ledger).encode()))

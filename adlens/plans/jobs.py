@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from adlens import schemas
 from adlens.operators import reports, segments
 from adlens.operators.ordering import checkpointed
-from adlens.sinks import merge, writers
+from adlens.plans.incremental import IncrementalExposure
+from adlens.sinks import dbapi, merge, writers
+from adlens.sinks.counters import EpochCounters
 from adlens.session import scratch_path
 from adlens.sources import logs
 from adlens.streaming import deal_stream
@@ -26,17 +28,30 @@ REPORT_KEYS = {"bg": (["dealid", "daytime"], ["total"]),
 
 
 def build_reports(spark: SparkSession, exposure_root: str, request_root: str, ssp_tag: DataFrame,
-                  orders: DataFrame, run: reports.RunDay | None = None, all_months: bool = True
-                  ) -> dict[str, DataFrame]:
+                  orders: DataFrame, run: reports.RunDay | None = None, all_months: bool = True,
+                  partitioned: bool = False, state: str | None = None) -> dict[str, DataFrame]:
     """R-7: the three reports of the full run. The exposure report reads every month (R-2);
-    the request reports read the run day's month (R-4, R-6), as in the reference."""
+    the request reports read the run day's month (R-4, R-6), as in the reference.
+
+    ``partitioned``: the logs were written by the conversion job, and only the month's
+    partitions of the request log are read. ``state``: a folder where the exposure report keeps
+    per-file parts, so a run reads only new log files (``plans.incremental``)."""
     run = run or logs.yesterday()
-    exposure = logs.read_all(spark, exposure_root, schemas.EXPOSURE_LOG)
-    requests = logs.read_month(spark, request_root, run.month, schemas.REQUEST_LOG)
-    exposure, requests = (with_ord(exposure), with_ord(requests))
-    success, fail = reports.request_reports_all(requests, ssp_tag, orders)
+    if partitioned:
+        requests = logs.read_partitioned(spark, request_root, schemas.REQUEST_LOG).filter(F.col("local-month") == run.month)
+    else:
+        requests = logs.read_month(spark, request_root, run.month, schemas.REQUEST_LOG)
+    success, fail = reports.request_reports_all(with_ord(requests), ssp_tag, orders)
+    if state and all_months:
+        kept = IncrementalExposure(state, "parquet" if partitioned else "json")
+        kept.update(spark, exposure_root)
+        bg = kept.report(spark, ssp_tag)
+    else:
+        read = logs.read_partitioned if partitioned else logs.read_all
+        bg = reports.exposure_report_all(with_ord(read(spark, exposure_root, schemas.EXPOSURE_LOG)), ssp_tag,
+                                         months=None if all_months else [run.month])
     return {
-        "bg": reports.exposure_report_all(exposure, ssp_tag, months=None if all_months else [run.month]),
+        "bg": bg,
         "success": success,
         "fail": fail,
     }
@@ -105,6 +120,21 @@ def write_reports_dbapi(built: dict[str, DataFrame], connect, tables: dict[str,
                                        [*keys, *attrs, *measures], null_to_zero=("is_compensate",))
 
 
+def write_reports_staged(spark: SparkSession, built: dict[str, DataFrame], connect: str, tables: dict[str, str], null_root: str,
+                         placeholder: str = "%s") -> None:
+    """K-1 b with each report as one transaction: loaded into ``<table>_staging``, merged by one commit.
+    Rows with a null key go to ``<null_root>/<name>_null_keys``, as in the table form."""
+    for name, df in built.items():
+        keys, measures = REPORT_KEYS[name]
+        staging = scratch_path(spark, f"staged-{name}")
+        df.write.parquet(staging)  # the report is computed once
+        keyed, unkeyed = split_null_keys(spark.read.schema(df.schema).parquet(staging), keys)
+        unkeyed.write.mode("overwrite").parquet(os.path.join(null_root, f"{name}_null_keys"))
+        if "is_compensate" in keyed.columns:
+            keyed = keyed.withColumn("is_compensate", F.coalesce("is_compensate", F.lit(0)))
+        dbapi.upsert_dbapi(keyed, connect, tables[name], f"{tables[name]}_staging", keys, measures, placeholder)
+
+
 def segment_and_store(spark: SparkSession, seats: DataFrame, usable: DataFrame, out_path: str,
                       tie: str = "sid", max_items: int | None = None, rejected_path: str | None = None) -> str:
     """R-11: usable intervals -> segments -> JSON documents with stable ids.
@@ -130,11 +160,13 @@ def start_exposure_counter(spark: SparkSession, raw_stream: DataFrame, out_path:
 
 def start_exposure_control(spark: SparkSession, raw_stream: DataFrame, state_path: str, caps: DataFrame,
                            checkpoint: str, trigger: dict | None = None, kv_connect=None, day=None,
-                           initial: DataFrame | None = None):
+                           initial: DataFrame | None = None, counter_path: str | None = None):
     """R-8 whole: in every micro-batch count exposures, add them to the day totals and (if
     given) the KV counters, compare with the caps, and set ``stop = 1`` on the stored cap
-    table. Returns (query, sink): ``sink.current(spark)`` holds the totals and
+    table. With ``counter_path`` the KV counters are exactly-once: epochs are kept there and the
+    store gets values. Returns (query, sink): ``sink.current(spark)`` holds the totals and
     ``sink.current_caps(spark)`` the cap table."""
     sink = deal_stream.ReadAddWriteSink(state_path, caps, os.path.join(state_path, "_flags"), day=day,
-                                        initial=initial, kv_connect=kv_connect, store_caps=True)
+                                        initial=initial, kv_connect=kv_connect, store_caps=True,
+                                        counters=EpochCounters(counter_path) if counter_path else None)
     return deal_stream.run_read_add_write(spark, raw_stream, sink, checkpoint, trigger), sink

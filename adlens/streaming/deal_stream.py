@@ -23,6 +23,7 @@ from adlens.schemas import STREAM_RECORD
 from adlens.session import read_or_none, scratch_path
 from adlens.functions.scalar import counter_key
 from adlens.sinks import merge, writers
+from adlens.sinks.counters import EpochCounters
 from adlens.fixed import BATCH_INTERVAL, CAP_SLACK
 
 
@@ -199,15 +200,17 @@ class ReadAddWriteSink:
 
     def __init__(self, state_path: str, caps: DataFrame | None = None, flags_path: str | None = None,
                  slack: int = CAP_SLACK, day=None, initial: DataFrame | None = None, kv_connect=None,
-                 store_caps: bool = False):
+                 store_caps: bool = False, counters: EpochCounters | None = None):
         """``day``: a ``yyyy-MM-dd`` text, a Column (e.g. the event date), or None for the
         processing date. ``initial``: the totals table before the first batch.
         ``kv_connect``: optional KV client factory; each batch's per-deal counts are then
         added to ``<prefix><dealid>`` counters (K-2). Those increments are at-least-once,
-        as in the reference: a batch that dies before its ledger row adds them again."""
+        as in the reference: a batch that dies before its ledger row adds them again. With
+        ``counters`` the batch's counts are an epoch there, applied once, and ``kv_connect``'s
+        store is set to the counters' values."""
         self.state_path, self.caps, self.flags_path = state_path, caps, flags_path
         self.slack, self.day, self.initial, self.kv_connect = slack, day, initial, kv_connect
-        self.store_caps = store_caps
+        self.store_caps, self.counters = store_caps, counters
         self.ledger_path = os.path.join(state_path, "_ledger")
 
     def _ledger(self, spark: SparkSession) -> DataFrame | None:
@@ -249,9 +252,14 @@ class ReadAddWriteSink:
                           else spark.createDataFrame([], "dealid string, now_time string, total bigint"))
             stored = stored.select("dealid", "now_time", F.col("total").cast("bigint").alias("total"))
             running = counters.add_to_totals(every.filter(F.col("dealid").isNotNull()), stored).persist()
-            if self.kv_connect is not None:
-                per_deal = every.groupBy("dealid").agg(F.sum("total").alias("value"))
-                writers.add_counters(per_deal.select(counter_key("dealid").alias("key"), "value"), self.kv_connect)
+            if self.kv_connect is not None or self.counters is not None:
+                per_deal = every.groupBy(counter_key("dealid").alias("key")).agg(F.sum("total").alias("value"))
+                if self.counters is None:
+                    writers.add_counters(per_deal, self.kv_connect)
+                else:
+                    self.counters.apply(per_deal, own, batch_id)
+                    if self.kv_connect is not None:
+                        self.counters.publish(spark, per_deal, self.kv_connect)
             if self.caps is not None and self.flags_path:
                 caps = self.current_caps(spark)
                 flagged = counters.near_cap(running, caps, self.slack)
