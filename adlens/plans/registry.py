@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens.fixed import MISSING_MEDIA
 from adlens.functions import scalar as fx
-from adlens.operators import counters
+from adlens.operators import changes, counters
 from adlens.operators import reports
 from adlens.operators import segments as vs
 from adlens.operators.lookup import left_lookup
@@ -318,6 +318,14 @@ def video_tag_lists(spark, sf, **how):
     return segs.select("string_vid", "seg_no", *part, *[F.array_join(c, ",").alias(c) for c in vs.LIST_COLUMNS])
 
 
+@register("video_change_lists", oracle.video_tag_lists())
+def video_change_lists(spark, sf):
+    """V-4 kept as change lists (rows bounded by the points, whatever overlaps) and read back."""
+    lists = changes.expand(changes.change_lists_of(td.ad_seat(spark, sf), td.usable_media(spark, sf), every=16))
+    return lists.select(F.col("video_id").alias("string_vid"), F.col("p").alias("seg_no"),
+                        *[F.array_join(c, ",").alias(c) for c in vs.LIST_COLUMNS])
+
+
 # The plans for videos too large for one task, forced: what runs at 100x is what is checked.
 
 @register("video_rank_ranged", oracle.video_interval_rank())
