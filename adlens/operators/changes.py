@@ -17,6 +17,7 @@ as in the sweep itself.
 from __future__ import annotations
 
 from bisect import insort
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,29 +70,42 @@ LISTS = [(cls, field, f"string_{name}{suffix}") for cls, name in CLASS_LISTS
 def expand(changes: DataFrame) -> DataFrame:
     """(video_id, p, the twelve lists) of every segment with an active interval, from change lists.
 
-    A block is one full list and the changes up to the next; a task replays a block at a
-    time: at most M rows of each.
+    A block is one full list and the changes up to the next. Blocks are dealt over tasks and
+    sorted, and a task replays one after the other, holding one block: at most M rows of
+    each kind.
     """
     columns = "video_id string, p long, " + ", ".join(f"{out} array<string>" for *_, out in LISTS)
 
-    def run(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        video, m = key[0], int(key[2])
-        start = int(key[1]) * m
-        block = block.astype(object).where(block.notna(), None)  # a missing text is null, not NaN
-        state = sorted([int(r[0]), *r[1:]] for r in block[block["kind"] == "full"][ITEM].values.tolist())
-        # the change that leads to the block's first segment is in its full list
-        changes = {int(p): (kind, [int(r[0]), *r[1:]]) for p, kind, *r in block[block["kind"] != "full"][["p", "kind", *ITEM]].values.tolist() if p > start}
-        out = []
+    def replay(video: str, start: int, m: int, state: list[tuple], steps: dict[int, tuple]) -> Iterator[tuple]:
         for p in range(start, start + m):
-            if p in changes:
-                kind, item = changes[p]
+            if p in steps and p > start:  # what leads to the block's first segment is in its full list
+                kind, item = steps[p]
                 if kind == "added":
                     insort(state, item, key=lambda x: x[0])
                 else:
                     state = [x for x in state if x[0] != item[0]]
             if state:
-                out.append((video, p, *[[x[f] for x in state if x[1] == cls] for cls, f, _ in LISTS]))
-        return pd.DataFrame(out, columns=["video_id", "p", *[o for *_, o in LISTS]])
+                yield (video, p, *[[x[f] for x in state if x[1] == cls] for cls, f, _ in LISTS])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["video_id", "p", *[o for *_, o in LISTS]]
+        held, state, steps = None, [], {}
+        for batch in batches:
+            out = []
+            for video, block, m, p, kind, *item in zip(*[batch[c].tolist() for c in ("video_id", "block", "every", "p", "kind", *ITEM)]):
+                if held != (video, block * m, m):
+                    if held:
+                        out += replay(*held, state, steps)
+                    held, state, steps = (video, block * m, m), [], {}
+                if kind == "full":
+                    state.append(tuple(item))  # in the order of pb
+                else:
+                    steps[p] = (kind, tuple(item))
+            yield pd.DataFrame(out, columns=names)
+        if held:
+            yield pd.DataFrame(list(replay(*held, state, steps)), columns=names)
 
     blocks = changes.withColumn("block", F.floor(F.col("p") / F.col("every")).cast("long"))
-    return blocks.groupBy("video_id", "block", "every").applyInPandas(run, columns)
+    n = int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.repartition(n, "video_id", "block").sortWithinPartitions("video_id", "block", "pb")
+    return dealt.select("video_id", "block", "every", "p", "kind", *ITEM).mapInPandas(run, columns)
