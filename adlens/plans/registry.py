@@ -414,7 +414,7 @@ def stream_log_offsets(spark, sf):
 def stream_seeded_totals(spark, sf):
     """ST-3 b with state of its own: seeded from the stored totals, cleared at day ends."""
     raw = _offset_log(spark, sf, batches=4).withColumnRenamed("timestamp", "ts")
-    q, out = day_state.run_seeded_totals(spark, raw, td.stored_totals(spark, sf), trigger={"processingTime": "0 seconds"}, delay="400 days")
+    q, out = day_state.run_seeded_totals(spark, raw, td.stored_totals(spark, sf), trigger={"processingTime": "0 seconds"}, delay="400 days", buckets=8)
     log_stream.drain(q)
     return deal_stream.latest_totals(spark, out)
 

@@ -1,23 +1,26 @@
 """Day totals with a state of their own (ST-3 b): seeded, bounded, expiring.
 
 ``groupBy().count()`` cannot start from stored totals and knows no end of a day. Here a
-``transformWithState`` operator keeps one number per (deal, day):
+``transformWithState`` operator keeps the totals of a day's deals, dealt over ``buckets`` by a hash
+of the deal: a state row per (day, bucket), so a micro-batch costs a few state calls per
+bucket, not per deal.
 
-* the first time a key is seen it starts from the stored total (``initialState``), which the
-  reference reads anew from its table in every batch;
+* a bucket starts from the stored totals (``initialState``), which the reference reads anew
+  from its table in every batch;
 * a timer at the day's end plus the watermark's delay clears it, so the state holds the days
   that may still get records and nothing else; records of closed days are dropped by the
   watermark, as in any event-time aggregate;
-* every micro-batch emits the new totals of the keys it touched.
+* every micro-batch emits the new totals of the deals it touched.
 
-A key's records are counted chunk by chunk, so a hot deal is a number in its task. Topic
-filter and parsing stay column expressions before the operator, and only key and time
+Records are counted chunk by chunk, so a hot deal is a number in its task. Choose ``buckets`` so
+that a bucket's deals of one day are some thousand. Topic filter and parsing stay column expressions before the operator, and only key and time
 travel to it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,7 +34,7 @@ from adlens.streaming.deal_stream import BatchLedgerSink
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 TOTALS = "has_deal boolean, deal string, now_time string, total long"
-KEY = ["has_deal", "deal", "now_time"]
+KEY = ["now_time", "bucket"]
 
 
 def day_end_ms(day: str) -> int:
@@ -43,49 +46,65 @@ def day_end_ms(day: str) -> int:
 class DayTotals(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.total = handle.getValueState("total", "n long")
+        self.totals = handle.getValueState("totals", "deals array<string>, totals array<bigint>")  # a null deal stays null
 
-    def _watch(self, day: str | None, now_ms: int) -> None:
-        # The watermark is behind by its delay, so this fires that much after the day's end.
-        # Records without a time have no day that could end.
-        if isinstance(day, str):
-            self.handle.registerTimer(max(day_end_ms(day), now_ms + 1))
+    def _held(self) -> dict[str | None, int]:
+        return dict(zip(*self.totals.get())) if self.totals.exists() else {}
+
+    def _keep(self, key, held: dict[str | None, int], timerValues, new: bool) -> None:
+        self.totals.update((list(held), list(held.values())))
+        # Records without a time have no day that could end. The watermark is behind by its
+        # delay, so the timer fires that much after the day's end.
+        if new and isinstance(key[0], str):
+            self.handle.registerTimer(max(day_end_ms(key[0]), timerValues.getCurrentWatermarkInMs() + 1))
+
+    @staticmethod
+    def _deals(chunk: pd.DataFrame) -> list[str | None]:
+        return [d if has else None for has, d in zip(chunk["has_deal"].tolist(), chunk["deal"].tolist())]
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.total.update((int(initialState["stored"].sum()),))
-        self._watch(key[2], timerValues.getCurrentWatermarkInMs())
+        held = self._held()
+        new = not held
+        for deal, n in zip(self._deals(initialState), initialState["stored"].tolist()):
+            held[deal] = held.get(deal, 0) + int(n)
+        self._keep(key, held, timerValues, new)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n = sum(len(chunk) for chunk in rows)
-        if not n:
+        counts: Counter = Counter()
+        for chunk in rows:
+            counts.update(self._deals(chunk))
+        if not counts:
             return
-        if self.total.exists():
-            n += self.total.get()[0]
-        else:
-            self._watch(key[2], timerValues.getCurrentWatermarkInMs())
-        self.total.update((n,))
-        yield pd.DataFrame({"has_deal": [key[0]], "deal": [key[1]], "now_time": [key[2]], "total": [n]})
+        held = self._held()
+        new = not held
+        for deal, n in counts.items():
+            held[deal] = held.get(deal, 0) + n
+        self._keep(key, held, timerValues, new)
+        deals = list(counts)
+        yield pd.DataFrame({"has_deal": [d is not None for d in deals], "deal": [d or "" for d in deals], "now_time": [key[0]] * len(deals),
+                            "total": [held[d] for d in deals]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.total.clear()
+        self.totals.clear()
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def _keyed(df: DataFrame, *more) -> DataFrame:
-    """The deal as a key that tells a missing deal from any text."""
-    return df.select(F.col("dealid").isNotNull().alias("has_deal"), F.coalesce("dealid", F.lit("")).alias("deal"), *more)
+def _keyed(df: DataFrame, buckets: int, *more) -> DataFrame:
+    """The deal, a missing one told from any text, and its bucket."""
+    return df.select(F.col("dealid").isNotNull().alias("has_deal"), F.coalesce("dealid", F.lit("")).alias("deal"),
+                     F.pmod(F.xxhash64("dealid"), F.lit(buckets)).cast("int").alias("bucket"), *more)
 
 
-def seeded_day_totals(raw: DataFrame, stored: DataFrame, delay: str) -> DataFrame:
+def seeded_day_totals(raw: DataFrame, stored: DataFrame, delay: str, buckets: int = 64) -> DataFrame:
     """Streaming (dealid, now_time, total) of the records ``raw`` (ts, value) that name the topic: per
     micro-batch the new total of every (deal, event day) it touched, starting from ``stored``
     (dealid, now_time, total). Days in UTC; ``delay`` is the watermark's."""
     recs = counters.with_dealid(counters.keep_topic(raw)).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    rows = _keyed(recs, F.to_date("ts").cast("string").alias("now_time"), "ts")
-    seed = _keyed(stored.filter("now_time IS NOT NULL"), "now_time", F.col("total").cast("long").alias("stored"))
+    rows = _keyed(recs, buckets, F.to_date("ts").cast("string").alias("now_time"), "ts")
+    seed = _keyed(stored.filter("now_time IS NOT NULL"), buckets, "now_time", F.col("total").cast("long").alias("stored"))
     out = rows.groupBy(*KEY).transformWithStateInPandas(
         statefulProcessor=DayTotals(), outputStructType=TOTALS, outputMode="Update", timeMode="EventTime",
         initialState=seed.groupBy(*KEY))
@@ -93,7 +112,7 @@ def seeded_day_totals(raw: DataFrame, stored: DataFrame, delay: str) -> DataFram
 
 
 def run_seeded_totals(spark: SparkSession, raw: DataFrame, stored: DataFrame, out_path: str | None = None, checkpoint: str | None = None,
-                      trigger: dict | None = None, delay: str = "2 days", compact_every: int | None = 1000):
+                      trigger: dict | None = None, delay: str = "2 days", compact_every: int | None = 1000, buckets: int = 64):
     """Start the counter with the batch sink of the other totals; returns (query, out_path).
     ``latest_totals`` reads the result: one query's totals, seeds included, so a query on a
     new checkpoint needs a new ``out_path``."""
@@ -102,7 +121,7 @@ def run_seeded_totals(spark: SparkSession, raw: DataFrame, stored: DataFrame, ou
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)  # read when a query starts
     try:
-        q = (seeded_day_totals(raw, stored, delay).writeStream.outputMode("update")
+        q = (seeded_day_totals(raw, stored, delay, buckets).writeStream.outputMode("update")
              .foreachBatch(BatchLedgerSink(out_path, compact_every)).option("checkpointLocation", checkpoint)
              .trigger(**(trigger or {"availableNow": True})).start())
     finally:

@@ -61,7 +61,8 @@ def test_state_is_cleared_at_day_ends(spark, stored, tmp_path):
     q = start(spark, path, tmp_path, stored.limit(0), "1 day", 40)
     log_stream.drain(q)
     held = q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
-    assert held < 280 / 2
+    every_bucket = 28 * 10  # ten deals in buckets of their own, mostly, on 28 days
+    assert held < every_bucket / 3
     log_stream.append_log(records(spark, [(999, day(2), "d1"), (1000, day(28, 23), "d1")]), path, ["event_id"])
     log_stream.drain(start(spark, path, tmp_path, stored.limit(0), "1 day", 40))
     got = totals(spark, tmp_path)
