@@ -1,4 +1,5 @@
 import math
+import random
 
 import plain
 from pyspark.sql import functions as F
@@ -60,3 +61,34 @@ def test_no_python_on_the_main_path(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     plan = q.keep(docs, table(spark, "/root/testdata/sf0.001", "labels"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_certified_cutoffs_equal_the_sql(spark, tmp_path):
+    """Labels enough to certify: in both strata symbol-heavy texts are rejected by a certified cutoff,
+    few clean ones are, and Spark and DuckDB agree on every row."""
+    import duckdb
+    from adlens.llm.queries import ORACLE, QUERIES
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    rows, labels = [], []
+    for i in range(5200):
+        bad = i % 4 == 0
+        words = [word() for _ in range(14)]
+        for _ in range(rng.randint(4, 9) if bad else (i % 400 == 1)):
+            words.insert(rng.randrange(len(words)), rng.choice("#*$%&|<>") * rng.randint(3, 6))
+        rows.append((i, " ".join(words), ["en", "de"][i % 2], "s", 1))
+        labels.append((i, 0 if bad else 1, 0))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    df = QUERIES["op3_quality_rules"](spark, str(tmp_path))
+    got = sorted(tuple(r) for r in df.collect())
+    want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({ORACLE['op3_quality_rules']}) q").fetchall()
+    assert got == sorted(want)
+    kept = {r[0]: r[-1] for r in got}
+    failed = {r[0] for r in got if r[-2]}
+    rejected = {i for i, k in kept.items() if not k} - failed
+    assert len([i for i in rejected if i % 4 == 0]) > 600
+    assert len([i for i in rejected if i % 4]) < 0.02 * 3900
