@@ -138,6 +138,7 @@ def _exactly(c: _Counts, total: int, k: int, most: int, taken: tuple[int, ...],
         for x in _downwards(c.used & ((2 << high) - 1), max(1, -(-total // k))):
             if steps[0] <= 0:
                 return
+            steps[0] -= 1
             if free(x):
                 yield from _exactly(c, total - x, k - 1, x, (*taken, x), steps)
 
@@ -164,12 +165,12 @@ def dominated(c: _Counts, fill: tuple[int, ...], slack: int) -> bool:
     return bool(slack and larger & left)
 
 
-def completions(c: _Counts, room: int, least: int = 0, steps: int = 500) -> Iterator[tuple[int, ...]]:
+def completions(c: _Counts, room: int, least: int = 0, steps: int = 24) -> Iterator[tuple[int, ...]]:
     """All undominated ways to fill ``room`` with at least ``least`` (the waste bound), one at a
     time: fullest first, then fewest pieces, then largest pieces.
 
     After ``steps`` lookups the listing ends; if it has nothing by then, it gives the filling
-    that takes the largest piece that fits, again and again. Sets of some hundred lengths
+    that takes an exact pair or else the largest piece that fits, again and again. Sets of some hundred lengths
     without an exact filling meet that limit, small ones are listed whole.
     """
     small = c.smallest()
@@ -179,7 +180,7 @@ def completions(c: _Counts, room: int, least: int = 0, steps: int = 500) -> Iter
         return
     top, budget, some = c.largest(room), [steps], False
     for total in range(room if room >= 2 * small else top, max(least, small) - 1, -1):
-        for k in range(1, total // small + 1):
+        for k in range(max(1, -(-total // top)), total // small + 1):
             for fill in _exactly(c, total, k, top, (), budget):
                 if not dominated(c, fill, room - total):
                     some = True
@@ -193,10 +194,12 @@ def completions(c: _Counts, room: int, least: int = 0, steps: int = 500) -> Iter
     if not some and budget[0] <= 0:
         fill: list[int] = []
         left = room
-        while left >= small and c.used:
-            x = c.largest(left)
-            if not x:
-                break
+        while left > 0 and (x := c.largest(left)):
+            exact = c.pairs(left) & ((1 << left) - 1)
+            if x < left and exact:
+                y = exact.bit_length() - 1
+                if 2 * y != left or c.n[y] > 1:
+                    x = y  # its partner fills the rest exactly
             fill.append(x)
             c.add((x,), -1)
             left -= x
