@@ -11,8 +11,9 @@
   writes one manifest naming them; a job that fails leaves nothing to be read, whichever of
   its tasks had finished, and its files are removed.
 
-Data files are Parquet; a block is one of their row groups. One manifest row per block is
-held by the driver: with blocks of a million rows, 100 TB of 1 KB rows make 100,000.
+Data files are Parquet; a block is one of their row groups. A task holds the rows of one block
+while it writes or reads, so a block ends at a million rows or 64 MB of them, whichever
+comes first. One manifest row per block is held by the driver: 100 TB make 1.6 million.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from adlens.sources import files
 FORMAT = "adlens_index"
 MANIFESTS = "_manifests"
 BLOCK_ROWS = 1 << 20
+BLOCK_BYTES = 1 << 26  # of Arrow data: what one task holds
 TEXT_BOUND = 64  # characters of a text kept as a block's bound
 # Types whose order is the same in Spark and Arrow (floating-point numbers are not: NaN).
 _ORDERED = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
@@ -81,8 +83,9 @@ def block_bounds(batch, columns: list[str]) -> dict:
 
 
 class IndexWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, schema: T.StructType, overwrite: bool, block_rows: int):
-        self.path, self.schema, self.overwrite, self.block_rows = path.rstrip("/"), schema, overwrite, block_rows
+    def __init__(self, path: str, schema: T.StructType, overwrite: bool, block_rows: int, block_bytes: int = BLOCK_BYTES):
+        self.path, self.schema, self.overwrite = path.rstrip("/"), schema, overwrite
+        self.block_rows, self.block_bytes = block_rows, block_bytes
 
     def write(self, iterator: Iterator) -> WriterCommitMessage:
         import pyarrow as pa
@@ -91,28 +94,40 @@ class IndexWriter(DataSourceArrowWriter):
         name, blocks = f"docs-{uuid.uuid4().hex}.parquet", []
 
         def fill(out):
-            held, n = [], 0
+            held, n, size = [], 0, 0
             with pq.ParquetWriter(out, schema) as writer:
-                def flush(rows: int):
-                    nonlocal held, n
-                    whole = pa.Table.from_batches(held, schema=schema).combine_chunks()
-                    block = whole.slice(0, rows)
-                    writer.write_table(block, row_group_size=max(1, rows))
-                    blocks.append({"rows": rows, **block_bounds(block, columns)})
-                    held, n = whole.slice(rows).to_batches(), n - rows
+                def flush():
+                    nonlocal held, n, size
+                    block = pa.Table.from_batches(held, schema=schema)  # in pieces: no second copy
+                    writer.write_table(block, row_group_size=n)
+                    blocks.append({"rows": n, **block_bounds(block, columns)})
+                    held, n, size = [], 0, 0
                 for batch in iterator:
-                    held.append(pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, schema)], schema=schema))
-                    n += batch.num_rows
-                    while n >= self.block_rows:
-                        flush(self.block_rows)
+                    batch = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, schema)], schema=schema)
+                    at = 0
+                    while at < batch.num_rows:
+                        piece = batch.slice(at, min(self.block_rows - n, self._rows_within(batch.slice(at), self.block_bytes - size)))
+                        held.append(piece)
+                        at, n, size = at + piece.num_rows, n + piece.num_rows, size + piece.nbytes
+                        if n >= self.block_rows or size >= self.block_bytes or at < batch.num_rows:
+                            flush()
                 if n:
-                    flush(n)
+                    flush()
 
         files.put(f"{self.path}/{name}", fill)
         if not blocks:  # a task without rows leaves no file
             files.remove(f"{self.path}/{name}")
         return FileWritten(name, blocks)
 
+    @staticmethod
+    def _rows_within(batch, room: int) -> int:
+        """How many first rows of ``batch`` take up to ``room`` bytes, at least one."""
+        least, most = 1, batch.num_rows
+        while least < most:
+            half = (least + most + 1) // 2
+            least, most = (half, most) if batch.slice(0, half).nbytes <= room else (least, half - 1)
+        return least
+
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         import pyarrow as pa
         import pyarrow.parquet as pq
@@ -251,15 +266,17 @@ class IndexReader(DataSourceReader):
         for name, blocks in partition.value:
             fs, path = files.filesystem(f"{self.path}/{name}")
             with fs.open_input_file(path) as f:
-                for batch in pq.ParquetFile(f).iter_batches(batch_size=1 << 14, row_groups=blocks, columns=schema.names):
-                    for condition in self.filters:
-                        batch = batch.filter(passes(batch, condition))
-                    if batch.num_rows:
-                        yield batch.select(schema.names).cast(schema)
+                file = pq.ParquetFile(f, pre_buffer=False)
+                for block in blocks:  # one at a time: a batch never spans blocks
+                    for batch in file.iter_batches(batch_size=1 << 14, row_groups=[block], columns=schema.names):
+                        for condition in self.filters:
+                            batch = batch.filter(passes(batch, condition))
+                        if batch.num_rows:
+                            yield batch.select(schema.names).cast(schema)
 
 
 class IndexSource(DataSource):
-    """Options: ``path``; ``block_rows`` (writing); ``blocks_per_task`` (reading)."""
+    """Options: ``path``; ``block_rows``, ``block_bytes`` (writing); ``blocks_per_task`` (reading)."""
 
     @classmethod
     def name(cls) -> str:
@@ -278,7 +295,8 @@ class IndexSource(DataSource):
         return IndexReader(self.options["path"], schema, int(self.options.get("blocks_per_task", "4")))
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return IndexWriter(self.options["path"], schema, overwrite, int(self.options.get("block_rows", str(BLOCK_ROWS))))
+        return IndexWriter(self.options["path"], schema, overwrite, int(self.options.get("block_rows", str(BLOCK_ROWS))),
+                           int(self.options.get("block_bytes", str(BLOCK_BYTES))))
 
 
 def register(spark: SparkSession) -> None:

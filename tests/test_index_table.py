@@ -109,6 +109,27 @@ def test_failed_job_leaves_nothing(spark, docs, tmp_path):
     assert files.names(p) == kept
 
 
+def test_blocks_are_bounded_by_bytes(spark, tmp_path):
+    """Long documents end a block before its rows do: a task holds a block, not a million of them."""
+    import pyarrow.parquet as pq
+    p = str(tmp_path / "t")
+    big = spark.range(0, 400, 1, 2).select("id", F.when(F.col("id") == 77, F.repeat(F.lit("x"), 200_000))
+                                           .otherwise(F.concat(F.repeat(F.sha2(F.col("id").cast("string"), 256), 30))).alias("doc"))
+    index_table.register(spark)
+    big.write.format(index_table.FORMAT).mode("append").option("block_bytes", "50000").option("block_rows", "20").save(p)
+    found = [pq.read_table(f"{p}/{n}") if n.startswith("docs") else None for n in files.names(p)]
+    assert sum(t.num_rows for t in found if t is not None) == 400
+    for n in files.names(p):
+        if n.startswith("docs"):
+            f = pq.ParquetFile(f"{p}/{n}")
+            for i in range(f.num_row_groups):
+                t = f.read_row_group(i)
+                assert t.num_rows <= 20 and (t.num_rows == 1 or t.nbytes <= 50_000 + 2_000 or 77 in t["id"].to_pylist())
+    got = index_table.read_index(spark, p)
+    assert sorted(got.collect()) == sorted(big.collect())
+    assert [r["id"] for r in got.filter("id = 301").collect()] == [301]
+
+
 def test_documents_and_views(spark, tmp_path):
     p = str(tmp_path / "docs")
     docs = spark.createDataFrame([("a", "{}"), ("b", '{"x":1}')], "doc_id string, doc string")
