@@ -15,10 +15,12 @@ the same result is computed set-wise:
   ``pb < p <= pe``. For the tag lists ``explode_range`` emits those (segment, interval)
   pairs, which are exactly the elements of the answer, joined to point times on
   (video, p) and grouped on (video, p);
-* without lists (``segment_heads``) no pair is made: with M the largest ``pe`` of the
-  intervals before i, interval i is the first active one exactly for
-  ``max(pb, M) < p <= pe``; those ranges do not overlap, so they give one row per
-  segment, and the number of active intervals is a running sum of +1 (begin), -1 (end).
+* without lists (``segment_heads``) no pair is made. Call an interval leading if it ends
+  no earlier than every interval before it: its end point then comes after theirs. The first
+  interval active at a point, if one is, is the one whose end is the next end of a leading
+  interval, that point included; the number of active intervals is a running sum of +1
+  (begin), -1 (end). So numbers, times, counts and attributes all come from scans over the
+  points in one order (``scans_within``), without a join of points or intervals.
 
 Intervals are ranked in their video once; from then on (video, ``rn``), two plain
 columns, is an interval's identity in every shuffle.
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from adlens.fixed import CLASS_LISTS, KEPT_CLASSES, PAD_MS
 from adlens.functions.scalar import clamp_low
 from adlens.operators.ordering import (checkpointed, explode_range, is_hot, largest_group, longest_range,
-                                       prefix_within, rank_within)
+                                       prefix_within, rank_within, scans_within)
 
 # P-1: the columns read from the interval table.
 SEAT_COLUMNS = ("video_id", "media_name", "ad_seat_b_time", "ad_seat_e_time", "drama_name",
@@ -92,20 +94,36 @@ def rejected(padded: DataFrame) -> DataFrame:
     return padded.filter(F.col("status") != "ok")
 
 
-def interval_rank(iv: DataFrame, hot: bool | None = None) -> DataFrame:
-    """W-1: rank of each interval in its video by (padded begin, tie-break)."""
-    return rank_within(iv, ["video_id"], ["b", *IKEY], out="rn", hot=hot)
+def interval_rank(iv: DataFrame, hot: bool | None = None, leading: str | None = None) -> DataFrame:
+    """W-1: rank of each interval in its video by (padded begin, tie-break).
+    ``leading``: name of a column that tells whether no earlier interval ends later."""
+    order = ["b", *IKEY]
+    if leading is None:
+        return rank_within(iv, ["video_id"], order, out="rn", hot=hot)
+    ranked = scans_within(iv, ["video_id"], order, rank="rn", running={"_m": ("e", "max")}, hot=hot)
+    return ranked.withColumn(leading, F.col("_m").isNull() | (F.col("e") >= F.col("_m"))).drop("_m")
 
 
-def points(iv: DataFrame, hot: bool | None = None) -> DataFrame:
+def points(iv: DataFrame, hot: bool | None = None, leading: str | None = None) -> DataFrame:
     """V-2 + W-2 + W-3: begin/end points numbered ``p`` per video, with the previous point's time.
-    ``hot``: whether some video is too large for one window task (checked if None)."""
+    ``hot``: whether some video is too large for one window task (checked if None).
+    With the ``leading`` column of ``interval_rank`` also ``n_active``, the intervals active
+    up to the point, and ``first``, the attributes of the first of them (any, if there is none)."""
     own = _identity(iv)
-    pts = iv.select("video_id", *own, F.explode(F.array(
-        F.struct(F.col("b").alias("t"), F.lit(0).alias("is_end")),
-        F.struct(F.col("e").alias("t"), F.lit(1).alias("is_end")))).alias("_pt"))
-    pts = pts.select("video_id", *own, "_pt.t", "_pt.is_end")
-    return rank_within(pts, ["video_id"], ["t", *own, "is_end"], out="p", previous={"t": "t_prev"}, hot=hot)
+    begin = [F.col("b").alias("t"), F.lit(0).alias("is_end")]
+    end = [F.col("e").alias("t"), F.lit(1).alias("is_end")]
+    if leading is not None:
+        attrs = F.struct(*[F.col(c) for c, _ in ATTRS if c != "video_id"])
+        begin.append(F.when(F.lit(False), attrs).alias("_lead"))
+        end.append(F.when(F.col(leading), attrs).alias("_lead"))
+    pts = iv.select("video_id", *own, F.explode(F.array(F.struct(*begin), F.struct(*end))).alias("_pt"))
+    pts = pts.select("video_id", *own, "_pt.*")
+    order = ["t", *own, "is_end"]
+    if leading is None:
+        return rank_within(pts, ["video_id"], order, out="p", previous={"t": "t_prev"}, hot=hot)
+    step = F.when(F.col("is_end") == 0, F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    return scans_within(pts, ["video_id"], order, rank="p", previous={"t": "t_prev"},
+                        running={"n_active": (step, "sum")}, following={"first": "_lead"}, hot=hot).drop("_lead")
 
 
 def _identity(iv: DataFrame) -> list[str]:
@@ -132,18 +150,13 @@ def members(iv: DataFrame, numbered_points: DataFrame, longest: int | None = Non
     return pairs.join(bounds, ["video_id", "p"])
 
 
-def segment_heads(iv: DataFrame, numbered_points: DataFrame, longest: int, hot: bool | None = None) -> DataFrame:
+def segment_heads(numbered_points: DataFrame) -> DataFrame:
     """V-3, V-5 without the lists: one row per segment with the attributes of its first
-    active interval, its bounds and ``n_active``. Linear in points, whatever overlaps."""
-    spans = prefix_within(_spans(iv, numbered_points), ["video_id"], _identity(iv), "pe", "max", out="_m", hot=hot)
-    first = explode_range(spans.select("video_id", *[c for c, _ in ATTRS if c != "video_id"], "pb", "pe", "_m"),
-                          F.greatest("pb", F.coalesce("_m", F.lit(0))) + 1, F.col("pe"), "p",
-                          spread=["video_id"] if longest > SPREAD_ABOVE else None)
-    step = F.when(F.col("is_end") == 0, F.lit(1)).otherwise(F.lit(-1)).cast("long")
-    bounds = prefix_within(numbered_points.select("video_id", "p", "t_prev", "t", "is_end"), ["video_id"], ["p"],
-                           step, "sum", out="n_active", hot=hot)
-    g = first.join(bounds, ["video_id", "p"])
-    return g.select(F.col("p").alias("seg_no"), *[F.col(c).alias(out) for c, out in ATTRS], *_times("t_prev", "t"), "n_active")
+    active interval, its bounds and ``n_active``, from points with ``first`` and ``n_active``.
+    Linear in points, whatever overlaps."""
+    g = numbered_points.filter(F.col("n_active") > 0)
+    attrs = [(F.col(c) if c == "video_id" else F.col("first").getField(c)).alias(out) for c, out in ATTRS]
+    return g.select(F.col("p").alias("seg_no"), *attrs, *_times("t_prev", "t"), "n_active")
 
 
 def _times(begin: str, end: str) -> list:
@@ -232,30 +245,31 @@ def segment_videos(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms
     Ranked intervals and numbered points each feed several steps, so they are
     checkpointed once (no cached data left behind in a long session). ``hot`` forces the
     range-partitioned (True) or the window plan (False); measured if None."""
-    return segments(*_swept(prepare_intervals(seats, usable, tie, pad_ms), hot, members), max_items)
+    return segments(_swept(prepare_intervals(seats, usable, tie, pad_ms), hot), max_items)
 
 
 def segment_heads_of(seats: DataFrame, usable: DataFrame, tie: str = "sid", pad_ms: int = PAD_MS,
                      hot: bool | None = None) -> DataFrame:
-    """R-11 without the tag lists, in linear space (``segment_heads``)."""
-    return _swept(prepare_intervals(seats, usable, tie, pad_ms), hot, segment_heads)[0]
+    """R-11 without the tag lists, in linear space (``segment_heads``). Only the columns that
+    the heads need are staged."""
+    iv = checkpointed(valid(pad(join_usable(seats, usable, tie), pad_ms)).select(*[c for c, _ in ATTRS], "b", "e", *IKEY))
+    hot = is_hot(2 * largest_group(iv, ["video_id"])) if hot is None else hot
+    ranked = checkpointed(interval_rank(iv, hot, leading="_leading").drop(*IKEY))
+    return segment_heads(points(ranked, hot, leading="_leading"))
 
 
 def segment_intervals(iv: DataFrame, max_items: int | None = None, hot: bool | None = None) -> DataFrame:
     """Segments of valid padded intervals (``valid``)."""
-    return segments(*_swept(iv, hot, members), max_items)
+    return segments(_swept(iv, hot), max_items)
 
 
-def _swept(iv: DataFrame, hot: bool | None, finish) -> list[DataFrame]:
+def _swept(iv: DataFrame, hot: bool | None) -> DataFrame:
     # One count answers both size questions: a video with n intervals has 2n points,
     # and no interval spans more than 2n of them.
     most_points = 2 * largest_group(iv, ["video_id"])
     hot = is_hot(most_points) if hot is None else hot
     ranked = checkpointed(interval_rank(iv, hot).drop(*IKEY))
-    pts = checkpointed(points(ranked, hot))
-    if finish is members:
-        return [members(ranked, pts, longest=most_points)]
-    return [finish(ranked, pts, most_points, hot)]
+    return members(ranked, checkpointed(points(ranked, hot)), longest=most_points)
 
 
 def bounded_collect(intervals: DataFrame, chunk: int = 1000, tie: str = "sid", hot: bool | None = None) -> DataFrame:

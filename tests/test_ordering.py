@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from adlens.operators.ordering import explode_range, prefix_within, rank_within
+from adlens.operators.ordering import explode_range, prefix_within, rank_within, scans_within
 
 
 @pytest.mark.parametrize("hot_rows", [0, None])  # 0 forces the range-partitioned path
@@ -90,3 +90,20 @@ def test_explode_range_equals_python(spark, ranges, chunk, spread):
     got = explode_range(df, F.col("lo"), F.col("hi"), "x", chunk=chunk, spread=["id"] if spread else None)
     assert sorted((r["id"], r["x"]) for r in got.collect()) == sorted((i, x) for i, lo, hi in rows
                                                                       for x in range(lo, hi + 1))
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_scans_over_cut_groups_equal_windows(spark, inclusive):
+    """Groups cut into many slices, a null group, null values, marks several slices away."""
+    df = spark.range(600).select(
+        F.when(F.col("id") < 400, "big").when(F.col("id") < 500, F.lit(None)).otherwise(F.concat(F.lit("g"), (F.col("id") % 40).cast("string"))).alias("g"),
+        F.xxhash64("id").alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 17).alias("v"),
+        F.when(F.col("id") % 150 == 7, F.struct(F.col("id").alias("a"), F.lit(None).cast("string").alias("b"))).alias("mark"))
+
+    def scans(hot):
+        out = scans_within(df, ["g"], ["k"], rank="rn", previous={"v": "pv"}, running={"s": ("v", "sum"), "m": ("v", "max"), "l": ("v", "min")},
+                           following={"next": "mark"}, inclusive=inclusive, partitions=13, hot=hot)
+        return sorted(map(str, out.collect()))
+
+    got = scans(True)
+    assert got == scans(False) and len(got) == 600

@@ -235,3 +235,36 @@ def test_sweep_property(spark, ivs, hot, max_items):
         lst.extend(r["string_man_list"])
     expected = literal_sweep([(b, b + n, tag) for b, n, tag in ivs])
     assert sorted((t, tuple(lst)) for t, lst in got.values()) == sorted((t, tuple(l)) for t, l in expected)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_heads_equal_a_sweep(spark, hot):
+    """Heads from scans alone against a literal sweep: gaps, nested and zero-length intervals,
+    equal times, one video in many slices; no join of points or intervals."""
+    rnd = random.Random(11)
+    rows = []
+    for v, n in (("hot", 300), ("a", 7), ("b", 1), ("c", 40)):
+        for i in range(n):
+            b = rnd.randrange(0, 60 * n) // 5 * 5
+            rows.append((v, b, b + rnd.choice([0, 5, 20, 60, 60, 400]), i, 1, *[None if rnd.random() < 0.1 else f"{c}{v}{i}" for c in range(5)]))
+    names = [c for c, _ in vs.ATTRS[1:]]
+    iv = spark.createDataFrame(rows, "video_id string, b long, e long, sid long, copy long, " + ", ".join(f"{c} string" for c in names))
+    ranked = ordering.checkpointed(vs.interval_rank(iv, hot, leading="lead").drop(*vs.IKEY))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        heads = vs.segment_heads(vs.points(ranked, hot, leading="lead"))
+        assert "SortMergeJoin" not in heads._jdf.queryExecution().executedPlan().toString()
+        got = sorted((tuple(r) for r in heads.collect()), key=lambda r: (r[1], r[0]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = []
+    for v in sorted({r[0] for r in rows}):
+        own = sorted((r for r in rows if r[0] == v), key=lambda r: (r[1], r[3]))
+        pts = sorted((t, i, end) for i, r in enumerate(own) for end, t in ((0, r[1]), (1, r[2])))
+        active, before = set(), None
+        for p, (t, i, end) in enumerate(pts, 1):
+            if active:
+                want.append((p, v, *own[min(active)][5:], f"{before}_{t}", str(t - before), len(active)))
+            (active.discard if end else active.add)(i)
+            before = t
+    assert got == want
